@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Column kind -> Spark type. Kinds carry the source meaning (json, point, range) that a Spark type alone does not.
 SPARK_TYPE = {
@@ -112,3 +113,15 @@ def ts(value: str) -> Column:
 def empty_like(df: DataFrame) -> DataFrame:
     """No rows, same schema; the optimizer folds joins with it away."""
     return df.where(F.lit(False))
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows as literals in the plan: no Python worker is started to produce them."""
+    fields = T.StructType.fromDDL(schema).fields
+
+    def cell(value, f: T.StructField) -> Column:
+        c = F.array(*[F.lit(v) for v in value]) if isinstance(value, list) else F.lit(value)
+        return c.cast(f.dataType).alias(f.name)
+
+    structs = [F.struct(*[cell(v, f) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))

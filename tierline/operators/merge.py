@@ -81,12 +81,17 @@ def apply_stage(ods: DataFrame | None, staged: DataFrame, entity: Entity, change
     is_delete = F.col("operation_type") == "D"
 
     # Cleansing may fold two source keys into one: a delete may then meet an upsert (both apply), but two upserts fail.
+    # The upsert sorts first, so the row after it, if any, is a delete.
     by_key = Window.partitionBy(*keys).orderBy(is_delete)
-    whole_key = Window.partitionBy(*keys)
+    deleted_in = F.when(is_delete, F.col("batch_id"))
     message = F.concat(F.lit(f"ods {entity.name}: second row for key "), F.to_json(F.struct(*keys)))
     ranked = (
-        valid.withColumn("_nth", F.row_number().over(by_key))
-        .withColumn("_deleted_in", F.max(F.when(is_delete, F.col("batch_id"))).over(whole_key))
+        valid.withColumns(
+            {
+                "_nth": F.row_number().over(by_key),
+                "_deleted_in": F.coalesce(deleted_in, F.lead(deleted_in).over(by_key)),
+            }
+        )
         .where(F.when((F.col("_nth") > 1) & ~is_delete, F.raise_error(message).cast("boolean")).otherwise(True))
         .where("_nth = 1")
     )

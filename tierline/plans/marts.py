@@ -99,11 +99,11 @@ def flight_sales(mart: DataFrame | None, rows: DataFrame) -> DataFrame:
 def flight_revenue(sales: DataFrame) -> DataFrame:
     """Passengers and revenue per flight, total and by fare class.
 
-    First step: one row per (flight, passenger) with partial sums, so a hot flight is spread over its passengers and
-    distinct passengers become plain counts. Second step: one row per flight.
+    Measures: first one row per (flight, passenger) with partial sums, so a hot flight is spread over its passengers
+    and distinct passengers become plain counts, then one row per flight. Names: the few distinct combinations of a
+    flight, then their maximum. Both sides stay hash aggregates and meet co-partitioned by flight.
     """
     in_class = {f.lower(): F.col("fare_conditions") == f for f in fv.FARE_CONDITIONS}
-    names = ["status", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"]
     per_passenger = sales.groupBy("flight_id", "passenger_id").agg(
         F.sum("price").alias("revenue"),
         F.count("price").alias("prices"),
@@ -111,7 +111,6 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
         F.min("price").alias("min_price"),
         *[F.sum(F.when(cond, F.col("price"))).alias(f"{f}_revenue") for f, cond in in_class.items()],
         *[F.max(cond).alias(f"in_{f}") for f, cond in in_class.items()],
-        *[F.max(c).alias(c) for c in names],
     )
     known = F.col("passenger_id").isNotNull()
     by_class: list[Column] = []
@@ -120,17 +119,19 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
             F.count_if(known & F.col(f"in_{f}")).alias(f"{f}_passenger_count"),
             F.coalesce(F.sum(f"{f}_revenue"), F.lit(0)).alias(f"{f}_revenue"),
         ]
-    grouped = per_passenger.groupBy("flight_id").agg(
+    measures = per_passenger.groupBy("flight_id").agg(
         F.count("passenger_id").alias("passenger_count"),
         F.sum("revenue").alias("total_revenue"),
         *by_class,
-        F.sum("prices").alias("_prices"),
+        F.sum("prices").alias("prices"),
         F.max("max_price").alias("max_price"),
         F.min("min_price").alias("min_price"),
-        *[F.max(c).alias(c) for c in names],
     )
-    average = F.round(F.col("total_revenue") / F.nullif(F.col("_prices"), F.lit(0)), 2).alias("avg_price")
-    return grouped.select(
+    names = ["status", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"]
+    combinations = sales.select("flight_id", *names).distinct()
+    labels = combinations.groupBy("flight_id").agg(*[F.max(c).alias(c) for c in names])
+    average = F.round(F.col("total_revenue") / F.nullif(F.col("prices"), F.lit(0)), 2).alias("avg_price")
+    return measures.join(labels, "flight_id").select(
         "flight_id",
         "passenger_count",
         "total_revenue",

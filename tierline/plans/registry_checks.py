@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
 from tierline.operators.integrity import OVERLAPS, duplicate_keys, neighbours, orphans
-from tierline.functions.expr import ts
+from tierline.functions.expr import literal_frame, ts
 
 FAR_PAST = "0001-01-01 00:00:00"
 
 
 def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     full = [(fv.SOURCE_SYSTEM, fv.SOURCE_SCHEMA, *row) for row in rows]
-    return spark.createDataFrame(full, "source_system string, source_schema string, " + schema)
+    return literal_frame(spark, full, "source_system string, source_schema string, " + schema)
 
 
 def source_dictionary(spark: SparkSession) -> DataFrame:

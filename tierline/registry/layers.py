@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.catalog.entities import ENTITIES
@@ -11,6 +9,7 @@ from tierline.functions.expr import ts
 from tierline.operators import cdc, merge, staging
 from tierline.plans import dims, facts, marts
 from tierline.sources.sample import SampleSources
+from tierline.sources.workspace import new_folder
 
 FIRST_LOAD = "2024-01-01 00:00:00"
 SECOND_LOAD = "2024-02-01 00:00:00"
@@ -18,13 +17,32 @@ BATCH = {name: i + 1 for i, name in enumerate(ENTITIES)}
 SECOND_BATCH = 100
 
 
-class FirstLoad:
-    """One full load of every entity (batch ids in load order), nothing stored."""
+class _Stored:
+    """Tables written once to the shared folder, as a load leaves them behind; cuts the plans of their readers."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        self.spark = spark
         self.sources = SampleSources(spark, sf_dir)
-        self.at = ts(FIRST_LOAD)
+        self.folder = new_folder(spark, "layers")
+        self._stored: dict[str, DataFrame] = {}
+
+    def build(self, table: str) -> DataFrame:
+        raise NotImplementedError
+
+    def stored(self, table: str) -> DataFrame:
+        if table not in self._stored:
+            rows = self.build(table)
+            path = f"{self.folder}/{table}"
+            rows.write.mode("overwrite").parquet(path)
+            self._stored[table] = self.spark.read.schema(rows.schema).parquet(path)
+        return self._stored[table]
+
+
+class FirstLoad(_Stored):
+    """One full load of every entity, batch ids in load order."""
+
+    at = property(lambda self: ts(FIRST_LOAD))
 
     def journal(self, name: str) -> DataFrame:
         return cdc.initial(self.sources.source(name), ENTITIES[name], BATCH[name], self.at)
@@ -35,73 +53,46 @@ class FirstLoad:
     def ods(self, name: str) -> DataFrame:
         return merge.apply_stage(None, self.staged(name), ENTITIES[name], self.at)
 
-    @cached_property
-    def dim_airplanes(self) -> DataFrame:
-        return dims.dim_airplanes(None, self.ods("airplanes"), self.at)
-
-    @cached_property
-    def dim_airports(self) -> DataFrame:
-        return dims.dim_airports(None, self.ods("airports"), self.at)
-
-    @cached_property
-    def dim_routes(self) -> DataFrame:
-        return dims.dim_routes(None, self.ods("routes"), self.dim_airports, self.dim_airplanes, self.at)
-
-    @cached_property
-    def dim_seats(self) -> DataFrame:
-        return dims.dim_seats(None, self.ods("seats"), self.dim_airplanes, self.at)
-
-    @cached_property
-    def dim_passenger(self) -> DataFrame:
-        return dims.dim_passenger(None, self.ods("tickets"), self.at)
-
-    @cached_property
-    def fact_flights(self) -> DataFrame:
-        return facts.fact_flights(None, self.ods("flights"), self.dim_routes, self.at)
+    def build(self, table: str) -> DataFrame:
+        """One DDS table out of ODS and the stored parents it looks keys up in, or the sales mart."""
+        at, ods, dds = self.at, self.ods, self.stored
+        plans = {
+            "dim_airplanes": lambda: dims.dim_airplanes(None, ods("airplanes"), at),
+            "dim_airports": lambda: dims.dim_airports(None, ods("airports"), at),
+            "dim_routes": lambda: dims.dim_routes(None, ods("routes"), dds("dim_airports"), dds("dim_airplanes"), at),
+            "dim_seats": lambda: dims.dim_seats(None, ods("seats"), dds("dim_airplanes"), at),
+            "dim_passenger": lambda: dims.dim_passenger(None, ods("tickets"), at),
+            "fact_flights": lambda: facts.fact_flights(None, ods("flights"), dds("dim_routes"), at),
+            "fact_bookings": lambda: facts.fact_bookings(None, ods("bookings"), at),
+            "fact_tickets": lambda: facts.fact_tickets(
+                None, ods("tickets"), dds("fact_bookings"), dds("dim_passenger"), at
+            ),
+            "fact_segments": lambda: facts.fact_segments(
+                None, ods("segments"), dds("fact_tickets"), dds("fact_flights"), at
+            ),
+            "fact_boarding_passes": lambda: facts.fact_boarding_passes(
+                None, ods("boarding_passes"), dds("fact_tickets"), dds("fact_flights"), at
+            ),
+            "flight_sales_mart": lambda: marts.flight_sales(None, self.sales_rows()),
+        }
+        return plans[table]()
 
-    @cached_property
-    def fact_bookings(self) -> DataFrame:
-        return facts.fact_bookings(None, self.ods("bookings"), self.at)
-
-    @cached_property
-    def fact_tickets(self) -> DataFrame:
-        return facts.fact_tickets(None, self.ods("tickets"), self.fact_bookings, self.dim_passenger, self.at)
-
-    @cached_property
-    def fact_segments(self) -> DataFrame:
-        return facts.fact_segments(None, self.ods("segments"), self.fact_tickets, self.fact_flights, self.at)
-
-    @cached_property
-    def fact_boarding_passes(self) -> DataFrame:
-        ods = self.ods("boarding_passes")
-        return facts.fact_boarding_passes(None, ods, self.fact_tickets, self.fact_flights, self.at)
-
-    @cached_property
     def sales_rows(self) -> DataFrame:
+        parents = ("fact_tickets", "dim_passenger", "fact_bookings", "fact_flights", "dim_routes", "dim_airports")
         return marts.sales_rows(
-            self.fact_segments,
-            self.fact_tickets,
-            self.dim_passenger,
-            self.fact_bookings,
-            self.fact_flights,
-            self.dim_routes,
-            self.dim_airports,
-            self.dim_airplanes,
-            self.at,
+            self.stored("fact_segments"), *[self.stored(t) for t in parents], self.stored("dim_airplanes"), self.at
         )
 
-    @cached_property
     def sales(self) -> DataFrame:
-        return marts.flight_sales(None, self.sales_rows)
+        """The sales mart."""
+        return self.stored("flight_sales_mart")
 
 
-class TwoLoads:
-    """The earlier snapshot loaded as one batch, the later one as a delta on top, nothing stored."""
+class TwoLoads(_Stored):
+    """The earlier snapshot loaded as one batch, the later one as a delta on top."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.sources = SampleSources(spark, sf_dir)
-        self.first, self.second = ts(FIRST_LOAD), ts(SECOND_LOAD)
+    first = property(lambda self: ts(FIRST_LOAD))
+    second = property(lambda self: ts(SECOND_LOAD))
 
     def first_journal(self, name: str) -> DataFrame:
         return cdc.initial(self.sources.source(name, "before"), ENTITIES[name], BATCH[name], self.first)
@@ -141,14 +132,32 @@ class TwoLoads:
         first = facts.fact_bookings(None, self.first_ods("bookings"), self.first)
         return facts.fact_bookings(first, self.ods("bookings"), self.second)
 
+    def build(self, table: str) -> DataFrame:
+        layer, name = table.split(".")
+        if layer == "raw":
+            return self.journal(name)
+        if layer == "ods":
+            return self.ods(name)
+        return getattr(self, name)()
+
     def tables(self) -> dict[str, DataFrame]:
         """What the reconciliation checks read."""
         found = {}
         for name in ("airplanes", "seats", "bookings"):
             found[f"source.{name}"] = self.sources.source(name, "after")
-            found[f"raw.{name}"] = self.journal(name)
-            found[f"ods.{name}"] = self.ods(name)
-        found["dds.dim_airplanes"] = self.dim_airplanes()
-        found["dds.dim_seats"] = self.dim_seats()
-        found["dds.fact_bookings"] = self.fact_bookings()
+            found[f"raw.{name}"] = self.stored(f"raw.{name}")
+            found[f"ods.{name}"] = self.stored(f"ods.{name}")
+        for name in ("dim_airplanes", "dim_seats", "fact_bookings"):
+            found[f"dds.{name}"] = self.stored(f"dds.{name}")
         return found
+
+
+_LOADS: dict[tuple, _Stored] = {}
+
+
+def load_of(kind: type, spark: SparkSession, sf_dir: str):
+    """One load per application and data folder: later queries read the tables the first one has written."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADS:
+        _LOADS[key] = kind(spark, sf_dir)
+    return _LOADS[key]

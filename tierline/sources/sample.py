@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
-from tierline.functions.expr import SPARK_TYPE
 from tierline.catalog.entities import ENTITIES
+from tierline.functions.expr import SPARK_TYPE, in_range
 
 BASE_MICROS = 1_577_836_800_000_000  # 2020-01-01 00:00:00 UTC
 MINUTE = 60_000_000
@@ -194,20 +194,23 @@ class SampleSources:
         )
 
     def _order_parts(self) -> DataFrame:
-        """Line items per (order, part): that pair is a key, (order, line number) is not."""
+        """Line items per (order, part): that pair is a key, (order, line number) is not.
+
+        The one-letter flags are compared as numbers, which keeps the aggregate hash-based.
+        """
         return (
             self.table("lineitem")
             .groupBy("l_orderkey", "l_partkey")
             .agg(
-                F.min("l_returnflag").alias("flag"),
+                F.min(F.ascii("l_returnflag")).alias("flag"),
                 F.max("l_extendedprice").alias("price"),
-                F.min("l_linestatus").alias("line_status"),
+                F.min(F.ascii("l_linestatus")).alias("line_status"),
                 F.min("l_linenumber").alias("line"),
             )
         )
 
     def _segments(self) -> DataFrame:
-        fare = F.when(F.col("flag") == "A", "Economy").when(F.col("flag") == "N", "Comfort").otherwise("Business")
+        fare = F.when(F.col("flag") == ord("A"), "Economy").when(F.col("flag") == ord("N"), "Comfort").otherwise("Business")
         line = F.col("line")
         return self._order_parts().select(
             F.col("l_orderkey").cast("string").alias("ticket_no"),
@@ -224,7 +227,7 @@ class SampleSources:
         line = F.col("line")
         return (
             self._order_parts()
-            .where("line_status = 'F'")
+            .where(F.col("line_status") == ord("F"))
             .select(
                 F.col("l_orderkey").cast("string").alias("ticket_no"),
                 F.col("l_partkey").alias("flight_id"),
@@ -234,3 +237,32 @@ class SampleSources:
                 _mark(line == 1, line == 2, line == 3).alias("mark"),
             )
         )
+
+    def sales(self) -> DataFrame:
+        """Rows of the sales mart for state "all", joined by natural keys straight from the sources."""
+        airports = self.source("airports").select("airport_code", F.get_json_object("airport_name", "$.ru").alias("name"))
+        models = self.source("airplanes").select("airplane_code", F.get_json_object("model", "$.ru").alias("airplane_model"))
+
+        def airport(code: str, name: str) -> DataFrame:
+            return airports.select(F.col("airport_code").alias(code), F.col("name").alias(name))
+
+        routes = (
+            self.source("routes")
+            .join(airport("departure_airport", "departure_airport_name"), "departure_airport")
+            .join(airport("arrival_airport", "arrival_airport_name"), "arrival_airport")
+            .join(models, "airplane_code")
+            .select(
+                "route_no", "validity", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"
+            )
+        )
+        in_force = in_range(F.col("scheduled_departure"), F.col("validity"))
+        flights = self.source("flights").join(routes, "route_no").where(in_force).drop("validity")
+        orders = self.table("orders").select(
+            F.col("o_orderkey").cast("string").alias("ticket_no"),
+            F.col("o_custkey").cast("string").alias("passenger_id"),
+            F.col("o_orderkey").cast("string").alias("book_ref"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+            (F.col("o_orderstatus") == "F").alias("outbound"),
+            F.col("o_orderdate").cast("timestamp").alias("book_date"),
+        )
+        return self.source("segments").join(orders, "ticket_no").join(flights, "flight_id")

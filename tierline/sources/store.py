@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.functions.expr import literal_frame
+
 LOG_SCHEMA = "seq bigint, table string, version bigint, path string, schema string, keys array<string>, buckets int, rows bigint"
 EVENT_SCHEMA = "seq bigint, batch_id bigint, process_name string, status string, at timestamp, error_message string"
 
@@ -74,7 +76,7 @@ class TableStore:
         rows = [
             (self._seq, w.table, w.version, w.path, w.schema, list(w.keys), w.buckets, w.metrics["rows"]) for w in written
         ]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/_log")
+        literal_frame(self.spark, rows, LOG_SCHEMA).write.mode("append").json(f"{self.root}/_log")
         for w in written:
             previous = self._published.get(w.table)
             self._remember(w)
@@ -167,8 +169,7 @@ class TableStore:
         """Appends one event of a batch. Events are never changed; the latest one is the state of the batch."""
         self._event_seq = getattr(self, "_event_seq", self._last_event_seq()) + 1
         row = [(self._event_seq, batch_id, process_name, status, at, error_message)]
-        events = self.spark.createDataFrame(row, EVENT_SCHEMA).coalesce(1)
-        events.write.mode("append").json(f"{self.root}/_batches")
+        literal_frame(self.spark, row, EVENT_SCHEMA).write.mode("append").json(f"{self.root}/_batches")
 
     def _events(self) -> DataFrame:
         try:

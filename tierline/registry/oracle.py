@@ -486,8 +486,10 @@ def _traffic_side(kind: str, actual: str, scheduled: str) -> str:
         where {kind}_airport_name is not null and coalesce({actual}, {scheduled}) is not null group by 1, 2"""
 
 
+# Exact half-up rounding of the mean, in whole cents.
+_MEAN = "((2 * (sum(price) * 100)::hugeint + count(price)) // (2 * count(price)))::double / 100"
 _REVENUE = f"""select flight_id, count(distinct passenger_id) as passenger_count, sum(price)::double as total_revenue,
-    {', '.join(_by_class(f) for f in fv.FARE_CONDITIONS)}, round(sum(price)::double / count(price), 2) as avg_price,
+    {', '.join(_by_class(f) for f in fv.FARE_CONDITIONS)}, {_MEAN} as avg_price,
     max(price)::double as max_price, min(price)::double as min_price, max(status) as status,
     max(duration_seconds) as duration_seconds, max(departure_airport_name) as departure_airport_name,
     max(arrival_airport_name) as arrival_airport_name, max(airplane_model) as airplane_model
@@ -676,7 +678,7 @@ def oracle() -> dict[str, str]:
     sql["dm_flight_revenue"] = _REVENUE
     sql["dm_airport_traffic"] = sql["warehouse_traffic_mart"] = _TRAFFIC
     sql["bi_revenue_by_day"] = f"select strftime(book_date, '%Y-%m-%d') as book_day, sum(price)::double as revenue from ({_SALES}) group by 1"
-    sql["bi_kpis"] = f"""select sum(price)::double as total_revenue, round(sum(price)::double / count(price), 2) as avg_ticket_price,
+    sql["bi_kpis"] = f"""select sum(price)::double as total_revenue, {_MEAN} as avg_ticket_price,
         count(distinct ticket_no) as ticket_count from ({_SALES})"""
     sql["bi_fare_class"] = f"""select fare_conditions, sum(price)::double as revenue, count(distinct ticket_no) as ticket_count
         from ({_SALES}) group by 1"""

@@ -257,7 +257,7 @@ def _warehouse(spark: SparkSession, sf_dir: str, loads: tuple[str, ...]) -> Ware
     key = (spark.sparkContext.applicationId, sf_dir, loads)
     if key not in _WAREHOUSES:
         sources = SampleSources(spark, sf_dir)
-        store = TableStore(spark, new_folder(spark, "warehouse"), buckets=spark.sparkContext.defaultParallelism)
+        store = TableStore(spark, new_folder(spark, "warehouse"), buckets=spark.sparkContext.defaultParallelism, new=True)
         state = {"now": loads[0]}
         warehouse = Warehouse(spark, store, lambda n: sources.source(n, state["now"]))
         for state["now"] in loads:

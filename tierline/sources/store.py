@@ -38,9 +38,12 @@ class Written:
 
 
 class TableStore:
-    """One writer per root. `buckets` should not be below spark.sql.shuffle.partitions, or joins shuffle again."""
+    """One writer per root; `new` starts an empty one.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    `buckets` should not be below spark.sql.shuffle.partitions, or joins shuffle again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, new: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -48,19 +51,16 @@ class TableStore:
         self._published: dict[str, Written] = {}
         self._batches: dict[str, list[int]] = {}
         self._seq = 0
-        self._load_log()
+        self._event_seq = 0
+        if not new:
+            self._load_log()
+            self._event_seq = self._events().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
 
     # --- Commit log -------------------------------------------------------------------------------------------------
 
     def _load_log(self) -> None:
         """One row per commit and table: small, and the only state the driver keeps."""
-        try:
-            rows = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log").orderBy("seq").collect()
-        except Exception as e:  # a new root has no log yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            rows = []
-        for r in rows:
+        for r in self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log").orderBy("seq").collect():
             w = Written(r["table"], r["version"], r["path"], r["schema"], tuple(r["keys"]), r["buckets"], {"rows": r["rows"]})
             self._remember(w)
             self._seq = max(self._seq, r["seq"])
@@ -167,23 +167,15 @@ class TableStore:
 
     def log_event(self, batch_id: int, process_name: str, status: str, at, error_message: str | None = None) -> None:
         """Appends one event of a batch. Events are never changed; the latest one is the state of the batch."""
-        self._event_seq = getattr(self, "_event_seq", self._last_event_seq()) + 1
+        self._event_seq += 1
         row = [(self._event_seq, batch_id, process_name, status, at, error_message)]
         literal_frame(self.spark, row, EVENT_SCHEMA).write.mode("append").json(f"{self.root}/_batches")
 
     def _events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(EVENT_SCHEMA).json(f"{self.root}/_batches")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], EVENT_SCHEMA)
-
-    def _last_event_seq(self) -> int:
-        return self._events().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+        return self.spark.read.schema(EVENT_SCHEMA).json(f"{self.root}/_batches")
 
     def last_batch_id(self) -> int:
-        return self._events().agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
+        return self._events().agg(F.max("batch_id")).first()[0] if self._event_seq else 0
 
     def load_batch(self) -> DataFrame:
         """One row per batch: process, status, start, end, error."""

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tierline.catalog import fixed_values as fv
-from tierline.functions.expr import SPARK_TYPE, blank_to_null, json_field
+from tierline.functions.expr import SPARK_TYPE
 
 
 @dataclass(frozen=True)
@@ -55,17 +52,18 @@ class Cleaned:
     kind: str
     how: str = "keep"  # keep | code | text | upper_text | json:<source column>.<field>
 
-    def column(self) -> Column:
+    def sql(self) -> str:
+        text = f"nullif(trim({self.name}), '')"
         if self.how == "code":
-            return F.upper(F.trim(F.col(self.name))).alias(self.name)
+            return f"upper(trim({self.name})) as {self.name}"
         if self.how == "text":
-            return blank_to_null(self.name).alias(self.name)
+            return f"{text} as {self.name}"
         if self.how == "upper_text":
-            return F.upper(blank_to_null(self.name)).alias(self.name)
+            return f"upper({text}) as {self.name}"
         if self.how.startswith("json:"):
-            source, json_key = self.how[5:].split(".")
-            return json_field(source, json_key).alias(self.name)
-        return F.col(self.name)
+            source, key = self.how[5:].split(".")
+            return f"nullif(trim(get_json_object({source}, '$.{key}')), '') as {self.name}"
+        return self.name
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,13 @@
-"""Column expressions shared by all layers: canonical text, row hash, surrogate keys, range tests."""
+"""SQL expressions shared by all layers: canonical text, row hash, surrogate keys, range tests.
+
+Expressions are SQL text for selectExpr and expr: one call to the JVM per expression, whatever its size, where a tree of
+Column calls makes dozens.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,95 +29,78 @@ SPARK_TYPE = {
 }
 
 
-def _timestamp_text(c: Column) -> Column:
-    return F.concat(c.cast("string"), F.lit("+00"))
-
-
-def _range_text(c: Column) -> Column:
-    low, high = c["lower"], c["upper"]
-    return F.concat(
-        F.when(low.isNull(), "(").otherwise(F.concat(F.lit('["'), _timestamp_text(low), F.lit('"'))),
-        F.lit(","),
-        F.when(high.isNull(), ")").otherwise(F.concat(F.lit('"'), _timestamp_text(high), F.lit('")'))),
-    )
+def quoted(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _interval_text(c: Column) -> Column:
-    hours = F.extract(F.lit("DAY"), c) * 24 + F.extract(F.lit("HOUR"), c)
-    seconds = F.extract(F.lit("SECOND"), c)
-    whole = F.format_string(
-        "%02d:%02d:%02d", hours.cast("int"), F.extract(F.lit("MINUTE"), c).cast("int"), seconds.cast("int")
-    )
-    fraction = F.regexp_replace(seconds.cast("string"), r"^\d+|\.?0+$", "")
-    return F.when(c.isNotNull(), F.concat(whole, fraction))
+def ts(value: str | datetime) -> str:
+    """A timestamp literal; text is read in the session zone (UTC)."""
+    if isinstance(value, datetime):
+        value = value.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return f"timestamp'{value}'"
 
 
-def _json_text(c: Column) -> Column:
-    # Key order and blanks of the source text must not change the hash.
-    entries = F.map_entries(F.from_json(c, "map<string,string>"))
-    return F.to_json(F.map_from_entries(F.array_sort(entries)))
+def struct_of(columns: Iterable[str], prefix: str = "") -> str:
+    return "struct(" + ", ".join(f"{prefix}`{c}`" for c in columns) + ")"
 
 
-def canonical_text(column: str | Column, kind: str) -> Column:
+def canonical_text(c: str, kind: str) -> str:
     """Text form of a value, fixed per kind so that hashes do not depend on engine or session settings (zone: UTC)."""
-    c = F.col(column) if isinstance(column, str) else column
     if kind == "timestamp":
-        return _timestamp_text(c)
+        return f"concat(cast({c} as string), '+00')"
     if kind == "range":
-        return _range_text(c)
+        low, high = (canonical_text(f"{c}.{b}", "timestamp") for b in ("lower", "upper"))
+        # An open bound is written as nothing, a closed one in quotes.
+        return (
+            f"case when {c} is not null then concat(coalesce(concat('[\"', {low}, '\"'), '('), ',',"
+            f" coalesce(concat('\"', {high}, '\"'), ''), ')') end"
+        )
     if kind == "interval":
-        return _interval_text(c)
+        seconds = f"extract(second from {c})"
+        return (
+            f"case when {c} is not null then concat(format_string('%02d:%02d:%02d',"
+            f" cast(extract(day from {c}) * 24 + extract(hour from {c}) as int),"
+            f" cast(extract(minute from {c}) as int), cast({seconds} as int)),"
+            f" regexp_replace(cast({seconds} as string), '^[0-9]+|[.]?0+$', '')) end"
+        )
     if kind == "json":
-        return _json_text(c)
+        # Key order and blanks of the source text must not change the hash.
+        return f"to_json(map_from_entries(array_sort(map_entries(from_json({c}, 'map<string,string>')))))"
     if kind == "int_array":
-        return F.concat(F.lit("{"), F.array_join(c.cast("array<string>"), ",", "NULL"), F.lit("}"))
+        return f"concat('{{', array_join(cast({c} as array<string>), ',', 'NULL'), '}}')"
     if kind == "point":
-        return F.concat(F.lit("("), c["lon"].cast("string"), F.lit(","), c["lat"].cast("string"), F.lit(")"))
-    return c.cast("string")
+        return f"concat('(', cast({c}.lon as string), ',', cast({c}.lat as string), ')')"
+    return f"cast({c} as string)"
 
 
-def row_hash(columns: Iterable[tuple[str, str]]) -> Column:
+def row_hash(columns: Iterable[tuple[str, str]]) -> str:
     """md5 over the '|'-joined canonical texts of (column, kind) pairs; NULL and '' hash alike."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(canonical_text(c, k), F.lit("")) for c, k in columns]))
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce({canonical_text(c, k)}, '')" for c, k in columns) + "))"
 
 
-def surrogate_key(*parts: Column) -> Column:
+def surrogate_key(*parts: str) -> str:
     """Deterministic key: md5 of the '|'-joined parts in 8-4-4-4-12 form. Any NULL part gives NULL."""
-    joined: list[Column] = []
-    for i, part in enumerate(parts):
-        joined += ([F.lit("|")] if i else []) + [part.cast("string")]
-    digest = F.md5(F.concat(*joined))
-    groups = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.when(digest.isNotNull(), F.concat_ws("-", *[F.substring(digest, start, n) for start, n in groups]))
+    digest = "md5(concat(" + ", '|', ".join(f"cast({p} as string)" for p in parts) + "))"
+    return f"regexp_replace({digest}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
 
 
-def version_stamp(effective_at: Column) -> Column:
+def version_stamp(effective_at: str) -> str:
     """UTC text of a version start with microseconds, the second part of a history key."""
-    return F.date_format(effective_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-
+    return f"date_format({effective_at}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
 
-def blank_to_null(column: str) -> Column:
-    return F.nullif(F.trim(F.col(column)), F.lit(""))
 
-
-def json_field(column: str, field: str) -> Column:
-    return F.nullif(F.trim(F.get_json_object(F.col(column), f"$.{field}")), F.lit(""))
-
-
-def in_range(ts: Column, rng: Column) -> Column:
-    """ts lies in the half-open range [lower, upper); a NULL bound is open."""
-    above = rng["lower"].isNull() | (ts >= rng["lower"])
-    below = rng["upper"].isNull() | (ts < rng["upper"])
-    return rng.isNotNull() & above & below
-
-
-def ts(value: str) -> Column:
-    return F.lit(value).cast("timestamp")
+def in_range(at: str, rng: str) -> str:
+    """`at` lies in the half-open range [lower, upper); a NULL bound is open."""
+    return (
+        f"({rng} is not null and ({rng}.lower is null or {at} >= {rng}.lower)"
+        f" and ({rng}.upper is null or {at} < {rng}.upper))"
+    )
 
 
 def empty_like(df: DataFrame) -> DataFrame:
     """No rows, same schema; the optimizer folds joins with it away."""
-    return df.where(F.lit(False))
+    return df.where("false")
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

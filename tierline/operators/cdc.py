@@ -2,40 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import Entity
-from tierline.functions.expr import row_hash
+from tierline.functions.expr import quoted, row_hash, struct_of
 
 
 def hashed(source: DataFrame, entity: Entity) -> DataFrame:
     """Business columns plus raw_row_hash."""
-    return source.select(*entity.column_names, row_hash(entity.hash_columns).alias("raw_row_hash"))
+    return source.selectExpr(*entity.column_names, f"{row_hash(entity.hash_columns)} as raw_row_hash")
 
 
-def snapshot(source: DataFrame, entity: Entity, seen_at: Column) -> DataFrame:
+def snapshot(source: DataFrame, entity: Entity, seen_at: str) -> DataFrame:
     """Snapshot rows for the current source state."""
-    return hashed(source, entity).withColumn("last_seen_at", seen_at)
+    return hashed(source, entity).selectExpr("*", f"{seen_at} as last_seen_at")
 
 
-def journal_rows(rows: DataFrame, entity: Entity, batch_id: int, loaded_at: Column, operation: Column) -> DataFrame:
+def journal_rows(rows: DataFrame, entity: Entity, batch_id: int, loaded_at: str, operation: str) -> DataFrame:
     """RAW journal rows: business columns followed by the technical block."""
-    return rows.select(
+    return rows.selectExpr(
         *entity.column_names,
-        loaded_at.alias("load_date"),
-        F.lit(entity.record_source).alias("record_source"),
-        F.lit(fv.SOURCE_SYSTEM).alias("source_system"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        operation.alias("operation_type"),
+        f"{loaded_at} as load_date",
+        f"{quoted(entity.record_source)} as record_source",
+        f"{quoted(fv.SOURCE_SYSTEM)} as source_system",
+        f"cast({batch_id} as bigint) as batch_id",
+        f"{operation} as operation_type",
         "raw_row_hash",
     )
 
 
-def initial(source: DataFrame, entity: Entity, batch_id: int, loaded_at: Column) -> DataFrame:
+def initial(source: DataFrame, entity: Entity, batch_id: int, loaded_at: str) -> DataFrame:
     """Full load: every source row is an insert."""
-    return journal_rows(hashed(source, entity), entity, batch_id, loaded_at, F.lit("I"))
+    return journal_rows(hashed(source, entity), entity, batch_id, loaded_at, "'I'")
 
 
 def changes(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFrame:
@@ -47,26 +46,20 @@ def changes(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFram
     """
     keys = list(entity.keys)
     rest = [c for c in entity.column_names if c not in keys] + ["raw_row_hash"]
-    new = current.select(*keys, F.struct(*rest).alias("_new"))
-    old = previous.select(*keys, F.struct(*rest).alias("_old"))
-    both = new.join(old, keys, "full_outer")
-    operation = (
-        F.when(F.col("_old").isNull(), "I")
-        .when(F.col("_new").isNull(), "D")
-        .when(F.col("_new.raw_row_hash") != F.col("_old.raw_row_hash"), "U")
-    )
+    new = current.selectExpr(*keys, f"{struct_of(rest)} as new")
+    old = previous.selectExpr(*keys, f"{struct_of(rest)} as old")
+    operation = "case when old is null then 'I' when new is null then 'D' when new.raw_row_hash <> old.raw_row_hash then 'U' end"
     return (
-        both.select(*keys, F.coalesce("_new", "_old").alias("_row"), operation.alias("operation_type"))
+        new.join(old, keys, "full_outer")
+        .selectExpr(*keys, "coalesce(new, old) as row", f"{operation} as operation_type")
         .where("operation_type is not null")
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in entity.column_names], "_row.raw_row_hash", "operation_type")
+        .selectExpr(*[c if c in keys else f"row.`{c}`" for c in entity.column_names], "row.raw_row_hash", "operation_type")
     )
 
 
-def delta(
-    current: DataFrame, previous: DataFrame, entity: Entity, batch_id: int, loaded_at: Column
-) -> DataFrame:
+def delta(current: DataFrame, previous: DataFrame, entity: Entity, batch_id: int, loaded_at: str) -> DataFrame:
     """Journal rows of one batch."""
-    return journal_rows(changes(current, previous, entity), entity, batch_id, loaded_at, F.col("operation_type"))
+    return journal_rows(changes(current, previous, entity), entity, batch_id, loaded_at, "operation_type")
 
 
 def inserts(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFrame:
@@ -76,9 +69,8 @@ def inserts(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFram
 
 def updates(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFrame:
     """New rows whose key is known and whose hash moved."""
-    old = previous.select(*entity.keys, F.col("raw_row_hash").alias("_old_hash"))
-    joined = current.join(old, list(entity.keys))
-    return joined.where("raw_row_hash <> _old_hash").drop("_old_hash")
+    old = previous.selectExpr(*entity.keys, "raw_row_hash as old_hash")
+    return current.join(old, list(entity.keys)).where("raw_row_hash <> old_hash").drop("old_hash")
 
 
 def deletes(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFrame:

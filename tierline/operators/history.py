@@ -2,29 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
-from tierline.functions.expr import empty_like, surrogate_key, ts, version_stamp
+from tierline.functions.expr import struct_of, surrogate_key, ts, version_stamp
 
 
-def _differs(old: Column, new: Column, kind: str) -> Column:
+def _differs(column: str, kind: str) -> str:
     """NULL compares like '' for text and -1 for numbers, as the dimension loader defines it."""
-    if kind == "text":
-        return F.coalesce(old, F.lit("")) != F.coalesce(new, F.lit(""))
-    if kind == "int":
-        return F.coalesce(old, F.lit(-1)) != F.coalesce(new, F.lit(-1))
-    return ~old.eqNullSafe(new)
+    old, new = f"d.`{column}`", f"n.`{column}`"
+    if kind in ("text", "int"):
+        blank = "''" if kind == "text" else "-1"
+        return f"coalesce({old}, {blank}) <> coalesce({new}, {blank})"
+    return f"not ({old} <=> {new})"
 
 
 def scd2_merge(
-    dim: DataFrame | None,
-    ods: DataFrame,
-    key: str,
-    sk: str,
-    tracked: list[tuple[str, str]],
-    effective_at: Column,
+    dim: DataFrame | None, ods: DataFrame, key: str, sk: str, tracked: list[tuple[str, str]], effective_at: str
 ) -> DataFrame:
     """Versioned dimension after one load.
 
@@ -33,51 +28,46 @@ def scd2_merge(
     versions. Versions already closed pass through untouched. Closing at or before the version's own start fails.
     """
     names = [c for c, _ in tracked]
-    opened = ods.select(
-        surrogate_key(F.col(key), version_stamp(effective_at)).alias(sk),
+    opened = ods.selectExpr(
+        f"{surrogate_key(key, version_stamp(effective_at))} as {sk}",
         key,
         *names,
         "source_system",
         "record_source",
-        effective_at.alias("valid_from"),
-        ts(fv.OPEN_END).alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        F.col("updated_batch_id").alias("batch_id"),
-        F.col("is_deleted").alias("_is_deleted"),
+        f"{effective_at} as valid_from",
+        f"{ts(fv.OPEN_END)} as valid_to",
+        "true as is_current",
+        "updated_batch_id as batch_id",
+        "is_deleted",
     )
     columns = opened.columns[:-1]
     if dim is None:
-        dim = empty_like(opened.select(*columns))
-    dim = dim.select(*columns)
-    n = opened.select(F.col(key).alias("_key"), F.struct(*columns).alias("n"), "_is_deleted")
-    d = dim.where("is_current").select(F.col(key).alias("_key"), F.struct(*columns).alias("d"))
-    both = d.join(n, "_key", "full_outer")
-
-    has_old, has_new = F.col("d").isNotNull(), F.col("n").isNotNull()
-    changed = F.lit(False)
-    for c, kind in tracked:
-        changed = changed | _differs(F.col(f"d.{c}"), F.col(f"n.{c}"), kind)
-    closes = has_old & has_new & (F.col("_is_deleted") | changed)
-    too_early = F.concat(F.lit(f"{sk}: version starts at or after the new effective time, key "), F.col("_key"))
-    end = F.when(F.col("d.valid_from") < effective_at, effective_at).otherwise(F.raise_error(too_early).cast("timestamp"))
-    closed_version = (
-        F.col("d")
-        .withField("valid_to", end)
-        .withField("is_current", F.lit(False))
-        .withField("batch_id", F.col("n.batch_id"))
-    )
-    old_version = F.when(closes, closed_version).otherwise(F.col("d"))
-    opens = has_new & ~F.col("_is_deleted") & (~has_old | closes)
-    new_version = F.when(opens, F.col("n"))
+        return opened.where("not is_deleted").select(*columns)
+    n = opened.selectExpr(f"{key} as k", f"{struct_of(columns)} as n", "is_deleted")
+    d = dim.where("is_current").selectExpr(f"{key} as k", f"{struct_of(columns)} as d")
+    changed = " or ".join(_differs(c, kind) for c, kind in tracked)
+    closes = f"d is not null and n is not null and (is_deleted or {changed})"
+    message = f"concat('{sk}: version starts at or after the new effective time, key ', k)"
+    end = f"if(d.valid_from < {effective_at}, {effective_at}, cast(raise_error({message}) as timestamp))"
+    closed = {"valid_to": end, "is_current": "false", "batch_id": "n.batch_id"}
+    closed_version = ", ".join(f"'{c}', {closed.get(c, f'd.`{c}`')}" for c in columns)
     versions = (
-        both.select(F.explode(F.array(old_version, new_version)).alias("v")).where("v is not null").select("v.*")
+        d.join(n, "k", "full_outer")
+        .selectExpr("k", "d", "n", "is_deleted", f"{closes} as closes")
+        .selectExpr(
+            f"if(closes, named_struct({closed_version}), d) as old_version",
+            "case when n is not null and not is_deleted and (d is null or closes) then n end as new_version",
+        )
+        .selectExpr("explode(array(old_version, new_version)) as v")
+        .where("v is not null")
+        .selectExpr("v.*")
     )
-    return dim.where(~F.col("is_current")).unionByName(versions)
+    return dim.where("not is_current").select(*columns).unionByName(versions)
 
 
 def version_counts(dim: DataFrame) -> DataFrame:
     return dim.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("is_current")).alias("current_rows"),
-        F.count_if(~F.col("is_current")).alias("historical_rows"),
+        F.expr("count(*) as rows"),
+        F.expr("count_if(is_current) as current_rows"),
+        F.expr("count_if(not is_current) as historical_rows"),
     )

@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+OVERLAPS = "prev_end > start"
+GAPS = "prev_end < start"
 
-def null_keys(df: DataFrame, keys: list[str]) -> Column:
-    condition = F.lit(False)
-    for k in keys:
-        condition = condition | F.col(k).isNull()
-    return condition
+
+def _null_part(keys: list[str]) -> str:
+    return "(" + " or ".join(f"`{k}` is null" for k in keys) + ")"
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], nulls_are_bad: bool = True) -> DataFrame:
     """Keys that occur twice, and keys with a NULL part unless nulls are allowed (as in a UNIQUE constraint)."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    if nulls_are_bad:
-        return per_key.where((F.col("rows") > 1) | null_keys(df, keys))
-    return per_key.where((F.col("rows") > 1) & ~null_keys(df, keys))
+    per_key = df.groupBy(*keys).agg(F.expr("count(*) as rows"))
+    null_part = _null_part(keys)
+    return per_key.where(f"rows > 1 or {null_part}" if nulls_are_bad else f"rows > 1 and not {null_part}")
 
 
 def orphans(child: DataFrame, child_columns: list[str], parent: DataFrame, parent_columns: list[str]) -> DataFrame:
@@ -28,25 +27,23 @@ def orphans(child: DataFrame, child_columns: list[str], parent: DataFrame, paren
     """
     names = [f"fk_{i}" for i in range(len(child_columns))]
     values = (
-        child.select(*[F.col(c).alias(n) for c, n in zip(child_columns, names)])
-        .where(~null_keys(child, names))
+        child.selectExpr(*[f"`{c}` as {n}" for c, n in zip(child_columns, names)])
+        .where(f"not {_null_part(names)}")
         .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(*) as rows"))
     )
-    parents = parent.select(*[F.col(c).alias(n) for c, n in zip(parent_columns, names)])
+    parents = parent.selectExpr(*[f"`{c}` as {n}" for c, n in zip(parent_columns, names)])
     return values.join(parents, names, "left_anti")
 
 
 def broken_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """One row per rule with the number of rows that break it; NULL does not break a rule. One scan for all rules."""
-    counted = df.agg(*[F.count_if(~F.expr(rule)).alias(f"r{i}") for i, rule in enumerate(rules.values())])
+    counted = df.agg(*[F.expr(f"count_if(not ({rule})) as r{i}") for i, rule in enumerate(rules.values())])
     pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(rules))
     return counted.selectExpr(f"stack({len(rules)}, {pairs}) as (rule, violations)")
 
 
-def neighbours(
-    df: DataFrame, key: str, start: Column, end: Column, broken: str, chunks: int | None = None
-) -> DataFrame:
+def neighbours(df: DataFrame, key: str, start: str, end: str, broken: str, chunks: int | None = None) -> DataFrame:
     """One row with the number of adjacent periods per key for which `broken` holds.
 
     `broken` is a condition over prev_end and start, where prev_end is the end of the preceding period of the key in
@@ -54,27 +51,18 @@ def neighbours(
     a hot key spreads over many chunks. Pairs inside a chunk are counted there; each chunk then hands on only its
     first start and last end per key, and the seams between chunks are counted over those.
     """
-    periods = df.select(F.col(key).alias("key"), start.alias("start"), end.alias("end"))
-    order = ["key", "start", "end"]
-    ranged = periods.repartitionByRange(*([chunks] if chunks else []), *order)
-    chunked = ranged.withColumn("chunk", F.spark_partition_id())
-    inside = Window.partitionBy("chunk", "key").orderBy("start", "end")
-    seams = Window.partitionBy("key").orderBy("chunk")
+    periods = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end")
+    ranged = periods.repartitionByRange(*([chunks] if chunks else []), "key", "start", "end")
     per_chunk = (
-        chunked.withColumn("prev_end", F.lag("end").over(inside))
+        ranged.selectExpr("*", "spark_partition_id() as chunk")
+        .selectExpr("*", "lag(end) over (partition by chunk, key order by start, end) as prev_end")
         .groupBy("chunk", "key")
         .agg(
-            F.count_if(F.expr(broken)).alias("pairs"),
-            F.min("start").alias("start"),
-            F.max_by("end", F.struct("start", "end")).alias("end"),
+            F.expr(f"count_if({broken}) as pairs"),
+            F.expr("min(start) as start"),
+            F.expr("max(struct(start, end)).end as end"),
         )
     )
-    return (
-        per_chunk.withColumn("prev_end", F.lag("end").over(seams))
-        .agg(F.sum(F.col("pairs") + F.when(F.expr(broken), 1).otherwise(0)).alias("n"))
-        .select(F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
+    return per_chunk.selectExpr("*", "lag(end) over (partition by key order by chunk) as prev_end").agg(
+        F.expr(f"cast(coalesce(sum(pairs + if({broken}, 1, 0)), 0) as bigint) as violations")
     )
-
-
-OVERLAPS = "prev_end > start"
-GAPS = "prev_end < start"

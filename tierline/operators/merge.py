@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalog.entities import Entity
-from tierline.functions.expr import empty_like
+from tierline.functions.expr import struct_of
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -17,19 +17,21 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     An aggregate, not a window: each map task already reduces a hot key to one row before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(best.alias("_row")).select(*[c if c in keys else f"_row.{c}" for c in df.columns])
+    best = df.groupBy(*keys).agg(F.expr(f"max_by({struct_of(rest)}, {struct_of(order)}) as row"))
+    return best.selectExpr(*[c if c in keys else f"row.`{c}`" for c in df.columns])
 
 
-def fail_on_second(df: DataFrame, keys: list[str], what: str, order: Iterable[Column] = ()) -> DataFrame:
+def _second(what: str, keys: list[str], broken: str) -> str:
+    """A filter that lets every row pass and raises on one for which `broken` holds."""
+    message = f"concat('{what}: second row for key ', to_json({struct_of(keys)}))"
+    return f"case when {broken} then cast(raise_error({message}) as boolean) else true end"
+
+
+def fail_on_second(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """Raises when a key occurs twice. Shuffle and sort order are the ones the following merge needs anyway."""
-    within = Window.partitionBy(*keys).orderBy(*(list(order) or [F.col(k) for k in keys]))
-    message = F.concat(F.lit(f"{what}: second row for key "), F.to_json(F.struct(*keys)))
-    return (
-        df.withColumn("_nth", F.row_number().over(within))
-        .where(F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
-        .drop("_nth")
-    )
+    key = ", ".join(keys)
+    numbered = df.selectExpr("*", f"row_number() over (partition by {key} order by {key}) as nth")
+    return numbered.where(_second(what, keys, "nth > 1")).drop("nth")
 
 
 def upsert(
@@ -37,14 +39,14 @@ def upsert(
     delta: DataFrame,
     keys: list[str],
     keep: Iterable[str] = (),
-    guard: str | None = None,
+    guard: str = "true",
     checked: bool = False,
 ) -> DataFrame:
     """Insert new keys, replace known ones.
 
-    keep:  columns an existing row holds on to.
-    guard: condition over t (target row) and d (delta row) under which an existing row is replaced, e.g.
-           "t.batch_id < d.batch_id".
+    keep:    columns an existing row holds on to.
+    guard:   condition over t (target row) and d (delta row) under which an existing row is replaced, e.g.
+             "t.batch_id < d.batch_id".
     checked: the delta is known to hold each key once; otherwise a key that occurs twice fails the query.
     A target stored bucketed by `keys` is not shuffled.
     """
@@ -52,93 +54,70 @@ def upsert(
         delta = fail_on_second(delta, keys, "upsert")
     if target is None:
         return delta
-    columns = delta.columns
-    t = target.select(*keys, F.struct(*columns).alias("t"))
-    d = delta.select(*keys, F.struct(*columns).alias("d"))
-    both = t.join(d, keys, "full_outer").drop(*keys)
-    replace = F.col("d").isNotNull() & (F.expr(guard) if guard else F.lit(True))
-    taken = F.when(F.col("t").isNull() | F.coalesce(replace, F.lit(False)), F.col("d")).otherwise(F.col("t"))
-    both = both.withColumn("_row", taken)
-    keep = set(keep)
-
-    def pick(c: str) -> Column:
-        if c in keep:
-            return F.when(F.col("t").isNull(), F.col(f"d.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-        return F.col(f"_row.{c}").alias(c)
-
-    return both.select(*[pick(c) for c in columns])
+    columns, keep = delta.columns, set(keep)
+    t = target.selectExpr(*keys, f"{struct_of(columns)} as t")
+    d = delta.selectExpr(*keys, f"{struct_of(columns)} as d")
+    merged = t.join(d, keys, "full_outer").selectExpr(
+        "t", "d", f"case when t is null or (d is not null and ({guard})) then d else t end as row"
+    )
+    return merged.selectExpr(
+        *[f"if(t is null, d.`{c}`, t.`{c}`) as `{c}`" if c in keep else f"row.`{c}`" for c in columns]
+    )
 
 
-def apply_stage(ods: DataFrame | None, staged: DataFrame, entity: Entity, changed_at: Column) -> DataFrame:
+def apply_stage(ods: DataFrame | None, staged: DataFrame, entity: Entity, changed_at: str) -> DataFrame:
     """ODS after one batch: valid inserts and updates first, then soft deletes, in one pass over the table.
 
     A deleted key comes back to life on a later insert; created_batch_id never moves; deletes of unknown keys are ignored.
     """
     keys = list(entity.keys)
-    rest = [c for c in entity.stage_names if c not in keys]
-    payload = [*rest, "source_system", "record_source", "batch_id", "operation_type"]
-    valid = staged.where(F.col("is_valid") & F.col("operation_type").isin("I", "U", "D"))
-    is_delete = F.col("operation_type") == "D"
-
+    key = ", ".join(keys)
+    rest = [c for c in entity.stage_names if c not in keys] + ["source_system", "record_source"]
     # Cleansing may fold two source keys into one: a delete may then meet an upsert (both apply), but two upserts fail.
     # The upsert sorts first, so the row after it, if any, is a delete.
-    by_key = Window.partitionBy(*keys).orderBy(is_delete)
-    deleted_in = F.when(is_delete, F.col("batch_id"))
-    message = F.concat(F.lit(f"ods {entity.name}: second row for key "), F.to_json(F.struct(*keys)))
-    ranked = (
-        valid.withColumns(
-            {
-                "_nth": F.row_number().over(by_key),
-                "_deleted_in": F.coalesce(deleted_in, F.lead(deleted_in).over(by_key)),
-            }
+    over = f"over (partition by {key} order by operation_type = 'D')"
+    batch = (
+        staged.where("is_valid and operation_type in ('I', 'U', 'D')")
+        .selectExpr("*", "case when operation_type = 'D' then batch_id end as deleted_in")
+        .selectExpr("*", f"row_number() {over} as nth", f"lead(deleted_in) {over} as deleted_next")
+        .where(_second(f"ods {entity.name}", keys, "nth > 1 and deleted_in is null"))
+        .where("nth = 1")
+        .selectExpr(
+            *keys,
+            f"case when deleted_in is null then {struct_of([*rest, 'batch_id', 'operation_type'])} end as u",
+            "coalesce(deleted_in, deleted_next) as deleted_in",
         )
-        .where(F.when((F.col("_nth") > 1) & ~is_delete, F.raise_error(message).cast("boolean")).otherwise(True))
-        .where("_nth = 1")
-    )
-    d = ranked.select(
-        *keys,
-        F.when(~is_delete, F.struct(*payload)).alias("u"),
-        F.col("_deleted_in"),
     )
-    technical = ["source_system", "record_source", "created_batch_id", "updated_batch_id", "last_changed_at"]
-    columns = [*entity.stage_names, *technical, "is_deleted", "last_operation_type"]
     if ods is None:
-        ods = empty_like(
-            staged.select(
-                *entity.stage_names,
-                "source_system",
-                "record_source",
-                F.col("batch_id").alias("created_batch_id"),
-                F.col("batch_id").alias("updated_batch_id"),
-                changed_at.alias("last_changed_at"),
-                F.lit(False).alias("is_deleted"),
-                F.col("operation_type").alias("last_operation_type"),
-            )
+        # Nothing to merge with; the rows stay distributed by key.
+        return batch.where("u is not null").selectExpr(
+            *[c if c in keys else f"u.`{c}`" for c in [*entity.stage_names, "source_system", "record_source"]],
+            "u.batch_id as created_batch_id",
+            "coalesce(deleted_in, u.batch_id) as updated_batch_id",
+            f"{changed_at} as last_changed_at",
+            "deleted_in is not null as is_deleted",
+            "if(deleted_in is null, u.operation_type, 'D') as last_operation_type",
         )
-    t = ods.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("t"))
-    both = t.join(d, keys, "full_outer").where("t is not null or u is not null")
-    upserted, deleted = F.col("u").isNotNull(), F.col("_deleted_in").isNotNull()
-    touched = upserted | deleted
-
-    def new_or_old(c: str) -> Column:
-        return F.when(upserted, F.col(f"u.{c}")).otherwise(F.col(f"t.{c}"))
-
-    values = {c: new_or_old(c) for c in [*rest, "source_system", "record_source"]}
-    values |= {k: F.col(k) for k in keys}
-    values["created_batch_id"] = F.coalesce("t.created_batch_id", "u.batch_id")
-    values["updated_batch_id"] = F.coalesce("_deleted_in", "u.batch_id", "t.updated_batch_id")
-    values["last_changed_at"] = F.when(touched, changed_at).otherwise(F.col("t.last_changed_at"))
-    values["is_deleted"] = F.when(deleted, True).when(upserted, False).otherwise(F.col("t.is_deleted"))
-    values["last_operation_type"] = F.when(deleted, "D").otherwise(
-        F.coalesce("u.operation_type", "t.last_operation_type")
+    technical = ["created_batch_id", "updated_batch_id", "last_changed_at", "is_deleted", "last_operation_type"]
+    known = ods.selectExpr(*keys, f"{struct_of([*rest, *technical])} as t")
+    both = known.join(batch, keys, "full_outer").where("t is not null or u is not null")
+    return both.selectExpr(
+        *[
+            c if c in keys else f"if(u is null, t.`{c}`, u.`{c}`) as `{c}`"
+            for c in [*entity.stage_names, "source_system", "record_source"]
+        ],
+        "coalesce(t.created_batch_id, u.batch_id) as created_batch_id",
+        "coalesce(deleted_in, u.batch_id, t.updated_batch_id) as updated_batch_id",
+        f"if(u is null and deleted_in is null, t.last_changed_at, {changed_at}) as last_changed_at",
+        "if(u is null and deleted_in is null, t.is_deleted, deleted_in is not null) as is_deleted",
+        "if(deleted_in is null, coalesce(u.operation_type, t.last_operation_type), 'D') as last_operation_type",
     )
-    return both.select(*[values[c].alias(c) for c in columns])
 
 
 def active_counts(df: DataFrame) -> DataFrame:
     """Total, active and deleted rows of a table with soft deletes."""
     return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~F.col("is_deleted")).alias("active_rows"),
-        F.count_if(F.col("is_deleted")).alias("deleted_rows"),
+        F.expr("count(*) as rows"),
+        F.expr("count_if(not is_deleted) as active_rows"),
+        F.expr("count_if(is_deleted) as deleted_rows"),
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalog.entities import Entity
+from tierline.functions.expr import quoted
 
 TECHNICAL = ["source_system", "record_source", "batch_id", "operation_type"]
 
@@ -18,25 +19,23 @@ def latest_batch_id(journal: DataFrame) -> int:
     return batch_id
 
 
-def clean(journal: DataFrame, entity: Entity, batch_id: int, staged_at: Column) -> DataFrame:
+def clean(journal: DataFrame, entity: Entity, batch_id: int, staged_at: str) -> DataFrame:
     if batch_id is None:
         raise ValueError(f"batch_id is required to stage {entity.name}")
-    return journal.where(F.col("batch_id") == batch_id).select(
-        *[c.column() for c in entity.stage],
-        F.col("load_date").alias("raw_load_date"),
-        staged_at.alias("stg_load_date"),
-        *TECHNICAL,
+    return journal.where(f"batch_id = {batch_id}").selectExpr(
+        *[c.sql() for c in entity.stage], "load_date as raw_load_date", f"{staged_at} as stg_load_date", *TECHNICAL
     )
 
 
 def validate(cleaned: DataFrame, entity: Entity) -> DataFrame:
     """Adds validation_error (all broken rules, '; '-joined, NULL if none) and is_valid."""
-    messages = [F.when(F.expr(rule.broken), rule.message) for rule in entity.rules]
-    error = F.nullif(F.concat_ws("; ", *messages), F.lit(""))
-    return cleaned.withColumn("validation_error", error).withColumn("is_valid", F.col("validation_error").isNull())
+    messages = ", ".join(f"case when {rule.broken} then {quoted(rule.message)} end" for rule in entity.rules)
+    return cleaned.selectExpr("*", f"nullif(concat_ws('; ', {messages}), '') as validation_error").selectExpr(
+        "*", "validation_error is null as is_valid"
+    )
 
 
-def stage(journal: DataFrame, entity: Entity, staged_at: Column, batch_id: int | None = None) -> DataFrame:
+def stage(journal: DataFrame, entity: Entity, staged_at: str, batch_id: int | None = None) -> DataFrame:
     """Cleaned and validated rows of one batch, by default the latest."""
     if batch_id is None:
         batch_id = latest_batch_id(journal)
@@ -45,6 +44,4 @@ def stage(journal: DataFrame, entity: Entity, staged_at: Column, batch_id: int |
 
 def counts(staged: DataFrame) -> DataFrame:
     """Rows and invalid rows per batch."""
-    return staged.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_valid")).alias("invalid_rows")
-    )
+    return staged.groupBy("batch_id").agg(F.expr("count(*) as rows"), F.expr("count_if(not is_valid) as invalid_rows"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
+from tierline.functions.expr import quoted
 from tierline.operators.integrity import GAPS, OVERLAPS, duplicate_keys, neighbours
 
 AMOUNT = "decimal(38,2)"
@@ -22,66 +23,61 @@ ENTITY = {"dim_airplanes": "airplanes", "dim_seats": "seats", "fact_bookings": "
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys; a composite key counts as a row value, so one with a NULL part still counts."""
-    value = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-    return df.agg(F.countDistinct(value).alias("v"))
+    value = keys[0] if len(keys) == 1 else f"struct({', '.join(keys)})"
+    return df.agg(F.expr(f"count(distinct {value}) as v"))
 
 
 def live_journal_keys(journal: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys whose last event is not a delete. An aggregate per key: hot keys shrink before the shuffle."""
-    last = journal.groupBy(*keys).agg(F.max_by("operation_type", F.struct("batch_id", "load_date")).alias("op"))
+    last = journal.groupBy(*keys).agg(F.expr("max_by(operation_type, struct(batch_id, load_date)) as op"))
     return distinct_keys(last.where("op <> 'D'"), keys)
 
 
 def active(df: DataFrame) -> DataFrame:
-    return df.where(~F.col("is_deleted"))
-
-
-def _stub(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.coalesce(F.col(k), F.lit("")) == fv.STUB_KEY for k in keys])
+    return df.where("not is_deleted")
 
 
 def without_stub(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.where(~_stub(keys))
+    return df.where("not (" + " and ".join(f"coalesce({k}, '') = '{fv.STUB_KEY}'" for k in keys) + ")")
 
 
 def rows_of(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("v"))
+    return df.agg(F.expr("count(*) as v"))
 
 
 # --- Results --------------------------------------------------------------------------------------------------------
 
 
 def result(
-    check_id: str, run_id: int, checked_at: Column, src: DataFrame | None, dwh: DataFrame, bad: str = "FAIL"
+    check_id: str, run_id: int, checked_at: str, src: DataFrame | None, dwh: DataFrame, bad: str = "FAIL"
 ) -> DataFrame:
     """One result row out of one-row measures; without `src` the expected value is zero.
 
     The two measures meet in a union and a tiny aggregate, so no join of any kind is planned.
     """
     _, check_type, layer_from, layer_to, object_name, description = ABOUT[check_id]
-    sides = dwh.select(F.lit("dwh").alias("side"), F.col("v").cast(AMOUNT).alias("v"))
+    sides = dwh.selectExpr("'dwh' as side", f"cast(v as {AMOUNT}) as v")
     if src is not None:
-        sides = sides.unionByName(src.select(F.lit("src").alias("side"), F.col("v").cast(AMOUNT).alias("v")))
-    left = F.max(F.when(F.col("side") == "src", F.col("v"))) if src is not None else F.lit(0).cast(AMOUNT)
-    both = sides.agg(left.alias("src_value"), F.max(F.when(F.col("side") == "dwh", F.col("v"))).alias("dwh_value"))
-    same = F.col("src_value") == F.col("dwh_value")
-    return both.select(
-        F.lit(check_id).alias("check_id"),
-        F.lit(check_type).alias("check_type"),
-        F.lit(layer_from).alias("layer_from"),
-        F.lit(layer_to).alias("layer_to"),
-        F.lit(object_name).alias("object_name"),
-        F.lit(description).alias("description"),
+        sides = sides.unionByName(src.selectExpr("'src' as side", f"cast(v as {AMOUNT}) as v"))
+    expected = f"cast(0 as {AMOUNT})" if src is None else "max(v) filter (where side = 'src')"
+    both = sides.agg(F.expr(f"{expected} as src_value"), F.expr("max(v) filter (where side = 'dwh') as dwh_value"))
+    return both.selectExpr(
+        f"{quoted(check_id)} as check_id",
+        f"{quoted(check_type)} as check_type",
+        f"{quoted(layer_from)} as layer_from",
+        f"{quoted(layer_to)} as layer_to",
+        f"{quoted(object_name)} as object_name",
+        f"{quoted(description)} as description",
         "src_value",
         "dwh_value",
-        (F.col("src_value") - F.col("dwh_value")).cast(AMOUNT).alias("diff"),
-        F.when(same, "PASS").otherwise(bad).alias("status"),
-        F.lit(run_id).cast("bigint").alias("run_id"),
-        checked_at.alias("checked_at"),
+        f"cast(src_value - dwh_value as {AMOUNT}) as diff",
+        f"if(src_value = dwh_value, 'PASS', '{bad}') as status",
+        f"cast({run_id} as bigint) as run_id",
+        f"{checked_at} as checked_at",
     )
 
 
-def check(check_id: str, tables: Mapping[str, DataFrame], run_id: int, checked_at: Column) -> DataFrame:
+def check(check_id: str, tables: Mapping[str, DataFrame], run_id: int, checked_at: str) -> DataFrame:
     """One check. Tables are named source.<entity>, raw.<entity>, ods.<entity> and dds.<object>."""
     _, check_type, layer_from, layer_to, name, _ = ABOUT[check_id]
     keys = KEYS[name]
@@ -106,29 +102,32 @@ def check(check_id: str, tables: Mapping[str, DataFrame], run_id: int, checked_a
     if check_type == "duplicate":
         return done(None, rows_of(duplicate_keys(dds_live(), keys)))
     if check_type == "aggregate":
-        total = F.coalesce(F.sum("total_amount"), F.lit(0)).alias("v")
+        total = F.expr("coalesce(sum(total_amount), 0) as v")
         return done(active(tables[f"ods.{entity}"]).agg(total), dds_live().agg(total))
     if check_id == "SCD2-01":
-        twice = dds_live().groupBy(*keys).count().where("count > 1")
+        twice = dds_live().groupBy(*keys).agg(F.expr("count(*) as rows")).where("rows > 1")
         return done(None, rows_of(twice))
     broken = OVERLAPS if check_id == "SCD2-02" else GAPS
     versions = without_stub(tables[f"dds.{name}"], keys)
-    violations = neighbours(versions, keys[0], F.col("valid_from"), F.col("valid_to"), broken)
-    return done(None, violations.select(F.col("violations").alias("v")), "FAIL" if check_id == "SCD2-02" else "WARN")
+    found = neighbours(versions, keys[0], "valid_from", "valid_to", broken).selectExpr("violations as v")
+    return done(None, found, "FAIL" if check_id == "SCD2-02" else "WARN")
 
 
-def checks_of(object_name: str, tables: Mapping[str, DataFrame], run_id: int, checked_at: Column) -> DataFrame:
+def checks_of(object_name: str, tables: Mapping[str, DataFrame], run_id: int, checked_at: str) -> DataFrame:
     """All checks of one object."""
     ids = [c[0] for c in fv.CHECKS if c[4] == object_name]
     return reduce(DataFrame.unionByName, [check(i, tables, run_id, checked_at) for i in ids])
 
 
-def all_checks(tables: Mapping[str, DataFrame], run_id: int, checked_at: Column) -> DataFrame:
+def all_checks(tables: Mapping[str, DataFrame], run_id: int, checked_at: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [checks_of(o, tables, run_id, checked_at) for o in KEYS])
 
 
 # --- Report ---------------------------------------------------------------------------------------------------------
 
+SEAM = "concat(layer_from, ' → ', layer_to)"
+BY_STATUS = [f"count_if(status = '{s}') as {s.lower()}" for s in fv.CHECK_STATUSES]
+
 
 def last_run(results: DataFrame) -> DataFrame:
     newest = results.agg(F.max("run_id"))
@@ -137,38 +136,27 @@ def last_run(results: DataFrame) -> DataFrame:
 
 def run_totals(results: DataFrame) -> DataFrame:
     """Checks, passes, failures and warnings per run."""
-    return results.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("checks"),
-        *[F.count_if(F.col("status") == s).alias(s.lower()) for s in fv.CHECK_STATUSES],
-    )
+    return results.groupBy("run_id").agg(F.expr("count(*) as checks"), *[F.expr(e) for e in BY_STATUS])
 
 
 def status_summary(results: DataFrame) -> DataFrame:
-    counted = last_run(results).agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("status") == s).alias(s.lower()) for s in fv.CHECK_STATUSES],
-    )
-    share = F.col("pass") * 100 / F.nullif(F.col("total"), F.lit(0))
-    return counted.withColumn("pass_percent", F.round(share, 0).cast("int"))
+    counted = last_run(results).agg(F.expr("count(*) as total"), *[F.expr(e) for e in BY_STATUS])
+    return counted.selectExpr("*", "cast(round(pass * 100 / nullif(total, 0), 0) as int) as pass_percent")
 
 
 def coverage(results: DataFrame, by: str) -> DataFrame:
     """Checks per object_name or check_type, fewest first."""
-    return last_run(results).groupBy(by).agg(F.count(F.lit(1)).alias("checks")).orderBy("checks", by)
-
-
-def seam() -> Column:
-    return F.concat_ws(" → ", "layer_from", "layer_to")
+    return last_run(results).groupBy(by).agg(F.expr("count(*) as checks")).orderBy("checks", by)
 
 
 def seam_coverage(results: DataFrame) -> DataFrame:
     """Checks per layer seam, in layer order; seams without checks are left out."""
-    known = F.array(*[F.lit(s) for s in fv.SEAM_ORDER])
+    known = ", ".join(quoted(s) for s in fv.SEAM_ORDER)
     return (
         last_run(results)
-        .groupBy(seam().alias("seam"))
-        .agg(F.count(F.lit(1)).alias("checks"))
-        .withColumn("position", F.array_position(known, F.col("seam")))
+        .groupBy(F.expr(f"{SEAM} as seam"))
+        .agg(F.expr("count(*) as checks"))
+        .selectExpr("seam", "checks", f"array_position(array({known}), seam) as position")
         .where("position > 0")
         .orderBy("position")
     )
@@ -178,14 +166,14 @@ def details(results: DataFrame) -> DataFrame:
     """The detail table with values as grouped text."""
     return (
         last_run(results)
-        .select(
+        .selectExpr(
             "check_id",
             "object_name",
-            seam().alias("seam"),
+            f"{SEAM} as seam",
             "check_type",
-            F.format_number("src_value", 0).alias("src_value"),
-            F.format_number("dwh_value", 0).alias("dwh_value"),
-            F.format_number("diff", 2).alias("diff"),
+            "format_number(src_value, 0) as src_value",
+            "format_number(dwh_value, 0) as dwh_value",
+            "format_number(diff, 2) as diff",
             "status",
         )
         .orderBy("check_id")

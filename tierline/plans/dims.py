@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.expr import canonical_text, surrogate_key
@@ -22,44 +22,46 @@ AIRPORT_TRACKED = [
 ]
 
 
-def above_watermark(ods: DataFrame, target: DataFrame | None, column: str = "batch_id") -> DataFrame:
+def above_watermark(ods: DataFrame, target: DataFrame | None) -> DataFrame:
     """ODS rows touched by batches later than the newest one in the target."""
     if target is None:
         return ods.where("updated_batch_id > 0")
-    newest = target.agg(F.coalesce(F.max(column), F.lit(0)))
+    newest = target.agg(F.expr("coalesce(max(batch_id), 0)"))
     return ods.where(F.col("updated_batch_id") > newest.scalar())
 
 
-def dim_airplanes(dim: DataFrame | None, ods: DataFrame, effective_at: Column) -> DataFrame:
+def dim_airplanes(dim: DataFrame | None, ods: DataFrame, effective_at: str) -> DataFrame:
     return scd2_merge(dim, ods, "airplane_code", "airplane_sk", AIRPLANE_TRACKED, effective_at)
 
 
-def dim_airports(dim: DataFrame | None, ods: DataFrame, effective_at: Column) -> DataFrame:
+def dim_airports(dim: DataFrame | None, ods: DataFrame, effective_at: str) -> DataFrame:
     return scd2_merge(dim, ods, "airport_code", "airport_sk", AIRPORT_TRACKED, effective_at)
 
 
 def _current(dim: DataFrame, key: str, sk: str, key_as: str, sk_as: str) -> DataFrame:
-    return dim.where("is_current").select(F.col(key).alias(key_as), F.col(sk).alias(sk_as))
+    return dim.where("is_current").selectExpr(f"{key} as {key_as}", f"{sk} as {sk_as}")
 
 
-def route_key(route_no: str, validity: str) -> Column:
+def route_key(route_no: str, validity: str) -> str:
     """Key of a route; an open bound has no text, so the key would be NULL, and that is an error."""
-    bounds = [canonical_text(F.col(validity)[b], "timestamp") for b in ("lower", "upper")]
-    key = surrogate_key(F.col(route_no), *bounds)
-    message = F.concat(F.lit("route key needs both range bounds, route "), F.col(route_no))
-    return F.coalesce(key, F.raise_error(message).cast("string"))
+    bounds = [canonical_text(f"{validity}.{b}", "timestamp") for b in ("lower", "upper")]
+    message = f"concat('route key needs both range bounds, route ', {route_no})"
+    return f"coalesce({surrogate_key(route_no, *bounds)}, cast(raise_error({message}) as string))"
 
 
 def dim_routes(
-    dim: DataFrame | None, ods: DataFrame, airports: DataFrame, airplanes: DataFrame, changed_at: Column
+    dim: DataFrame | None, ods: DataFrame, airports: DataFrame, airplanes: DataFrame, changed_at: str
 ) -> DataFrame:
-    """Routes with the keys of the current airport and airplane versions; routes without them wait outside."""
+    """Routes with the keys of the current airport and airplane versions; routes without them are left out."""
+    departures = _current(airports, "airport_code", "airport_sk", "departure_airport", "departure_airport_sk")
+    arrivals = _current(airports, "airport_code", "airport_sk", "arrival_airport", "arrival_airport_sk")
+    models = _current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk")
     rows = (
         above_watermark(ods, dim)
-        .join(_current(airports, "airport_code", "airport_sk", "departure_airport", "departure_airport_sk"), "departure_airport")
-        .join(_current(airports, "airport_code", "airport_sk", "arrival_airport", "arrival_airport_sk"), "arrival_airport")
-        .join(_current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk"), "airplane_code")
-        .select(
+        .join(departures, "departure_airport")
+        .join(arrivals, "arrival_airport")
+        .join(models, "airplane_code")
+        .selectExpr(
             "route_no",
             "validity",
             "departure_airport_sk",
@@ -70,47 +72,53 @@ def dim_routes(
             "duration",
             "source_system",
             "record_source",
-            F.col("updated_batch_id").alias("batch_id"),
-            changed_at.alias("last_changed_at"),
+            "updated_batch_id as batch_id",
+            f"{changed_at} as last_changed_at",
             "is_deleted",
         )
     )
     latest = latest_per_key(rows, ["route_no", "validity"], ["batch_id", "airplane_sk"])
-    keyed = latest.select(route_key("route_no", "validity").alias("route_sk"), *latest.columns)
+    keyed = latest.selectExpr(f"{route_key('route_no', 'validity')} as route_sk", "*")
     return upsert(dim, keyed, ["route_no", "validity"], keep=["route_sk"], checked=True)
 
 
-def dim_seats(dim: DataFrame | None, ods: DataFrame, airplanes: DataFrame, changed_at: Column) -> DataFrame:
+def dim_seats(dim: DataFrame | None, ods: DataFrame, airplanes: DataFrame, changed_at: str) -> DataFrame:
+    models = _current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk")
     rows = (
         above_watermark(ods, dim)
-        .join(_current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk"), "airplane_code")
-        .select(
-            surrogate_key(F.col("airplane_code"), F.col("seat_no")).alias("seat_sk"),
+        .join(models, "airplane_code")
+        .selectExpr(
+            f"{surrogate_key('airplane_code', 'seat_no')} as seat_sk",
             "airplane_code",
             "seat_no",
             "airplane_sk",
             "fare_conditions",
             "source_system",
             "record_source",
-            F.col("updated_batch_id").alias("batch_id"),
-            changed_at.alias("last_changed_at"),
+            "updated_batch_id as batch_id",
+            f"{changed_at} as last_changed_at",
             "is_deleted",
         )
     )
     return upsert(dim, rows, ["airplane_code", "seat_no"], keep=["seat_sk"], guard="t.batch_id <> d.batch_id")
 
 
-def dim_passenger(dim: DataFrame | None, tickets: DataFrame, changed_at: Column) -> DataFrame:
+def dim_passenger(dim: DataFrame | None, tickets: DataFrame, changed_at: str) -> DataFrame:
     """One row per passenger from the latest ticket, deleted tickets included; ticket_no breaks ties."""
     rows = above_watermark(tickets, dim).where("passenger_id is not null")
     latest = latest_per_key(
-        rows.select(
-            "passenger_id", "passenger_name", "source_system", "record_source", F.col("updated_batch_id").alias("batch_id"), "ticket_no"
+        rows.selectExpr(
+            "passenger_id",
+            "passenger_name",
+            "source_system",
+            "record_source",
+            "updated_batch_id as batch_id",
+            "ticket_no",
         ),
         ["passenger_id"],
         ["batch_id", "ticket_no"],
-    ).drop("ticket_no")
-    keyed = latest.select(
-        surrogate_key(F.col("passenger_id")).alias("passenger_sk"), *latest.columns, changed_at.alias("last_changed_at")
+    )
+    keyed = latest.drop("ticket_no").selectExpr(
+        f"{surrogate_key('passenger_id')} as passenger_sk", "*", f"{changed_at} as last_changed_at"
     )
     return upsert(dim, keyed, ["passenger_id"], keep=["passenger_sk"], checked=True)

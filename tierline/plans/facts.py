@@ -9,7 +9,7 @@ overlap, need the check for a key that occurs twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.expr import in_range, surrogate_key
@@ -19,26 +19,26 @@ from tierline.plans.dims import above_watermark
 LATER_BATCH = "t.batch_id < d.batch_id"
 
 
-def _technical(changed_at: Column) -> list[Column]:
+def _technical(changed_at: str) -> list[str]:
     return [
-        F.col("source_system"),
-        F.col("record_source"),
-        F.col("updated_batch_id").alias("batch_id"),
-        changed_at.alias("last_changed_at"),
-        F.col("is_deleted"),
+        "source_system",
+        "record_source",
+        "updated_batch_id as batch_id",
+        f"{changed_at} as last_changed_at",
+        "is_deleted",
     ]
 
 
 def route_at_departure(flights: DataFrame, routes: DataFrame) -> DataFrame:
     """Each flight with the route version valid at its scheduled departure (half-open range)."""
-    r = routes.select(F.col("route_no").alias("_route_no"), "validity", "route_sk")
-    match = (F.col("route_no") == F.col("_route_no")) & in_range(F.col("scheduled_departure"), F.col("validity"))
-    return flights.join(r, match).drop("_route_no", "validity")
+    r = routes.selectExpr("route_no as r_route_no", "validity", "route_sk")
+    match = F.expr(f"route_no = r_route_no and {in_range('scheduled_departure', 'validity')}")
+    return flights.join(r, match).drop("r_route_no", "validity")
 
 
-def fact_flights(fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: Column) -> DataFrame:
-    rows = route_at_departure(above_watermark(ods, fact), routes).select(
-        surrogate_key(F.col("flight_id"), F.col("source_system")).alias("flight_sk"),
+def fact_flights(fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: str) -> DataFrame:
+    rows = route_at_departure(above_watermark(ods, fact), routes).selectExpr(
+        f"{surrogate_key('flight_id', 'source_system')} as flight_sk",
         "route_sk",
         "flight_id",
         "status",
@@ -51,9 +51,9 @@ def fact_flights(fact: DataFrame | None, ods: DataFrame, routes: DataFrame, chan
     return upsert(fact, rows, ["flight_id"], keep=["flight_sk"])
 
 
-def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: Column) -> DataFrame:
-    rows = above_watermark(ods, fact).select(
-        surrogate_key(F.col("book_ref"), F.col("source_system")).alias("bookings_sk"),
+def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: str) -> DataFrame:
+    rows = above_watermark(ods, fact).selectExpr(
+        f"{surrogate_key('book_ref', 'source_system')} as bookings_sk",
         "book_ref",
         "book_date",
         "total_amount",
@@ -63,15 +63,15 @@ def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: Column) ->
 
 
 def fact_tickets(
-    fact: DataFrame | None, ods: DataFrame, bookings: DataFrame, passengers: DataFrame, changed_at: Column
+    fact: DataFrame | None, ods: DataFrame, bookings: DataFrame, passengers: DataFrame, changed_at: str
 ) -> DataFrame:
     rows = (
         above_watermark(ods, fact)
         .where("ticket_no is not null")
         .join(bookings.select("book_ref", "bookings_sk"), "book_ref")
         .join(passengers.select("passenger_id", "passenger_sk"), "passenger_id")
-        .select(
-            surrogate_key(F.col("ticket_no"), F.col("source_system")).alias("ticket_sk"),
+        .selectExpr(
+            f"{surrogate_key('ticket_no', 'source_system')} as ticket_sk",
             "bookings_sk",
             "passenger_sk",
             "ticket_no",
@@ -89,15 +89,15 @@ def _by_ticket_and_flight(
     flights: DataFrame,
     sk: str,
     measures: list[str],
-    changed_at: Column,
+    changed_at: str,
 ) -> DataFrame:
     rows = (
         above_watermark(ods, fact)
         .where("ticket_no is not null and flight_id is not null")
         .join(tickets.select("ticket_no", "ticket_sk"), "ticket_no")
         .join(flights.select("flight_id", "flight_sk"), "flight_id")
-        .select(
-            surrogate_key(F.col("ticket_no"), F.col("flight_id"), F.col("source_system")).alias(sk),
+        .selectExpr(
+            f"{surrogate_key('ticket_no', 'flight_id', 'source_system')} as {sk}",
             "ticket_sk",
             "flight_sk",
             *measures,
@@ -108,13 +108,13 @@ def _by_ticket_and_flight(
 
 
 def fact_segments(
-    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: Column
+    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str
 ) -> DataFrame:
     return _by_ticket_and_flight(fact, ods, tickets, flights, "segment_sk", ["fare_conditions", "price"], changed_at)
 
 
 def fact_boarding_passes(
-    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: Column
+    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str
 ) -> DataFrame:
     measures = ["seat_no", "boarding_no", "boarding_time"]
     return _by_ticket_and_flight(fact, ods, tickets, flights, "boarding_pass_sk", measures, changed_at)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
 from tierline.operators.merge import upsert
 
 
-def _renamed(df: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
+def _renamed(df: DataFrame, prefix: str, columns: str) -> DataFrame:
+    return df.selectExpr(*[f"{c} as {prefix}_{c}" for c in columns.split()])
+
+
+def _left(df: DataFrame, parent: DataFrame, on: str) -> DataFrame:
+    return df.join(parent, F.expr(on), "left")
 
 
 def sales_rows(
@@ -22,7 +26,7 @@ def sales_rows(
     routes: DataFrame,
     airports: DataFrame,
     airplanes: DataFrame,
-    loaded_at: Column,
+    loaded_at: str,
 ) -> DataFrame:
     """Ticket x flight rows with all names, one per live segment.
 
@@ -30,58 +34,51 @@ def sales_rows(
     join is a left join on a unique key, so the grouping does not change the result, and the segments, by far the
     widest side, cross two shuffles instead of seven.
     """
-    ticket = (
-        _renamed(tickets, "t", ["ticket_sk", "bookings_sk", "passenger_sk", "ticket_no", "outbound", "batch_id", "is_deleted"])
-        .join(_renamed(bookings, "b", ["bookings_sk", "book_ref", "book_date", "total_amount", "batch_id", "is_deleted"]),
-              F.col("t_bookings_sk") == F.col("b_bookings_sk"), "left")
-        .join(_renamed(passengers, "p", ["passenger_sk", "passenger_id"]),
-              F.col("t_passenger_sk") == F.col("p_passenger_sk"), "left")
-        .drop("t_bookings_sk", "b_bookings_sk", "t_passenger_sk", "p_passenger_sk")
+    t = _renamed(tickets, "t", "ticket_sk bookings_sk passenger_sk ticket_no outbound batch_id is_deleted")
+    b = _renamed(bookings, "b", "bookings_sk book_ref book_date total_amount batch_id is_deleted")
+    p = _renamed(passengers, "p", "passenger_sk passenger_id")
+    f = _renamed(
+        flights,
+        "f",
+        "flight_sk route_sk flight_id status scheduled_departure scheduled_arrival actual_departure actual_arrival"
+        " batch_id is_deleted",
     )
-    names = ["airport_sk", "airport_name_ru", "batch_id"]
-    route = (
-        _renamed(routes, "r", ["route_sk", "route_no", "departure_airport_sk", "arrival_airport_sk", "airplane_sk", "duration", "batch_id"])
-        .join(_renamed(airports, "dep", names), F.col("r_departure_airport_sk") == F.col("dep_airport_sk"), "left")
-        .join(_renamed(airports, "arr", names), F.col("r_arrival_airport_sk") == F.col("arr_airport_sk"), "left")
-        .join(_renamed(airplanes, "a", ["airplane_sk", "model_ru", "batch_id"]),
-              F.col("r_airplane_sk") == F.col("a_airplane_sk"), "left")
-        .drop("r_departure_airport_sk", "r_arrival_airport_sk", "r_airplane_sk")
+    r = _renamed(
+        routes, "r", "route_sk route_no departure_airport_sk arrival_airport_sk airplane_sk duration batch_id"
     )
-    flight_columns = ["flight_sk", "route_sk", "flight_id", "status", "scheduled_departure", "scheduled_arrival",
-                      "actual_departure", "actual_arrival", "batch_id", "is_deleted"]
-    flight = _renamed(flights, "f", flight_columns).join(route, F.col("f_route_sk") == F.col("r_route_sk"), "left")
-
-    def alive(prefix: str) -> Column:
-        return ~F.coalesce(F.col(f"{prefix}_is_deleted"), F.lit(False))
-
-    newest = F.greatest(*[F.coalesce(F.col(f"{x}_batch_id"), F.lit(0)) for x in ("s", "t", "b", "f", "r", "dep", "arr", "a")])
+    dep, arr = (_renamed(airports, x, "airport_sk airport_name_ru batch_id") for x in ("dep", "arr"))
+    a = _renamed(airplanes, "a", "airplane_sk model_ru batch_id")
+
+    ticket = _left(_left(t, b, "t_bookings_sk = b_bookings_sk"), p, "t_passenger_sk = p_passenger_sk")
+    route = _left(_left(r, dep, "r_departure_airport_sk = dep_airport_sk"), arr, "r_arrival_airport_sk = arr_airport_sk")
+    flight = _left(f, _left(route, a, "r_airplane_sk = a_airplane_sk"), "f_route_sk = r_route_sk")
+    s = _renamed(segments.where("not is_deleted"), "s", "ticket_sk flight_sk price fare_conditions batch_id")
+    batches = ", ".join(f"coalesce({x}_batch_id, 0)" for x in ("s", "t", "b", "f", "r", "dep", "arr", "a"))
     return (
-        _renamed(segments.where(~F.col("is_deleted")), "s", ["ticket_sk", "flight_sk", "price", "fare_conditions", "batch_id"])
-        .join(ticket, F.col("s_ticket_sk") == F.col("t_ticket_sk"), "left")
-        .join(flight, F.col("s_flight_sk") == F.col("f_flight_sk"), "left")
-        .where(alive("t") & alive("b") & alive("f"))
-        .select(
-            F.col("t_ticket_no").alias("ticket_no"),
-            F.col("f_flight_id").alias("flight_id"),
-            F.col("p_passenger_id").alias("passenger_id"),
-            F.col("r_route_no").alias("route_no"),
-            F.col("b_book_ref").alias("book_ref"),
-            F.col("b_total_amount").alias("total_amount"),
-            F.col("s_price").alias("price"),
-            F.col("s_fare_conditions").alias("fare_conditions"),
-            F.col("t_outbound").alias("outbound"),
-            F.col("b_book_date").alias("book_date"),
-            F.col("f_status").alias("status"),
-            F.col("f_scheduled_departure").alias("scheduled_departure"),
-            F.col("f_scheduled_arrival").alias("scheduled_arrival"),
-            F.col("f_actual_departure").alias("actual_departure"),
-            F.col("f_actual_arrival").alias("actual_arrival"),
-            F.col("r_duration").alias("duration"),
-            F.col("dep_airport_name_ru").alias("departure_airport_name"),
-            F.col("arr_airport_name_ru").alias("arrival_airport_name"),
-            F.col("a_model_ru").alias("airplane_model"),
-            newest.cast("bigint").alias("source_max_batch_id"),
-            loaded_at.alias("mart_load_date"),
+        _left(_left(s, ticket, "s_ticket_sk = t_ticket_sk"), flight, "s_flight_sk = f_flight_sk")
+        .where(" and ".join(f"not coalesce({x}_is_deleted, false)" for x in ("t", "b", "f")))
+        .selectExpr(
+            "t_ticket_no as ticket_no",
+            "f_flight_id as flight_id",
+            "p_passenger_id as passenger_id",
+            "r_route_no as route_no",
+            "b_book_ref as book_ref",
+            "b_total_amount as total_amount",
+            "s_price as price",
+            "s_fare_conditions as fare_conditions",
+            "t_outbound as outbound",
+            "b_book_date as book_date",
+            "f_status as status",
+            "f_scheduled_departure as scheduled_departure",
+            "f_scheduled_arrival as scheduled_arrival",
+            "f_actual_departure as actual_departure",
+            "f_actual_arrival as actual_arrival",
+            "r_duration as duration",
+            "dep_airport_name_ru as departure_airport_name",
+            "arr_airport_name_ru as arrival_airport_name",
+            "a_model_ru as airplane_model",
+            f"cast(greatest({batches}) as bigint) as source_max_batch_id",
+            f"{loaded_at} as mart_load_date",
         )
     )
 
@@ -91,11 +88,15 @@ def flight_sales(mart: DataFrame | None, rows: DataFrame) -> DataFrame:
     if mart is None:
         fresh = rows.where("source_max_batch_id > 0")
     else:
-        newest = mart.agg(F.coalesce(F.max("source_max_batch_id"), F.lit(0)))
+        newest = mart.agg(F.expr("coalesce(max(source_max_batch_id), 0)"))
         fresh = rows.where(F.col("source_max_batch_id") > newest.scalar())
     return upsert(mart, fresh, ["ticket_no", "flight_id"], checked=True)
 
 
+def _agg(grouped, *expressions: str) -> DataFrame:
+    return grouped.agg(*[F.expr(e) for e in expressions])
+
+
 def flight_revenue(sales: DataFrame) -> DataFrame:
     """Passengers and revenue per flight, total and by fare class.
 
@@ -103,40 +104,42 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
     and distinct passengers become plain counts, then one row per flight. Names: the few distinct combinations of a
     flight, then their maximum. Both sides stay hash aggregates and meet co-partitioned by flight.
     """
-    in_class = {f.lower(): F.col("fare_conditions") == f for f in fv.FARE_CONDITIONS}
-    per_passenger = sales.groupBy("flight_id", "passenger_id").agg(
-        F.sum("price").alias("revenue"),
-        F.count("price").alias("prices"),
-        F.max("price").alias("max_price"),
-        F.min("price").alias("min_price"),
-        *[F.sum(F.when(cond, F.col("price"))).alias(f"{f}_revenue") for f, cond in in_class.items()],
-        *[F.max(cond).alias(f"in_{f}") for f, cond in in_class.items()],
+    classes = {f.lower(): f"fare_conditions = '{f}'" for f in fv.FARE_CONDITIONS}
+    per_passenger = _agg(
+        sales.groupBy("flight_id", "passenger_id"),
+        "sum(price) as revenue",
+        "count(price) as prices",
+        "max(price) as max_price",
+        "min(price) as min_price",
+        *[f"sum(price) filter (where {cond}) as {f}_revenue" for f, cond in classes.items()],
+        *[f"max({cond}) as in_{f}" for f, cond in classes.items()],
     )
-    known = F.col("passenger_id").isNotNull()
-    by_class: list[Column] = []
-    for f in in_class:
-        by_class += [
-            F.count_if(known & F.col(f"in_{f}")).alias(f"{f}_passenger_count"),
-            F.coalesce(F.sum(f"{f}_revenue"), F.lit(0)).alias(f"{f}_revenue"),
-        ]
-    measures = per_passenger.groupBy("flight_id").agg(
-        F.count("passenger_id").alias("passenger_count"),
-        F.sum("revenue").alias("total_revenue"),
+    by_class = [
+        e
+        for f in classes
+        for e in (
+            f"count_if(passenger_id is not null and in_{f}) as {f}_passenger_count",
+            f"coalesce(sum({f}_revenue), 0) as {f}_revenue",
+        )
+    ]
+    measures = _agg(
+        per_passenger.groupBy("flight_id"),
+        "count(passenger_id) as passenger_count",
+        "sum(revenue) as total_revenue",
         *by_class,
-        F.sum("prices").alias("prices"),
-        F.max("max_price").alias("max_price"),
-        F.min("min_price").alias("min_price"),
+        "sum(prices) as prices",
+        "max(max_price) as max_price",
+        "min(min_price) as min_price",
     )
     names = ["status", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"]
     combinations = sales.select("flight_id", *names).distinct()
-    labels = combinations.groupBy("flight_id").agg(*[F.max(c).alias(c) for c in names])
-    average = F.round(F.col("total_revenue") / F.nullif(F.col("prices"), F.lit(0)), 2).alias("avg_price")
-    return measures.join(labels, "flight_id").select(
+    labels = _agg(combinations.groupBy("flight_id"), *[f"max({c}) as {c}" for c in names])
+    return measures.join(labels, "flight_id").selectExpr(
         "flight_id",
         "passenger_count",
         "total_revenue",
-        *[f"{f}_{m}" for f in in_class for m in ("passenger_count", "revenue")],
-        average,
+        *[f"{f}_{m}" for f in classes for m in ("passenger_count", "revenue")],
+        "round(total_revenue / nullif(prices, 0), 2) as avg_price",
         "max_price",
         "min_price",
         *names,
@@ -150,56 +153,52 @@ def airport_traffic(sales: DataFrame) -> DataFrame:
     counted ids before the last shuffle, so a hot airport does not land in one task.
     """
 
-    def event(kind: str, name: str, actual: str, scheduled: str) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.to_date(F.coalesce(actual, scheduled)).alias("traffic_date"),
-            F.col(name).alias("airport_name"),
+    def event(kind: str, side: str) -> str:
+        return (
+            f"named_struct('kind', '{kind}', 'airport_name', {side}_airport_name,"
+            f" 'traffic_date', to_date(coalesce(actual_{side}, scheduled_{side})))"
         )
 
     events = (
-        sales.select(
+        sales.selectExpr(
             "flight_id",
             "passenger_id",
             "price",
-            F.explode(
-                F.array(
-                    event("d", "departure_airport_name", "actual_departure", "scheduled_departure"),
-                    event("a", "arrival_airport_name", "actual_arrival", "scheduled_arrival"),
-                )
-            ).alias("e"),
+            f"explode(array({event('d', 'departure')}, {event('a', 'arrival')})) as e",
         )
-        .select("flight_id", "passenger_id", "price", "e.*")
+        .selectExpr("flight_id", "passenger_id", "price", "e.*")
         .where("airport_name is not null and traffic_date is not null")
     )
-    per_kind = events.groupBy("traffic_date", "airport_name", "kind").agg(
-        F.countDistinct("flight_id").alias("flights"),
-        F.countDistinct("passenger_id").alias("passengers"),
-        F.sum("price").alias("revenue"),
+    per_kind = _agg(
+        events.groupBy("traffic_date", "airport_name", "kind"),
+        "count(distinct flight_id) as flights",
+        "count(distinct passenger_id) as passengers",
+        "sum(price) as revenue",
     )
 
-    def side(kind: str, column: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col(column))), F.lit(0))
-
-    day = per_kind.groupBy("traffic_date", "airport_name").agg(
-        side("d", "flights").alias("departures_count"),
-        side("a", "flights").alias("arrivals_count"),
-        side("d", "passengers").alias("departure_passenger_count"),
-        side("a", "passengers").alias("arrival_passenger_count"),
-        side("d", "revenue").alias("departure_revenue"),
-        side("a", "revenue").alias("arrival_revenue"),
+    def side(kind: str, column: str, name: str) -> str:
+        return f"coalesce(max({column}) filter (where kind = '{kind}'), 0) as {name}"
+
+    day = _agg(
+        per_kind.groupBy("traffic_date", "airport_name"),
+        side("d", "flights", "departures_count"),
+        side("a", "flights", "arrivals_count"),
+        side("d", "passengers", "departure_passenger_count"),
+        side("a", "passengers", "arrival_passenger_count"),
+        side("d", "revenue", "departure_revenue"),
+        side("a", "revenue", "arrival_revenue"),
     )
-    return day.select(
+    return day.selectExpr(
         "traffic_date",
         "airport_name",
         "departures_count",
         "arrivals_count",
         "departure_passenger_count",
         "arrival_passenger_count",
-        (F.col("departure_passenger_count") + F.col("arrival_passenger_count")).alias("total_passenger_count"),
+        "departure_passenger_count + arrival_passenger_count as total_passenger_count",
         "departure_revenue",
         "arrival_revenue",
-        (F.col("departure_revenue") + F.col("arrival_revenue")).alias("total_revenue"),
+        "departure_revenue + arrival_revenue as total_revenue",
     )
 
 
@@ -207,48 +206,38 @@ def airport_traffic(sales: DataFrame) -> DataFrame:
 
 
 def revenue_by_day(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(F.to_date("book_date").alias("book_day")).agg(F.sum("price").alias("revenue"))
+    return _agg(sales.groupBy(F.expr("to_date(book_date) as book_day")), "sum(price) as revenue")
 
 
-def _distinct_tickets(sales: DataFrame, *by: str) -> DataFrame:
+def _per_ticket(sales: DataFrame, *by: str) -> DataFrame:
     """One row per group and ticket with partial sums; distinct tickets become counts without expanding the rows."""
-    return sales.groupBy(*by, "ticket_no").agg(F.sum("price").alias("revenue"), F.count("price").alias("prices"))
+    return _agg(sales.groupBy(*by, "ticket_no"), "sum(price) as revenue", "count(price) as prices")
 
 
 def kpis(sales: DataFrame) -> DataFrame:
-    return _distinct_tickets(sales).agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.round(F.sum("revenue") / F.nullif(F.sum("prices"), F.lit(0)), 2).alias("avg_ticket_price"),
-        F.count("ticket_no").alias("ticket_count"),
+    return _agg(
+        _per_ticket(sales),
+        "sum(revenue) as total_revenue",
+        "round(sum(revenue) / nullif(sum(prices), 0), 2) as avg_ticket_price",
+        "count(ticket_no) as ticket_count",
     )
 
 
 def by_fare_class(sales: DataFrame) -> DataFrame:
-    return (
-        _distinct_tickets(sales, "fare_conditions")
-        .groupBy("fare_conditions")
-        .agg(F.sum("revenue").alias("revenue"), F.count("ticket_no").alias("ticket_count"))
-    )
+    per_ticket = _per_ticket(sales, "fare_conditions").groupBy("fare_conditions")
+    return _agg(per_ticket, "sum(revenue) as revenue", "count(ticket_no) as ticket_count")
 
 
 def by_model(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("airplane_model").agg(F.sum("price").alias("revenue"))
+    return _agg(sales.groupBy("airplane_model"), "sum(price) as revenue")
 
 
 def top_departure_airports(sales: DataFrame, n: int = 10) -> DataFrame:
-    grouped = sales.where("departure_airport_name is not null").groupBy("departure_airport_name")
-    return (
-        grouped.agg(F.sum("price").alias("revenue"), F.count(F.lit(1)).alias("segment_count"))
-        .orderBy(F.desc("revenue"), "departure_airport_name")
-        .limit(n)
-    )
+    known = sales.where("departure_airport_name is not null").groupBy("departure_airport_name")
+    totals = _agg(known, "sum(price) as revenue", "count(*) as segment_count")
+    return totals.orderBy(F.desc("revenue"), "departure_airport_name").limit(n)
 
 
 def top_routes(sales: DataFrame, n: int = 10) -> DataFrame:
-    return (
-        sales.where("route_no is not null")
-        .groupBy("route_no")
-        .agg(F.sum("price").alias("revenue"))
-        .orderBy(F.desc("revenue"), "route_no")
-        .limit(n)
-    )
+    totals = _agg(sales.where("route_no is not null").groupBy("route_no"), "sum(price) as revenue")
+    return totals.orderBy(F.desc("revenue"), "route_no").limit(n)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
-from tierline.operators.integrity import OVERLAPS, duplicate_keys, neighbours, orphans
+from tierline.operators.integrity import OVERLAPS, broken_rules, duplicate_keys, neighbours, orphans
 from tierline.functions.expr import literal_frame, ts
 
 FAR_PAST = "0001-01-01 00:00:00"
@@ -56,9 +56,9 @@ def null_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in sources.items():
         declared = {col: null for obj, col, _, null, _ in fv.DICTIONARY if obj == name and col is not None}
         counted = df.agg(
-            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in declared]
+            F.expr("count(*) as n"), *[F.expr(f"count_if(`{c}` is null) as `null_{c}`") for c in declared]
         )
-        cells = ", ".join(f"'{c}', {'true' if null else 'false'}, null_{c}" for c, null in declared.items())
+        cells = ", ".join(f"'{c}', {'true' if null else 'false'}, `null_{c}`" for c, null in declared.items())
         parts.append(
             counted.selectExpr(
                 f"'{name}' as object_name",
@@ -67,7 +67,7 @@ def null_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
             )
         )
     profile = reduce(DataFrame.unionByName, parts)
-    return profile.withColumn("holds", ~F.col("not_null") | (F.col("null_rows") == 0))
+    return profile.selectExpr("*", "not not_null or null_rows = 0 as holds")
 
 
 def _rule_sql(rule: str) -> str:
@@ -88,31 +88,27 @@ def constraint_violations(sources: Mapping[str, DataFrame]) -> DataFrame:
             checks.setdefault(table, {})[name] = _rule_sql(rule)
             continue
         if kind in ("PRIMARY KEY", "UNIQUE"):
-            found = duplicate_keys(df, cols, nulls_are_bad=kind == "PRIMARY KEY").agg(F.count(F.lit(1)).alias("v"))
+            twice = duplicate_keys(df, cols, nulls_are_bad=kind == "PRIMARY KEY")
+            found = twice.agg(F.expr("count(*) as violations"))
         elif kind == "FOREIGN KEY":
             bad = orphans(df, cols, sources[parent], _split(parent_columns))
-            found = bad.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("v"))
+            found = bad.agg(F.expr("coalesce(sum(rows), 0) as violations"))
         else:
             key, period = cols
-            low = F.coalesce(F.col(f"{period}.lower"), ts(FAR_PAST))
-            high = F.coalesce(F.col(f"{period}.upper"), ts(fv.OPEN_END))
-            found = neighbours(df, key, low, high, OVERLAPS).select(F.col("violations").alias("v"))
+            low = f"coalesce({period}.lower, {ts(FAR_PAST)})"
+            high = f"coalesce({period}.upper, {ts(fv.OPEN_END)})"
+            found = neighbours(df, key, low, high, OVERLAPS)
         parts.append(
-            found.select(
-                F.lit(table).alias("table_name"),
-                F.lit(name).alias("constraint_name"),
-                F.lit(kind).alias("constraint_type"),
-                F.col("v").cast("bigint").alias("violations"),
+            found.selectExpr(
+                f"'{table}' as table_name", f"'{name}' as constraint_name", f"'{kind}' as constraint_type", "violations"
             )
         )
     for table, rules in checks.items():
-        counted = sources[table].agg(*[F.count_if(~F.expr(r)).alias(n) for n, r in rules.items()])
-        cells = ", ".join(f"'{n}', {n}" for n in rules)
+        counted = broken_rules(sources[table], rules)
         parts.append(
             counted.selectExpr(
-                f"'{table}' as table_name",
-                f"stack({len(rules)}, {cells}) as (constraint_name, violations)",
-            ).select("table_name", "constraint_name", F.lit("CHECK").alias("constraint_type"), "violations")
+                f"'{table}' as table_name", "rule as constraint_name", "'CHECK' as constraint_type", "violations"
+            )
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -124,9 +120,6 @@ def unique_index_violations(sources: Mapping[str, DataFrame]) -> DataFrame:
         if not unique or kind != "btree":
             continue
         twice = duplicate_keys(sources[table], _split(columns), nulls_are_bad=False)
-        parts.append(
-            twice.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(table).alias("table_name"), F.lit(name).alias("index_name"), "violations"
-            )
-        )
+        counted = twice.agg(F.expr("count(*) as violations"))
+        parts.append(counted.selectExpr(f"'{table}' as table_name", f"'{name}' as index_name", "violations"))
     return reduce(DataFrame.unionByName, parts)

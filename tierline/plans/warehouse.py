@@ -7,10 +7,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import ENTITIES, Entity
+from tierline.functions.expr import ts
 from tierline.operators import cdc, merge, staging
 from tierline.plans import checks, dims, facts, marts
 from tierline.sources.store import TableStore, Written
@@ -71,8 +72,8 @@ class Warehouse:
         self.clock = clock
         self._batch_id = store.last_batch_id()
 
-    def _now(self) -> Column:
-        return F.lit(self.clock())
+    def _now(self) -> str:
+        return ts(self.clock())
 
     # --- Batches ----------------------------------------------------------------------------------------------------
 
@@ -102,7 +103,7 @@ class Warehouse:
         with self.batch(f"raw.load_{entity.source_object}_initial") as batch_id:
             snap = self._write_snapshot(entity)
             rows = self.store.read(snap.table, snap)
-            inserted = cdc.journal_rows(rows, entity, batch_id, self._now(), F.lit("I"))
+            inserted = cdc.journal_rows(rows, entity, batch_id, self._now(), "'I'")
             batch = self.store.write_batch(name, inserted, batch_id)
             seeded = [] if self.store.exists(snap.table) else [snap]
             self.store.publish(batch, *seeded)
@@ -121,8 +122,8 @@ class Warehouse:
             if self.store.exists(snap.table):
                 rows = cdc.delta(current, self.store.read_bucketed(snap.table), entity, batch_id, self._now())
             else:
-                rows = cdc.journal_rows(current, entity, batch_id, self._now(), F.lit("I"))
-            by_operation = {op: F.count_if(F.col("operation_type") == op) for op in ("I", "U", "D")}
+                rows = cdc.journal_rows(current, entity, batch_id, self._now(), "'I'")
+            by_operation = {op: f"count_if(operation_type = '{op}')" for op in fv.OPERATIONS}
             batch = self.store.write_batch(name, rows, batch_id, by_operation)
             self.store.publish(batch, snap)
         return LoadReport(batch_id, {"raw": batch.metrics})
@@ -140,12 +141,11 @@ class Warehouse:
     def apply_to_ods(self, name: str, batch_id: int | None = None) -> dict[str, int]:
         entity, table = ENTITIES[name], f"ods.{name}"
         rows = merge.apply_stage(self.store.read_or_none(table), self.staged(name, batch_id), entity, self._now())
-        deleted = {"deleted": F.count_if(F.col("is_deleted"))}
-        written = self.store.write(table, rows, _bucket_keys(entity), deleted)
+        written = self.store.write(table, rows, _bucket_keys(entity), {"deleted": "count_if(is_deleted)"})
         self.store.publish(written)
         return written.metrics
 
-    def _dds_rows(self, table: str, now: Column) -> DataFrame:
+    def _dds_rows(self, table: str, now: str) -> DataFrame:
         """Target read bucketed for the merge; ODS and parents read plain for the lookups."""
         target = self.store.read_or_none(f"dds.{table}")
 
@@ -179,9 +179,9 @@ class Warehouse:
     def load_dds(self, table: str) -> dict[str, int]:
         rows, keys = self._dds_rows(table, self._now()), DDS_KEYS[table]
         first = not self.store.exists(f"dds.{table}")
-        metrics = {"deleted": F.count_if(F.col("is_deleted"))} if "is_deleted" in rows.columns else {}
+        metrics = {"deleted": "count_if(is_deleted)"} if "is_deleted" in rows.columns else {}
         if "is_current" in rows.columns:
-            metrics["current"] = F.count_if(F.col("is_current"))
+            metrics["current"] = "count_if(is_current)"
         # Later loads come out of a merge on the keys; the first one has to be distributed by them.
         rows = self.store.shuffled(rows, keys) if first and keys else rows
         written = self.store.write(f"dds.{table}", rows, keys, metrics)
@@ -242,7 +242,7 @@ class Warehouse:
             tables[f"dds.{name}"] = self.store.read(f"dds.{name}")
         rows = checks.all_checks(tables, run_id, self._now())
         self.store.publish(self.store.write_batch("pmi_results", rows.withColumnRenamed("run_id", "batch_id"), run_id))
-        return self.check_results().where(F.col("run_id") == run_id)
+        return self.check_results().where(f"run_id = {run_id}")
 
     def check_results(self) -> DataFrame:
         return self.store.read_journal("pmi_results").withColumnRenamed("batch_id", "run_id")

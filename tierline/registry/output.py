@@ -2,43 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tierline.functions.expr import canonical_text
 
 
-def _timestamp(c: Column) -> Column:
+def _timestamp(c: str) -> str:
     # Text, because an open validity end (year 9999) does not fit the nanosecond clock of pandas.
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
 
 
-def _plain(name: str, dtype: T.DataType) -> list[Column]:
-    c = F.col(f"`{name}`")
+def _plain(name: str, dtype: T.DataType) -> list[str]:
+    c = f"`{name}`"
     if isinstance(dtype, T.StructType):
-        return [x for f in dtype.fields for x in _plain_field(name, f)]
+        fields = [(f"{c}.{f.name}", f"{name}_{f.name}", f.dataType) for f in dtype.fields]
+        return [f"{_timestamp(x) if isinstance(t, T.TimestampType) else x} as {alias}" for x, alias, t in fields]
     if isinstance(dtype, T.DecimalType):
-        return [c.cast("double").alias(name)]
+        return [f"cast({c} as double) as {c}"]
     if isinstance(dtype, T.TimestampType):
-        return [_timestamp(c).alias(name)]
+        return [f"{_timestamp(c)} as {c}"]
     if isinstance(dtype, T.DateType):
-        return [c.cast("string").alias(name)]
+        return [f"cast({c} as string) as {c}"]
     if isinstance(dtype, T.DayTimeIntervalType):
-        parts = [(F.extract(F.lit(p), c).cast("bigint"), n) for p, n in (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))]
-        return [sum((v * n for v, n in parts[1:]), parts[0][0] * parts[0][1]).alias(f"{name}_seconds")]
+        parts = (("day", 86400), ("hour", 3600), ("minute", 60), ("second", 1))
+        seconds = " + ".join(f"cast(extract({p} from {c}) as bigint) * {n}" for p, n in parts)
+        return [f"{seconds} as {name}_seconds"]
     if isinstance(dtype, T.ArrayType):
-        return [canonical_text(c, "int_array").alias(name)]
+        return [f"{canonical_text(c, 'int_array')} as {c}"]
     return [c]
 
 
-def _plain_field(name: str, field: T.StructField) -> list[Column]:
-    c = F.col(f"`{name}`")[field.name]
-    if isinstance(field.dataType, T.TimestampType):
-        c = _timestamp(c)
-    return [c.alias(f"{name}_{field.name}")]
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, timestamps, dates and arrays as text, intervals as seconds, structs flat."""
-    return df.select(*[c for f in df.schema.fields for c in _plain(f.name, f.dataType)])
+    return df.selectExpr(*[e for f in df.schema.fields for e in _plain(f.name, f.dataType)])

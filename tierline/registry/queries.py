@@ -117,9 +117,9 @@ register("fact_bookings_second_load", lambda s, d: two(s, d).fact_bookings())
 def _flights_at_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temporal join on its own: flights of the sample with the season of their route."""
     sources = SampleSources(spark, sf_dir)
-    routes = sources.source("routes").withColumn("route_sk", F.col("validity.lower").cast("string"))
+    routes = sources.source("routes").selectExpr("*", "cast(validity.lower as string) as route_sk")
     matched = facts.route_at_departure(sources.source("flights"), routes)
-    return matched.select("flight_id", "route_no", "scheduled_departure", F.col("route_sk").alias("season_start"))
+    return matched.selectExpr("flight_id", "route_no", "scheduled_departure", "route_sk as season_start")
 
 
 register("temporal_join", _flights_at_routes)
@@ -131,13 +131,12 @@ register("temporal_join", _flights_at_routes)
 def _sales_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second mart load in which only the flights of one status come from a later batch."""
     load = first(spark, sf_dir)
-    rows = load.sales_rows()
-    touched = F.col("status") == "Delayed"
-    later = rows.withColumns(
+    touched = "status = 'Delayed'"
+    later = load.sales_rows().withColumns(
         {
-            "source_max_batch_id": F.when(touched, F.lit(100).cast("bigint")).otherwise(F.col("source_max_batch_id")),
-            "price": F.when(touched, F.col("price")).otherwise(F.lit(0).cast("decimal(10,2)")),
-            "mart_load_date": ts(SECOND_LOAD),
+            "source_max_batch_id": F.expr(f"if({touched}, cast(100 as bigint), source_max_batch_id)"),
+            "price": F.expr(f"if({touched}, price, cast(0 as decimal(10,2)))"),
+            "mart_load_date": F.expr(ts(SECOND_LOAD)),
         }
     )
     return marts.flight_sales(load.sales(), later)
@@ -174,7 +173,8 @@ register("dq_run_totals", lambda s, d: checks.run_totals(_dq_run(s, d)))
 def _dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results as a later reader finds them: an earlier run, then the one that counts."""
     results = _dq_run(spark, sf_dir)
-    return results.unionByName(results.withColumn("run_id", F.col("run_id") + 1).withColumn("status", F.when(F.col("check_type") == "scd2", "WARN").otherwise(F.col("status"))))
+    status = F.expr("if(check_type = 'scd2', 'WARN', status)")
+    return results.unionByName(results.withColumns({"run_id": F.col("run_id") + 1, "status": status}))
 
 
 register("rep_last_run", lambda s, d: checks.last_run(_dq_history(s, d)))
@@ -198,8 +198,8 @@ def _mixed_states(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour visits per user from the event stream; a user may not have two at a time."""
     events = SampleSources(spark, sf_dir).table("events")
-    start = F.col("ts").cast("timestamp")
-    return integrity.neighbours(events, "user_id", start, start + F.expr("interval '6' hour"), integrity.OVERLAPS)
+    start = "cast(ts as timestamp)"
+    return integrity.neighbours(events, "user_id", start, f"{start} + interval '6' hour", integrity.OVERLAPS)
 
 
 def _two_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +272,7 @@ def _table_rows(spark: SparkSession, sf_dir: str, loads: tuple[str, ...]) -> Dat
     frames |= {f"ods.{n}": store.read(f"ods.{n}") for n in ENTITIES}
     frames |= {f"dds.{t}": store.read(f"dds.{t}") for t in DDS_KEYS}
     frames |= {f"dm.{t}": store.read(f"dm.{t}") for t in ("flight_sales_mart", "flight_revenue_mart", "airport_traffic_daily")}
-    counted = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows") for t, df in frames.items()]
+    counted = [df.agg(F.expr("count(*) as rows")).select(F.lit(t).alias("table_name"), "rows") for t, df in frames.items()]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -281,7 +281,7 @@ def _batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, sf_dir, ("all",))
     rows = reduce(
         DataFrame.unionByName,
-        [warehouse.store.read_journal(n).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows")) for n in ENTITIES],
+        [warehouse.store.read_journal(n).groupBy("batch_id").agg(F.expr("count(*) as rows")) for n in ENTITIES],
     )
     return warehouse.store.load_batch().join(rows, "batch_id").select("batch_id", "process_name", "status", "rows")
 

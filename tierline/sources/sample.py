@@ -8,188 +8,176 @@ Marks come from business columns, and every row of a table is in at least one of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import ENTITIES
-from tierline.functions.expr import SPARK_TYPE, in_range
+from tierline.functions.expr import SPARK_TYPE, in_range, quoted
 
 BASE_MICROS = 1_577_836_800_000_000  # 2020-01-01 00:00:00 UTC
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
 WINDOW_HOURS = 500  # length of one route validity window; four windows follow each other
 
+# entity -> (column, its value before the change)
+OLD_VALUE = {
+    "airplanes": ("speed", "speed + 5"),
+    "airports": ("timezone", "'Etc/GMT'"),
+    "routes": ("days_of_week", "array(2, 4, 6)"),
+    "seats": ("fare_conditions", "'Comfort'"),
+    "flights": ("scheduled_arrival", "scheduled_arrival + interval '1' minute"),
+    "bookings": ("total_amount", "total_amount + 1"),
+    "tickets": ("passenger_name", "upper(passenger_name)"),
+    "segments": ("price", "price + 1"),
+    "boarding_passes": ("boarding_no", "boarding_no + 1"),
+}
 
-def _micros(c: Column) -> Column:
-    return F.timestamp_micros(c.cast("bigint"))
 
+def _padded(number: str) -> str:
+    text = f"cast({number} as string)"
+    return f"lpad({text}, greatest(3, length({text})), '0')"
 
-def _padded(c: Column) -> Column:
-    text = c.cast("string")
-    return F.lpad(text, F.greatest(F.lit(3), F.length(text)), F.lit("0"))
 
+def _airport(number: str) -> str:
+    return f"concat('N', lpad(cast({number} as string), 2, '0'))"
 
-def _airport(n: Column) -> Column:
-    return F.concat(F.lit("N"), F.lpad(n.cast("string"), 2, "0"))
 
+def _names(en: str, ru: str) -> str:
+    return f"to_json(named_struct('en', {en}, 'ru', {ru}))"
 
-def _names(c: Column, ru: Column | None = None) -> Column:
-    return F.to_json(F.struct(c.alias("en"), (c if ru is None else ru).alias("ru")))
 
+def _mark(new: str, gone: str, changed: str) -> str:
+    return f"case when {new} then 'new' when {gone} then 'gone' when {changed} then 'changed' else 'same' end as mark"
 
-def _mark(new: Column, gone: Column, changed: Column) -> Column:
-    return F.when(new, "new").when(gone, "gone").when(changed, "changed").otherwise("same")
 
+def _micros(expression: str) -> str:
+    return f"timestamp_micros(cast({expression} as bigint))"
 
-def _departure(partkey: Column) -> Column:
-    return F.lit(BASE_MICROS) + F.pmod(partkey, F.lit(2000)) * HOUR + F.floor(partkey / 2000)
+
+def _departure(part: str) -> str:
+    return f"({BASE_MICROS} + pmod({part}, 2000) * {HOUR} + {part} div 2000)"
+
+
+ORDER_MARK = _mark("o_orderpriority = '1-URGENT'", "o_orderpriority = '5-LOW'", "o_orderpriority = '2-HIGH'")
+LINE_MARK = _mark("line = 1", "line = 2", "line = 3")
 
 
 class SampleSources:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def marked(self, entity: str) -> DataFrame:
-        """Rows of an entity in their later form, with column mark."""
-        return getattr(self, f"_{entity}")()
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def source(self, entity: str, state: str = "all") -> DataFrame:
-        df = self.marked(entity)
+        df = getattr(self, f"_{entity}")()
+        changed, old = OLD_VALUE[entity]
         if state == "before":
-            column, value = self._old_value(entity)
-            df = df.where("mark <> 'new'").withColumn(
-                column, F.when(F.col("mark") == "changed", value).otherwise(F.col(column))
-            )
+            df = df.where("mark <> 'new'")
         elif state == "after":
             df = df.where("mark <> 'gone'")
-        e = ENTITIES[entity]
-        return df.select(*[F.col(c).cast(SPARK_TYPE[k]).alias(c) for c, k in e.columns])
-
-    def _old_value(self, entity: str) -> tuple[str, Column]:
-        return {
-            "airplanes": ("speed", F.col("speed") + 5),
-            "airports": ("timezone", F.lit("Etc/GMT")),
-            "routes": ("days_of_week", F.array(F.lit(2), F.lit(4), F.lit(6))),
-            "seats": ("fare_conditions", F.lit("Comfort")),
-            "flights": ("scheduled_arrival", F.col("scheduled_arrival") + F.expr("interval '1' minute")),
-            "bookings": ("total_amount", F.col("total_amount") + 1),
-            "tickets": ("passenger_name", F.upper("passenger_name")),
-            "segments": ("price", F.col("price") + 1),
-            "boarding_passes": ("boarding_no", F.col("boarding_no") + 1),
-        }[entity]
+        return df.selectExpr(
+            *[
+                f"cast(if(mark = 'changed', {old}, {c}) as {SPARK_TYPE[k]}) as {c}"
+                if state == "before" and c == changed
+                else f"cast({c} as {SPARK_TYPE[k]}) as {c}"
+                for c, k in ENTITIES[entity].columns
+            ]
+        )
 
     def _airplanes(self) -> DataFrame:
-        nation = F.col("s_nationkey")
-        return self.table("supplier").select(
-            _padded(F.col("s_suppkey")).alias("airplane_code"),
-            _names(F.col("s_name"), F.lower("s_name")).alias("model"),
-            (F.lit(1000) + F.col("s_suppkey")).alias("range"),
-            (F.lit(500) + nation).alias("speed"),
-            _mark(nation < 5, nation.between(5, 9), nation.between(10, 14)).alias("mark"),
+        return self.table("supplier").selectExpr(
+            f"{_padded('s_suppkey')} as airplane_code",
+            f"{_names('s_name', 'lower(s_name)')} as model",
+            "1000 + s_suppkey as range",
+            "500 + s_nationkey as speed",
+            _mark("s_nationkey < 5", "s_nationkey between 5 and 9", "s_nationkey between 10 and 14"),
         )
 
     def _airports(self) -> DataFrame:
-        region = F.col("n_regionkey")
-        named = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return named.select(
-            _airport(F.col("n_nationkey")).alias("airport_code"),
-            _names(F.col("n_name")).alias("airport_name"),
-            _names(F.col("n_name")).alias("city"),
-            _names(F.col("r_name")).alias("country"),
-            F.struct(
-                (F.col("n_nationkey") * 10).cast("double").alias("lon"), (region * 10).cast("double").alias("lat")
-            ).alias("coordinates"),
-            F.lit("UTC").alias("timezone"),
-            _mark(region == 0, region == 1, region == 2).alias("mark"),
+        named = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        return named.selectExpr(
+            f"{_airport('n_nationkey')} as airport_code",
+            f"{_names('n_name', 'n_name')} as airport_name",
+            f"{_names('n_name', 'n_name')} as city",
+            f"{_names('r_name', 'r_name')} as country",
+            "named_struct('lon', cast(n_nationkey * 10 as double), 'lat', cast(n_regionkey * 10 as double)) as coordinates",
+            "'UTC' as timezone",
+            _mark("n_regionkey = 0", "n_regionkey = 1", "n_regionkey = 2"),
         )
 
     def _routes(self) -> DataFrame:
-        brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
-        windows = (
-            self.table("part")
-            .select("p_brand")
-            .distinct()
-            .select(F.col("p_brand").alias("route_no"), brand.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("w"))
+        brands = self.table("part").select("p_brand").distinct()
+        seasons = brands.selectExpr(
+            "p_brand as route_no", r"cast(regexp_extract(p_brand, '([0-9]+)$', 1) as int) as b", "explode(sequence(0, 3)) as w"
         )
-        b, w = F.col("b"), F.col("w")
-
-        def bound(n: Column) -> Column:
-            return _micros(F.lit(BASE_MICROS) + n.cast("bigint") * WINDOW_HOURS * HOUR)
-
-        return windows.select(
+        low, high = (_micros(f"{BASE_MICROS} + cast({n} as bigint) * {WINDOW_HOURS * HOUR}") for n in ("w", "(w + 1)"))
+        return seasons.selectExpr(
             "route_no",
-            F.struct(bound(w).alias("lower"), bound(w + 1).alias("upper")).alias("validity"),
-            _airport(b % 25).alias("departure_airport"),
-            _airport((b + 1 + w) % 25).alias("arrival_airport"),
-            _padded((b * 4 + w) % 10).alias("airplane_code"),
-            F.array(F.lit(1), F.lit(3), F.lit(5)).alias("days_of_week"),
-            F.lit("11:00:00").alias("scheduled_time"),
-            F.make_dt_interval(mins=b + 60).alias("duration"),
-            _mark(w == 3, w == 0, w == 1).alias("mark"),
+            f"named_struct('lower', {low}, 'upper', {high}) as validity",
+            f"{_airport('b % 25')} as departure_airport",
+            f"{_airport('(b + 1 + w) % 25')} as arrival_airport",
+            f"{_padded('(b * 4 + w) % 10')} as airplane_code",
+            "array(1, 3, 5) as days_of_week",
+            "'11:00:00' as scheduled_time",
+            "make_dt_interval(0, 0, b + 60, 0) as duration",
+            _mark("w = 3", "w = 0", "w = 1"),
         )
 
     def _seats(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        fare = F.when(line == 1, "Business").when(line == 2, "Comfort").otherwise("Economy")
         return (
             self.table("lineitem")
             .select("l_suppkey", "l_linenumber")
             .distinct()
-            .select(
-                _padded(F.col("l_suppkey")).alias("airplane_code"),
-                F.concat(line.cast("string"), F.lit("A")).alias("seat_no"),
-                fare.alias("fare_conditions"),
-                _mark(line == 1, line == 2, line == 3).alias("mark"),
+            .selectExpr(
+                f"{_padded('l_suppkey')} as airplane_code",
+                "concat(l_linenumber, 'A') as seat_no",
+                "case l_linenumber when 1 then 'Business' when 2 then 'Comfort' else 'Economy' end as fare_conditions",
+                _mark("l_linenumber = 1", "l_linenumber = 2", "l_linenumber = 3"),
             )
         )
 
     def _flights(self) -> DataFrame:
-        key, kind = F.col("p_partkey"), F.col("p_type")
-        departure = _departure(key)
-        arrival = departure + (F.col("p_size") + 30).cast("bigint") * MINUTE
-        statuses = F.array(*[F.lit(s) for s in fv.FLIGHT_STATUSES])
-        no_departure = F.pmod(key, F.lit(3)) == 0
-        no_arrival = no_departure | (F.pmod(key, F.lit(5)) == 0)
-        return self.table("part").select(
-            key.alias("flight_id"),
-            F.col("p_brand").alias("route_no"),
-            F.element_at(statuses, (F.pmod(key, F.lit(7)) + 1).cast("int")).alias("status"),
-            _micros(departure).alias("scheduled_departure"),
-            _micros(arrival).alias("scheduled_arrival"),
-            F.when(~no_departure, _micros(departure + 5 * MINUTE)).alias("actual_departure"),
-            F.when(~no_arrival, _micros(arrival + 7 * MINUTE)).alias("actual_arrival"),
-            _mark(kind == "PROMO", kind == "SMALL", kind == "LARGE").alias("mark"),
+        departure = _departure("p_partkey")
+        arrival = f"({departure} + cast(p_size + 30 as bigint) * {MINUTE})"
+        statuses = ", ".join(quoted(s) for s in fv.FLIGHT_STATUSES)
+        return self.table("part").selectExpr(
+            "p_partkey as flight_id",
+            "p_brand as route_no",
+            f"element_at(array({statuses}), cast(pmod(p_partkey, 7) + 1 as int)) as status",
+            f"{_micros(departure)} as scheduled_departure",
+            f"{_micros(arrival)} as scheduled_arrival",
+            f"if(pmod(p_partkey, 3) = 0, null, {_micros(f'{departure} + {5 * MINUTE}')}) as actual_departure",
+            f"if(pmod(p_partkey, 3) = 0 or pmod(p_partkey, 5) = 0, null, {_micros(f'{arrival} + {7 * MINUTE}')})"
+            " as actual_arrival",
+            _mark("p_type = 'PROMO'", "p_type = 'SMALL'", "p_type = 'LARGE'"),
         )
 
-    def _order_mark(self) -> Column:
-        p = F.col("o_orderpriority")
-        return _mark(p == "1-URGENT", p == "5-LOW", p == "2-HIGH").alias("mark")
-
     def _bookings(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").cast("string").alias("book_ref"),
-            F.col("o_orderdate").cast("timestamp").alias("book_date"),
-            F.col("o_totalprice").alias("total_amount"),
-            self._order_mark(),
+        return self.table("orders").selectExpr(
+            "cast(o_orderkey as string) as book_ref",
+            "cast(o_orderdate as timestamp) as book_date",
+            "cast(o_totalprice as decimal(10,2)) as total_amount",
+            ORDER_MARK,
         )
 
     def _tickets(self) -> DataFrame:
-        customer = self.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+        customer = self.table("customer").selectExpr("c_custkey as o_custkey", "c_name")
         return (
             self.table("orders")
             .join(customer, "o_custkey")
-            .select(
-                F.col("o_orderkey").cast("string").alias("ticket_no"),
-                F.col("o_orderkey").cast("string").alias("book_ref"),
-                F.col("o_custkey").cast("string").alias("passenger_id"),
-                F.col("c_name").alias("passenger_name"),
-                (F.col("o_orderstatus") == "F").alias("outbound"),
-                self._order_mark(),
+            .selectExpr(
+                "cast(o_orderkey as string) as ticket_no",
+                "cast(o_orderkey as string) as book_ref",
+                "cast(o_custkey as string) as passenger_id",
+                "c_name as passenger_name",
+                "o_orderstatus = 'F' as outbound",
+                ORDER_MARK,
             )
         )
 
@@ -198,71 +186,67 @@ class SampleSources:
 
         The one-letter flags are compared as numbers, which keeps the aggregate hash-based.
         """
+        smallest = ["min(ascii(l_returnflag)) as flag", "min(ascii(l_linestatus)) as status", "min(l_linenumber) as line"]
         return (
             self.table("lineitem")
             .groupBy("l_orderkey", "l_partkey")
-            .agg(
-                F.min(F.ascii("l_returnflag")).alias("flag"),
-                F.max("l_extendedprice").alias("price"),
-                F.min(F.ascii("l_linestatus")).alias("line_status"),
-                F.min("l_linenumber").alias("line"),
-            )
+            .agg(F.expr("max(l_extendedprice) as price"), *[F.expr(e) for e in smallest])
+            .selectExpr("l_orderkey", "l_partkey", "price", "char(flag) as flag", "char(status) as status", "line")
         )
 
     def _segments(self) -> DataFrame:
-        fare = F.when(F.col("flag") == ord("A"), "Economy").when(F.col("flag") == ord("N"), "Comfort").otherwise("Business")
-        line = F.col("line")
-        return self._order_parts().select(
-            F.col("l_orderkey").cast("string").alias("ticket_no"),
-            F.col("l_partkey").alias("flight_id"),
-            fare.alias("fare_conditions"),
-            "price",
-            _mark(line == 1, line == 2, line == 3).alias("mark"),
+        return self._order_parts().selectExpr(
+            "cast(l_orderkey as string) as ticket_no",
+            "l_partkey as flight_id",
+            "case flag when 'A' then 'Economy' when 'N' then 'Comfort' else 'Business' end as fare_conditions",
+            "cast(price as decimal(10,2)) as price",
+            LINE_MARK,
         )
 
     def _boarding_passes(self) -> DataFrame:
         # The pass number is taken from the ticket, not from a rank within the flight: a rank would sort a hot flight in
         # one task.
-        number = (F.pmod("l_orderkey", F.lit(2_000_000_000)) + 1).cast("int")
-        line = F.col("line")
+        number = "cast(pmod(l_orderkey, 2000000000) + 1 as int)"
         return (
             self._order_parts()
-            .where(F.col("line_status") == ord("F"))
-            .select(
-                F.col("l_orderkey").cast("string").alias("ticket_no"),
-                F.col("l_partkey").alias("flight_id"),
-                F.concat(number.cast("string"), F.lit("B")).alias("seat_no"),
-                number.alias("boarding_no"),
-                _micros(_departure(F.col("l_partkey")) - 30 * MINUTE).alias("boarding_time"),
-                _mark(line == 1, line == 2, line == 3).alias("mark"),
+            .where("status = 'F'")
+            .selectExpr(
+                "cast(l_orderkey as string) as ticket_no",
+                "l_partkey as flight_id",
+                f"concat({number}, 'B') as seat_no",
+                f"{number} as boarding_no",
+                f"{_micros(_departure('l_partkey') + f' - {30 * MINUTE}')} as boarding_time",
+                LINE_MARK,
             )
         )
 
     def sales(self) -> DataFrame:
         """Rows of the sales mart for state "all", joined by natural keys straight from the sources."""
-        airports = self.source("airports").select("airport_code", F.get_json_object("airport_name", "$.ru").alias("name"))
-        models = self.source("airplanes").select("airplane_code", F.get_json_object("model", "$.ru").alias("airplane_model"))
+        airports = self.source("airports")
+        models = self.source("airplanes").selectExpr("airplane_code", "get_json_object(model, '$.ru') as airplane_model")
 
-        def airport(code: str, name: str) -> DataFrame:
-            return airports.select(F.col("airport_code").alias(code), F.col("name").alias(name))
+        def airport(side: str) -> DataFrame:
+            return airports.selectExpr(
+                f"airport_code as {side}_airport", f"get_json_object(airport_name, '$.ru') as {side}_airport_name"
+            )
 
         routes = (
             self.source("routes")
-            .join(airport("departure_airport", "departure_airport_name"), "departure_airport")
-            .join(airport("arrival_airport", "arrival_airport_name"), "arrival_airport")
+            .join(airport("departure"), "departure_airport")
+            .join(airport("arrival"), "arrival_airport")
             .join(models, "airplane_code")
             .select(
                 "route_no", "validity", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"
             )
         )
-        in_force = in_range(F.col("scheduled_departure"), F.col("validity"))
+        in_force = in_range("scheduled_departure", "validity")
         flights = self.source("flights").join(routes, "route_no").where(in_force).drop("validity")
-        orders = self.table("orders").select(
-            F.col("o_orderkey").cast("string").alias("ticket_no"),
-            F.col("o_custkey").cast("string").alias("passenger_id"),
-            F.col("o_orderkey").cast("string").alias("book_ref"),
-            F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
-            (F.col("o_orderstatus") == "F").alias("outbound"),
-            F.col("o_orderdate").cast("timestamp").alias("book_date"),
+        orders = self.table("orders").selectExpr(
+            "cast(o_orderkey as string) as ticket_no",
+            "cast(o_custkey as string) as passenger_id",
+            "cast(o_orderkey as string) as book_ref",
+            "cast(o_totalprice as decimal(10,2)) as total_amount",
+            "o_orderstatus = 'F' as outbound",
+            "cast(o_orderdate as timestamp) as book_date",
         )
         return self.source("segments").join(orders, "ticket_no").join(flights, "flight_id")

@@ -11,7 +11,7 @@ import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.expr import literal_frame
@@ -85,14 +85,15 @@ class TableStore:
 
     # --- Writing ----------------------------------------------------------------------------------------------------
 
-    def _observed(self, df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    def _observed(self, df: DataFrame, metrics: Mapping[str, str]) -> tuple[DataFrame, Observation]:
         seen = Observation()
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]), seen
+        counts = {"rows": "count(*)", **metrics}
+        return df.observe(seen, *[F.expr(f"{m} as `{n}`") for n, m in counts.items()]), seen
 
     def _catalog_name(self, w: Written) -> str:
         return f"{self._name}_{w.table.replace('.', '_')}_v{w.version}"
 
-    def write(self, table: str, df: DataFrame, keys: list[str] = (), metrics: Mapping[str, Column] = {}) -> Written:
+    def write(self, table: str, df: DataFrame, keys: list[str] = (), metrics: Mapping[str, str] = {}) -> Written:
         """Writes the next version. With keys it is bucketed and sorted by them.
 
         `df` must then already be distributed by the keys (a merge on them, or shuffled()), so that each bucket is
@@ -116,7 +117,7 @@ class TableStore:
         """Distributed the way a bucketed write needs it."""
         return df.repartition(self.buckets, *keys)
 
-    def write_batch(self, journal: str, df: DataFrame, batch_id: int, metrics: Mapping[str, Column] = {}) -> Written:
+    def write_batch(self, journal: str, df: DataFrame, batch_id: int, metrics: Mapping[str, str] = {}) -> Written:
         """Writes one batch of an append-only journal; a batch written again replaces its own files only."""
         table = f"journal.{journal}"
         path = f"{self.root}/journal/{journal}/batch_id={batch_id}"
@@ -183,10 +184,10 @@ class TableStore:
             self._events()
             .groupBy("batch_id")
             .agg(
-                F.max_by("process_name", "seq").alias("process_name"),
-                F.max_by("status", "seq").alias("status"),
-                F.min("at").alias("started_at"),
-                F.max(F.when(F.col("status") != "RUNNING", F.col("at"))).alias("finished_at"),
-                F.max_by("error_message", "seq").alias("error_message"),
+                F.expr("max_by(process_name, seq) as process_name"),
+                F.expr("max_by(status, seq) as status"),
+                F.expr("min(at) as started_at"),
+                F.expr("max(at) filter (where status <> 'RUNNING') as finished_at"),
+                F.expr("max_by(error_message, seq) as error_message"),
             )
         )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-OVERLAPS = "prev_end > start"
-GAPS = "prev_end < start"
+# Conditions between a period and the end of the one before it.
+OVERLAPS = "{before} > start"
+GAPS = "{before} < start"
 
 
 def _null_part(keys: list[str]) -> str:
@@ -46,23 +47,28 @@ def broken_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 def neighbours(df: DataFrame, key: str, start: str, end: str, broken: str, chunks: int | None = None) -> DataFrame:
     """One row with the number of adjacent periods per key for which `broken` holds.
 
-    `broken` is a condition over prev_end and start, where prev_end is the end of the preceding period of the key in
-    (start, end) order. One key may own a third of all periods, so rows are range-partitioned by (key, start, end):
-    a hot key spreads over many chunks. Pairs inside a chunk are counted there; each chunk then hands on only its
-    first start and last end per key, and the seams between chunks are counted over those.
+    `broken` is OVERLAPS or GAPS; a period comes after another of its key in (start, end) order. One key may own a third
+    of all periods, and a third of all rows may be copies of one period. So copies are folded and counted first, and
+    the rest is range-partitioned by (key, start, end): a hot key spreads over many chunks. Pairs inside a chunk are
+    counted there; each chunk hands on only its first start and last end per key, and the seams between chunks are
+    counted over those.
     """
-    periods = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end")
-    ranged = periods.repartitionByRange(*([chunks] if chunks else []), "key", "start", "end")
+    periods = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end").groupBy("key", "start", "end")
+    ranged = periods.agg(F.expr("count(*) - 1 as copies")).repartitionByRange(
+        *([chunks] if chunks else []), "key", "start", "end"
+    )
+    after_previous = f"if({broken.format(before='prev_end')}, 1, 0)"
+    after_copy = f"copies * if({broken.format(before='end')}, 1, 0)"
     per_chunk = (
         ranged.selectExpr("*", "spark_partition_id() as chunk")
         .selectExpr("*", "lag(end) over (partition by chunk, key order by start, end) as prev_end")
         .groupBy("chunk", "key")
         .agg(
-            F.expr(f"count_if({broken}) as pairs"),
+            F.expr(f"sum({after_previous} + {after_copy}) as pairs"),
             F.expr("min(start) as start"),
             F.expr("max(struct(start, end)).end as end"),
         )
     )
     return per_chunk.selectExpr("*", "lag(end) over (partition by key order by chunk) as prev_end").agg(
-        F.expr(f"cast(coalesce(sum(pairs + if({broken}, 1, 0)), 0) as bigint) as violations")
+        F.expr(f"cast(coalesce(sum(pairs + {after_previous}), 0) as bigint) as violations")
     )

@@ -93,9 +93,13 @@ class Warehouse:
     # --- RAW --------------------------------------------------------------------------------------------------------
 
     def _write_snapshot(self, entity: Entity) -> Written:
+        """The source, read once. Its keys are primary keys: a second row for one fails the batch here, before the
+        comparison could multiply it."""
         keys = _bucket_keys(entity)
         rows = cdc.snapshot(self.source(entity.name), entity, self._now())
-        return self.store.write(f"snapshot.{entity.name}", self.store.shuffled(rows, keys) if keys else rows, keys)
+        rows = self.store.shuffled(rows, keys) if keys else rows
+        rows = merge.fail_on_second(rows, list(entity.keys), f"source {entity.name}")
+        return self.store.write(f"snapshot.{entity.name}", rows, keys)
 
     def raw_initial(self, name: str) -> LoadReport:
         """Every source row as an insert; seeds the snapshot when there is none."""

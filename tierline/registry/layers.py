@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.catalog.entities import ENTITIES
 from tierline.functions.expr import ts
 from tierline.operators import cdc, merge, staging
-from tierline.plans import dims, facts, marts
+from tierline.plans import checks, dims, facts, marts
 from tierline.sources.sample import SampleSources
 from tierline.sources.workspace import new_folder
 
@@ -89,7 +89,7 @@ class FirstLoad(_Stored):
 
 
 class TwoLoads(_Stored):
-    """The earlier snapshot loaded as one batch, the later one as a delta on top."""
+    """The earlier snapshot loaded as one batch, the later one as a delta on top of the stored first load."""
 
     first = property(lambda self: ts(FIRST_LOAD))
     second = property(lambda self: ts(SECOND_LOAD))
@@ -112,42 +112,54 @@ class TwoLoads(_Stored):
     def ods(self, name: str) -> DataFrame:
         e = ENTITIES[name]
         staged = staging.stage(self.second_journal(name), e, self.second, SECOND_BATCH)
-        return merge.apply_stage(self.first_ods(name), staged, e, self.second)
+        return merge.apply_stage(self.stored(f"first_ods.{name}"), staged, e, self.second)
 
     def first_dim_airplanes(self) -> DataFrame:
-        return dims.dim_airplanes(None, self.first_ods("airplanes"), self.first)
+        return dims.dim_airplanes(None, self.stored("first_ods.airplanes"), self.first)
 
     def dim_airplanes(self) -> DataFrame:
-        return dims.dim_airplanes(self.first_dim_airplanes(), self.ods("airplanes"), self.second)
+        return dims.dim_airplanes(self.stored("dds.first_dim_airplanes"), self.stored("ods.airplanes"), self.second)
 
     def dim_airports(self) -> DataFrame:
-        first = dims.dim_airports(None, self.first_ods("airports"), self.first)
-        return dims.dim_airports(first, self.ods("airports"), self.second)
+        first = dims.dim_airports(None, self.stored("first_ods.airports"), self.first)
+        return dims.dim_airports(first, self.stored("ods.airports"), self.second)
+
+    def first_dim_seats(self) -> DataFrame:
+        airplanes = self.stored("dds.first_dim_airplanes")
+        return dims.dim_seats(None, self.stored("first_ods.seats"), airplanes, self.first)
 
     def dim_seats(self) -> DataFrame:
-        first = dims.dim_seats(None, self.first_ods("seats"), self.first_dim_airplanes(), self.first)
-        return dims.dim_seats(first, self.ods("seats"), self.dim_airplanes(), self.second)
+        first, airplanes = self.stored("dds.first_dim_seats"), self.stored("dds.dim_airplanes")
+        return dims.dim_seats(first, self.stored("ods.seats"), airplanes, self.second)
+
+    def first_fact_bookings(self) -> DataFrame:
+        return facts.fact_bookings(None, self.stored("first_ods.bookings"), self.first)
 
     def fact_bookings(self) -> DataFrame:
-        first = facts.fact_bookings(None, self.first_ods("bookings"), self.first)
-        return facts.fact_bookings(first, self.ods("bookings"), self.second)
+        return facts.fact_bookings(self.stored("dds.first_fact_bookings"), self.stored("ods.bookings"), self.second)
 
     def build(self, table: str) -> DataFrame:
         layer, name = table.split(".")
+        if layer in ("all", "after"):
+            return self.sources.source(name, layer)
         if layer == "raw":
             return self.journal(name)
+        if layer == "first_ods":
+            return self.first_ods(name)
         if layer == "ods":
             return self.ods(name)
+        if layer == "dq":
+            return checks.all_checks(self.tables(), 1, self.second)
         return getattr(self, name)()
 
     def tables(self) -> dict[str, DataFrame]:
         """What the reconciliation checks read."""
         found = {}
-        for name in ("airplanes", "seats", "bookings"):
-            found[f"source.{name}"] = self.sources.source(name, "after")
+        for name in checks.ENTITY.values():
+            found[f"source.{name}"] = self.stored(f"after.{name}")
             found[f"raw.{name}"] = self.stored(f"raw.{name}")
             found[f"ods.{name}"] = self.stored(f"ods.{name}")
-        for name in ("dim_airplanes", "dim_seats", "fact_bookings"):
+        for name in checks.KEYS:
             found[f"dds.{name}"] = self.stored(f"dds.{name}")
         return found
 

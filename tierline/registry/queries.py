@@ -172,7 +172,7 @@ register("dq_run_totals", lambda s, d: checks.run_totals(_dq_run(s, d)))
 
 def _dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results as a later reader finds them: an earlier run, then the one that counts."""
-    results = _dq_run(spark, sf_dir)
+    results = two(spark, sf_dir).stored("dq.pmi_results")
     status = F.expr("if(check_type = 'scd2', 'WARN', status)")
     return results.unionByName(results.withColumns({"run_id": F.col("run_id") + 1, "status": status}))
 
@@ -190,9 +190,9 @@ register("rep_detail", lambda s, d: checks.details(_dq_history(s, d)))
 
 def _mixed_states(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Parents without their deleted rows under children that still have theirs: some keys are orphans."""
-    sources = SampleSources(spark, sf_dir)
-    state = {"airplanes": "after", "airports": "after", "flights": "after", "tickets": "after"}
-    return {e.source_object: sources.source(n, state.get(n, "all")) for n, e in ENTITIES.items()}
+    later = ("airplanes", "airports", "flights", "tickets")
+    load = two(spark, sf_dir)
+    return {e.source_object: load.stored(f"{'after' if n in later else 'all'}.{n}") for n, e in ENTITIES.items()}
 
 
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:

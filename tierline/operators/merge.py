@@ -74,14 +74,19 @@ def apply_stage(ods: DataFrame | None, staged: DataFrame, entity: Entity, change
     key = ", ".join(keys)
     rest = [c for c in entity.stage_names if c not in keys] + ["source_system", "record_source"]
     # Cleansing may fold two source keys into one: a delete may then meet an upsert (both apply), but two upserts fail.
-    # The upsert sorts first, so the row after it, if any, is a delete.
+    # Upserts sort first, so the first row of a key sees in the next one what else there is. The check sits on that
+    # first row: on the second it could be skipped, because only first rows are kept.
     over = f"over (partition by {key} order by operation_type = 'D')"
     batch = (
         staged.where("is_valid and operation_type in ('I', 'U', 'D')")
         .selectExpr("*", "case when operation_type = 'D' then batch_id end as deleted_in")
-        .selectExpr("*", f"row_number() {over} as nth", f"lead(deleted_in) {over} as deleted_next")
-        .where(_second(f"ods {entity.name}", keys, "nth > 1 and deleted_in is null"))
-        .where("nth = 1")
+        .selectExpr(
+            "*",
+            f"row_number() {over} as nth",
+            f"lead(deleted_in) {over} as deleted_next",
+            f"lead(deleted_in is null) {over} as upsert_next",
+        )
+        .where("nth = 1 and " + _second(f"ods {entity.name}", keys, "upsert_next"))
         .selectExpr(
             *keys,
             f"case when deleted_in is null then {struct_of([*rest, 'batch_id', 'operation_type'])} end as u",

@@ -1,0 +1,210 @@
+"""The stored warehouse: a life of small changes, failures, and reopening."""
+
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
+
+import pytest
+
+from tests.conftest import at, names
+from tierline.plans.warehouse import DDS_KEYS, Warehouse
+from tierline.sources.store import TableStore
+
+JAN, DEC = at("2024-01-01"), at("2024-12-01")
+HOUR = timedelta(hours=1)
+DEPARTS = at("2024-05-01 10:00:00")
+
+
+class Source:
+    """A source database in a dict; changed between loads."""
+
+    def __init__(self, rows):
+        self.rows = rows
+        self.data = {
+            "airplanes": {"P1": (names("Jet"), 100, 800), "P2": (names("Prop"), 50, 400)},
+            "airports": {c: (names(n), names("City"), names("Land"), (1.0, 2.0), "UTC") for c, n in (("AAA", "Alpha"), ("BBB", "Beta"))},
+            "routes": {("R1", (JAN, DEC)): ("AAA", "BBB", "P1", [1, 3], "11:00:00", HOUR)},
+            "seats": {("P1", "1A"): ("Business",), ("P2", "1A"): ("Economy",)},
+            "flights": {1: ("R1", "Scheduled", DEPARTS, DEPARTS + HOUR, None, None), 2: ("R1", "Arrived", DEPARTS + HOUR, DEPARTS + 2 * HOUR, DEPARTS + HOUR, DEPARTS + 2 * HOUR)},
+            "bookings": {"B1": (JAN, Decimal("30.00")), "B2": (JAN, Decimal("10.00"))},
+            "tickets": {"T1": ("B1", "X", "Ann", True), "T2": ("B2", "Y", "Bob", False)},
+            "segments": {("T1", 1): ("Economy", Decimal("10.00")), ("T1", 2): ("Business", Decimal("20.00")), ("T2", 1): ("Economy", Decimal("10.00"))},
+            "boarding_passes": {("T1", 2): ("1A", 1, DEPARTS)},
+        }
+        self.broken = None
+
+    def __call__(self, entity):
+        if entity == self.broken:
+            raise ConnectionError("source is down")
+        flat = [((k if isinstance(k, tuple) else (k,)) + v) for k, v in self.data[entity].items()]
+        return self.rows(entity, *flat)
+
+
+@pytest.fixture(scope="module")
+def life(spark, tmp_path_factory):
+    """Five loads of one warehouse with changes in between; what each left behind."""
+    from tests.conftest import Rows
+
+    source = Source(Rows(spark))
+    clock = {"now": datetime(2024, 1, 1, tzinfo=timezone.utc)}
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    w = Warehouse(spark, TableStore(spark, root, new=True), source, lambda: clock["now"])
+    seen = []
+
+    def load(month):
+        clock["now"] = datetime(2024, month, 1, tzinfo=timezone.utc)
+        report = w.load_all()
+        tables = [f"ods.{e}" for e in source.data] + [f"dds.{t}" for t in DDS_KEYS]
+        tables += ["dm.flight_sales_mart", "dm.flight_revenue_mart", "dm.airport_traffic_daily"]
+        seen.append({"report": report} | {t: w.store.read(t).collect() for t in tables})
+
+    load(1)
+    load(2)  # nothing changed
+    d = source.data
+    d["airplanes"]["P3"] = (names("New"), 10, 10)
+    d["airplanes"]["P1"] = (names("Jet"), 100, 855)
+    del d["airplanes"]["P2"]
+    d["airports"]["AAA"] = (names("Alpha"), names("City"), names("Land"), (1.0, 2.0), "Asia/Samarkand")
+    d["segments"][("T2", 1)] = ("Economy", Decimal("50000.00"))
+    d["bookings"]["B1"] = (JAN, Decimal("4500.00"))
+    d["bookings"]["B3"] = (JAN, Decimal("-1.00"))  # invalid, kept out of ODS
+    d["tickets"]["T3"] = ("B1", "Z", "Zoe", False)
+    d["boarding_passes"][("T1", 2)] = ("1A", 3000, DEPARTS)
+    del d["seats"][("P1", "1A")]
+    load(3)
+    d["airplanes"]["P2"] = (names("Prop"), 50, 400)  # back again
+    del d["segments"][("T1", 2)]
+    d["routes"][("R1", (JAN, DEC))] = ("AAA", "BBB", "P3", [2], "11:00:00", HOUR)
+    d["flights"][2] = ("R1", "Cancelled", DEPARTS + HOUR, DEPARTS + 2 * HOUR, None, None)
+    load(5)
+    return w, source, clock, seen, root
+
+
+def test_first_load(life):
+    first = life[3][0]
+    assert {e: first["report"][e].steps["raw"]["I"] for e in ("airplanes", "segments", "seats")} == {"airplanes": 2, "segments": 3, "seats": 2}
+    sales = {(r.ticket_no, r.flight_id): r for r in first["dm.flight_sales_mart"]}
+    row = sales[("T1", 2)]
+    assert (row.passenger_id, row.departure_airport_name, row.arrival_airport_name, row.airplane_model) == ("X", "Alpha", "Beta", "Jet")
+    assert (row.price, row.total_amount, row.duration, row.status) == (Decimal("20.00"), Decimal("30.00"), HOUR, "Arrived")
+    revenue = {r.flight_id: r for r in first["dm.flight_revenue_mart"]}
+    assert (revenue[1].total_revenue, revenue[1].passenger_count) == (Decimal("20.00"), 2)
+
+
+def test_second_load_without_changes_changes_nothing(life):
+    first, second = life[3][:2]
+    for e, report in second["report"].items():
+        if e != "marts":
+            assert report.steps == {"raw": {"rows": 0, "I": 0, "U": 0, "D": 0}}
+    for t in first:
+        if t != "report":
+            assert sorted(map(str, first[t])) == sorted(map(str, second[t])), t
+
+
+def test_changes_reach_every_layer(life):
+    third = life[3][2]
+    assert third["report"]["airplanes"].steps["raw"] == {"rows": 3, "I": 1, "U": 1, "D": 1}
+    versions = {(r.airplane_code, r.valid_from.month): r for r in third["dds.dim_airplanes"]}
+    assert versions[("P1", 1)].valid_to.month == 3 and not versions[("P1", 1)].is_current
+    assert versions[("P1", 3)].speed == 855 and versions[("P3", 3)].is_current
+    assert not versions[("P2", 1)].is_current and ("P2", 3) not in versions
+    assert {r.timezone: r.is_current for r in third["dds.dim_airports"] if r.airport_code == "AAA"} == {"UTC": False, "Asia/Samarkand": True}
+    ods = {r.book_ref: r for r in third["ods.bookings"]}
+    assert set(ods) == {"B1", "B2"} and ods["B1"].total_amount == Decimal("4500.00")
+    assert ods["B1"].created_batch_id < ods["B1"].updated_batch_id
+    assert {r.total_amount for r in third["dds.fact_bookings"] if r.book_ref == "B1"} == {Decimal("4500.00")}
+    assert {r.passenger_id for r in third["dds.dim_passenger"]} == {"X", "Y", "Z"}
+    assert third["dds.fact_boarding_passes"][0].boarding_no == 3000
+    # The seat went away together with a new version of its airplane, which is current, so the delete arrives.
+    assert {r.airplane_code: r.is_deleted for r in third["dds.dim_seats"]} == {"P1": True, "P2": False}
+    sales = {(r.ticket_no, r.flight_id): r for r in third["dm.flight_sales_mart"]}
+    assert sales[("T2", 1)].price == Decimal("50000.00")
+    assert sales[("T1", 1)].total_amount == Decimal("4500.00")
+
+
+def test_gap_new_key_and_deleted_fact(life):
+    fourth = life[3][3]
+    back = sorted((r.valid_from.month, r.is_current) for r in fourth["dds.dim_airplanes"] if r.airplane_code == "P2")
+    assert back == [(1, False), (5, True)]
+    segments = {(r.ticket_no, r.flight_id): r.is_deleted for r in fourth["ods.segments"]}
+    assert segments[("T1", 2)] is True
+    sales = {(r.ticket_no, r.flight_id): r for r in fourth["dm.flight_sales_mart"]}
+    # The mart row of a deleted segment stays as it was; rows of live ones show the new airplane of the route.
+    assert sales[("T1", 2)].airplane_model == "Jet" and sales[("T1", 2)].status == "Arrived"
+    assert sales[("T1", 1)].airplane_model == "New"
+
+
+def test_checks_run_and_are_kept(life):
+    w = life[0]
+    first = {r.check_id: r.status for r in w.run_checks().collect()}
+    assert len(first) == 15 and first["SCD2-03"] == "WARN" and first["SCD2-02"] == "PASS"
+    assert {i: s for i, s in first.items() if s == "FAIL"} == {"RC-08": "FAIL"}  # the invalid booking never reached ODS
+    w.run_checks()
+    assert sorted({r.run_id for r in w.check_results().collect()}) == [1, 2]
+
+
+def test_failed_batch_is_on_record_and_repeatable(spark, life):
+    w, source, clock, _, root = life
+    clock["now"] = datetime(2024, 7, 1, tzinfo=timezone.utc)
+    journal = w.store.batches("bookings")
+    source.broken = "bookings"
+    with pytest.raises(ConnectionError):
+        w.load_entity("bookings")
+    source.broken = None
+    last = w.store.load_batch().orderBy("batch_id").collect()[-1]
+    assert (last.process_name, last.status, last.error_message) == ("raw.load_bookings_delta", "FAILED", "source is down")
+    assert w.store.batches("bookings") == journal
+    assert w.load_entity("bookings").steps["raw"]["rows"] == 0
+
+
+def test_second_row_for_a_source_key_fails_the_batch(spark, life):
+    w, source, *_ = life
+    good = source.data["bookings"]
+    twice = lambda e: source.rows(e, *[("B1", JAN, Decimal(1))] * 2) if e == "bookings" else source(e)
+    w.source = twice
+    with pytest.raises(Exception, match="source bookings: second row for key"):
+        w.raw_delta("bookings")
+    w.source = source
+    assert source.data["bookings"] is good and w.raw_delta("bookings").steps["raw"]["rows"] == 0
+
+
+def test_reopened_store_knows_everything(spark, life):
+    w, source, clock, _, root = life
+    again = Warehouse(spark, TableStore(spark, root), source, lambda: clock["now"])
+    assert again._batch_id == w._batch_id
+    assert again.store.batches("segments") == w.store.batches("segments")
+    for t in ("ods.bookings", "dds.fact_segments", "dm.flight_sales_mart"):
+        assert sorted(map(str, again.store.read_bucketed(t).collect())) == sorted(map(str, w.store.read(t).collect()))
+    assert again.load_entity("seats").steps["raw"]["rows"] == 0
+
+
+def test_replay_of_a_batch(life):
+    w = life[0]
+    before = sorted(map(str, w.store.read("ods.airports").drop("last_changed_at").collect()))
+    w.apply_to_ods("airports", w.store.batches("airports")[-1])
+    assert sorted(map(str, w.store.read("ods.airports").drop("last_changed_at").collect())) == before
+
+
+def test_initial_load_seeds_the_snapshot(spark, rows, tmp_path):
+    w = Warehouse(spark, TableStore(spark, str(tmp_path / "w"), new=True), Source(rows))
+    assert w.raw_initial("seats").steps["raw"] == {"rows": 2, "I": 2}
+    assert w.raw_delta("seats").steps["raw"]["rows"] == 0
+    assert w.raw_initial("seats").steps["raw"]["rows"] == 2
+    assert w.store.read_journal("seats").count() == 4
+    with pytest.raises(ValueError, match="no batch_id"):
+        w.staged("flights")
+
+
+def test_merges_do_not_shuffle_the_stored_side(spark, life):
+    w = life[0]
+    from tierline.operators import cdc
+    from tierline.catalog.entities import ENTITIES
+    from tierline.functions.expr import ts
+
+    snap = w.store.read_bucketed("snapshot.segments")
+    plan = cdc.delta(snap, w.store.read_bucketed("snapshot.segments"), ENTITIES["segments"], 1, ts("2024-01-01"))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    from tierline.operators import merge
+
+    merged = merge.apply_stage(w.store.read_bucketed("ods.segments"), w.staged("segments"), ENTITIES["segments"], ts("2024-01-01"))
+    # The only shuffle is that of the staged batch.
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

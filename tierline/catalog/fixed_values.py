@@ -154,3 +154,50 @@ INDEXES = [
     ("tickets", "tickets_pkey_idx", "btree", "ticket_no", True, "Индекс первичного ключа билетов"),
     ("tickets", "tickets_book_ref_passenger_outbound_idx", "btree", "book_ref, passenger_id, outbound", True, "Уникальный индекс пассажира и направления внутри бронирования"),
 ]
+
+# --- Fixed values: constraints of the warehouse tables (table, name, type, columns, referenced table, referenced columns,
+# --- rule, description); a rule on a UNIQUE constraint limits it to the rows it holds for --------------------------------
+
+WAREHOUSE_CONSTRAINTS = [
+    ("dds.dim_airplanes", "pk_dds_airplanes", "PRIMARY KEY", "airplane_sk", None, None, None, None),
+    ("dds.dim_airplanes", "chk_dds_airplanes_valid_period", "CHECK", "valid_to, valid_from", None, None, "valid_to > valid_from", None),
+    ("dds.dim_airplanes", "uq_dds_dim_airplanes_current", "UNIQUE", "airplane_code", None, None, "is_current = true", None),
+    ("dds.dim_airports", "pk_dds_airports", "PRIMARY KEY", "airport_sk", None, None, None, None),
+    ("dds.dim_airports", "chk_dds_airports_valid_period", "CHECK", "valid_to, valid_from", None, None, "valid_to > valid_from", None),
+    ("dds.dim_airports", "uq_dds_dim_airport_current", "UNIQUE", "airport_code", None, None, "is_current = true", None),
+    ("dds.dim_routes", "pk_dds_routes", "PRIMARY KEY", "route_sk", None, None, None, None),
+    ("dds.dim_routes", "uq_dds_dim_seats_source_key", "UNIQUE", "route_no, validity", None, None, None, None),
+    ("dds.dim_routes", "fk_dds_routes_departure_airport", "FOREIGN KEY", "departure_airport_sk", "dds.dim_airports", "airport_sk", None, None),
+    ("dds.dim_routes", "fk_dds_routes_arrival_airport", "FOREIGN KEY", "arrival_airport_sk", "dds.dim_airports", "airport_sk", None, None),
+    ("dds.dim_routes", "fk_dds_routes_airplane", "FOREIGN KEY", "airplane_sk", "dds.dim_airplanes", "airplane_sk", None, None),
+    ("dds.dim_seats", "pk_dds_dim_seats", "PRIMARY KEY", "seat_sk", None, None, None, None),
+    ("dds.dim_seats", "uq_dds_dim_routes_source_key", "UNIQUE", "seat_no, airplane_code", None, None, None, None),
+    ("dds.dim_seats", "fk_dds_dim_seats_airplane", "FOREIGN KEY", "airplane_sk", "dds.dim_airplanes", "airplane_sk", None, None),
+    ("dds.dim_passenger", "pk_dds_dim_passenger", "PRIMARY KEY", "passenger_sk", None, None, None, None),
+    ("dds.dim_passenger", "uq_dds_dim_passenger_passenger_id", "UNIQUE", "passenger_id", None, None, None, None),
+    ("dds.fact_flights", "pk_dds_fact_flights", "PRIMARY KEY", "flight_sk", None, None, None, None),
+    ("dds.fact_flights", "uq_dds_fact_flights_source_key", "UNIQUE", "flight_id", None, None, None, None),
+    ("dds.fact_flights", "fk_dds_fact_flights_routes", "FOREIGN KEY", "route_sk", "dds.dim_routes", "route_sk", None, None),
+    ("dds.fact_flights", "chk_dds_fact_flights_sch", "CHECK", "scheduled_departure, scheduled_arrival", None, None, "scheduled_departure < scheduled_arrival", None),
+    ("dds.fact_flights", "chk_dds_fact_flights_act", "CHECK", "actual_departure, actual_arrival", None, None, "actual_arrival is null or (actual_departure is not null and actual_departure < actual_arrival)", None),
+    ("dds.fact_bookings", "pk_dds_fact_bookings", "PRIMARY KEY", "bookings_sk", None, None, None, None),
+    ("dds.fact_bookings", "uq_dds_fact_bookings_source_key", "UNIQUE", "book_ref", None, None, None, None),
+    ("dds.fact_tickets", "pk_dds_fact_tickets", "PRIMARY KEY", "ticket_sk", None, None, None, None),
+    ("dds.fact_tickets", "fk_dds_fact_tickets_bookings", "FOREIGN KEY", "bookings_sk", "dds.fact_bookings", "bookings_sk", None, None),
+    ("dds.fact_tickets", "fk_dds_fact_tickets_passenger", "FOREIGN KEY", "passenger_sk", "dds.dim_passenger", "passenger_sk", None, None),
+    ("dds.fact_tickets", "uq_dds_fact_tickets_source_key", "UNIQUE", "ticket_no", None, None, None, None),
+    ("dds.fact_segments", "pk_dds_fact_segments", "PRIMARY KEY", "segment_sk", None, None, None, None),
+    ("dds.fact_segments", "uq_dds_fact_segments_source_key", "UNIQUE", "ticket_sk, flight_sk", None, None, None, None),
+    ("dds.fact_segments", "fk_dds_fact_segments_ticket", "FOREIGN KEY", "ticket_sk", "dds.fact_tickets", "ticket_sk", None, None),
+    ("dds.fact_segments", "fk_dds_fact_segments_flight", "FOREIGN KEY", "flight_sk", "dds.fact_flights", "flight_sk", None, None),
+    ("dds.fact_boarding_passes", "pk_dds_fact_boarding_passes", "PRIMARY KEY", "boarding_pass_sk", None, None, None, None),
+    ("dds.fact_boarding_passes", "uq_dds_fact_boarding_passes", "UNIQUE", "ticket_sk, flight_sk", None, None, None, None),
+    ("dds.fact_boarding_passes", "fk_dds_fact_boarding_passes_ticket", "FOREIGN KEY", "ticket_sk", "dds.fact_tickets", "ticket_sk", None, None),
+    ("dds.fact_boarding_passes", "fk_dds_fact_boarding_passes_flight", "FOREIGN KEY", "flight_sk", "dds.fact_flights", "flight_sk", None, None),
+    ("dm.flight_sales_mart", "pk_dm_flight_sales_mart", "PRIMARY KEY", "ticket_no, flight_id", None, None, None, None),
+    ("dm.flight_revenue_mart", "pk_dm_flight_revenue_mart", "PRIMARY KEY", "flight_id", None, None, None, None),
+    ("dm.airport_traffic_daily", "pk_dm_airport_traffic_daily", "PRIMARY KEY", "traffic_date, airport_name", None, None, None, None),
+    ("dq.pmi_results", "chk_dq_pmi_results_status", "CHECK", "status", None, None, "status in ('PASS', 'FAIL', 'WARN')", None),
+    ("dq.pmi_results", "chk_dq_pmi_results_layers", "CHECK", "layer_from", None, None, "layer_from in ('source', 'raw', 'stg', 'ods', 'dds', 'dm')", None),
+    ("dq.pmi_results", "chk_dq_pmi_results_layer_to", "CHECK", "layer_to", None, None, "layer_to in ('raw', 'stg', 'ods', 'dds', 'dm')", None),
+]

@@ -149,8 +149,9 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
 def airport_traffic(sales: DataFrame) -> DataFrame:
     """Flights, passengers and revenue per day and airport, departures and arrivals side by side.
 
-    One scan: each sale yields a departure and an arrival event. The distinct counts are split by Spark over the
-    counted ids before the last shuffle, so a hot airport does not land in one task.
+    Each sale yields a departure and an arrival event. Passengers: first one row per (day, airport, side, passenger)
+    with the revenue summed up, then counts; flights: their few distinct ids, then counts. Hot airports are spread
+    over passengers and flights before the last shuffle, and no row is expanded for a distinct count.
     """
 
     def event(kind: str, side: str) -> str:
@@ -159,38 +160,30 @@ def airport_traffic(sales: DataFrame) -> DataFrame:
             f" 'traffic_date', to_date(coalesce(actual_{side}, scheduled_{side})))"
         )
 
+    def both(column: str, name: str, aggregate: str) -> list[str]:
+        return [
+            f"coalesce({aggregate}({column}) filter (where kind = '{kind}'), 0) as {name.format(side)}"
+            for kind, side in (("d", "departure"), ("a", "arrival"))
+        ]
+
+    day = ["traffic_date", "airport_name"]
+    both_ends = f"explode(array({event('d', 'departure')}, {event('a', 'arrival')})) as e"
     events = (
-        sales.selectExpr(
-            "flight_id",
-            "passenger_id",
-            "price",
-            f"explode(array({event('d', 'departure')}, {event('a', 'arrival')})) as e",
-        )
+        sales.selectExpr("flight_id", "passenger_id", "price", both_ends)
         .selectExpr("flight_id", "passenger_id", "price", "e.*")
         .where("airport_name is not null and traffic_date is not null")
     )
-    per_kind = _agg(
-        events.groupBy("traffic_date", "airport_name", "kind"),
-        "count(distinct flight_id) as flights",
-        "count(distinct passenger_id) as passengers",
-        "sum(price) as revenue",
-    )
-
-    def side(kind: str, column: str, name: str) -> str:
-        return f"coalesce(max({column}) filter (where kind = '{kind}'), 0) as {name}"
-
-    day = _agg(
-        per_kind.groupBy("traffic_date", "airport_name"),
-        side("d", "flights", "departures_count"),
-        side("a", "flights", "arrivals_count"),
-        side("d", "passengers", "departure_passenger_count"),
-        side("a", "passengers", "arrival_passenger_count"),
-        side("d", "revenue", "departure_revenue"),
-        side("a", "revenue", "arrival_revenue"),
+    per_passenger = _agg(events.groupBy(*day, "kind", "passenger_id"), "sum(price) as revenue")
+    passengers = _agg(
+        per_passenger.groupBy(*day),
+        *both("passenger_id", "{}_passenger_count", "count"),
+        *both("revenue", "{}_revenue", "sum"),
     )
-    return day.selectExpr(
-        "traffic_date",
-        "airport_name",
+    per_flight = events.select(*day, "kind", "flight_id").distinct()
+    flights = _agg(per_flight.groupBy(*day), *both("flight_id", "{}s_count", "count"))
+    # Both sides hold exactly the days and airports of the events.
+    return passengers.join(flights, day).selectExpr(
+        *day,
         "departures_count",
         "arrivals_count",
         "departure_passenger_count",

@@ -71,27 +71,31 @@ def null_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _rule_sql(rule: str) -> str:
-    """Value sets in the registry are written without quotes: status in (On Time, ...)."""
-    if " in (" not in rule:
+    """Value sets in the source registry are written without quotes: status in (On Time, ...)."""
+    if " in (" not in rule or "'" in rule:
         return rule
     column, values = rule.rstrip(")").split(" in (")
     return f"{column} in ({', '.join(repr(v) for v in _split(values))})"
 
 
-def constraint_violations(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations of every registered constraint on the source frames (keyed by source object)."""
+def constraint_violations(tables: Mapping[str, DataFrame], constraints: list[tuple] = fv.CONSTRAINTS) -> DataFrame:
+    """Violations of every listed constraint, by default those of the source tables; frames are keyed by table name.
+
+    A rule on a UNIQUE constraint limits it to the rows the rule holds for.
+    """
     parts = []
     checks: dict[str, dict[str, str]] = {}
-    for table, name, kind, columns, parent, parent_columns, rule, _ in fv.CONSTRAINTS:
-        df, cols = sources[table], _split(columns)
+    for table, name, kind, columns, parent, parent_columns, rule, _ in constraints:
+        df, cols = tables[table], _split(columns)
         if kind == "CHECK":
             checks.setdefault(table, {})[name] = _rule_sql(rule)
             continue
         if kind in ("PRIMARY KEY", "UNIQUE"):
-            twice = duplicate_keys(df, cols, nulls_are_bad=kind == "PRIMARY KEY")
+            limited = df.where(rule) if rule else df
+            twice = duplicate_keys(limited, cols, nulls_are_bad=kind == "PRIMARY KEY")
             found = twice.agg(F.expr("count(*) as violations"))
         elif kind == "FOREIGN KEY":
-            bad = orphans(df, cols, sources[parent], _split(parent_columns))
+            bad = orphans(df, cols, tables[parent], _split(parent_columns))
             found = bad.agg(F.expr("coalesce(sum(rows), 0) as violations"))
         else:
             key, period = cols
@@ -104,7 +108,7 @@ def constraint_violations(sources: Mapping[str, DataFrame]) -> DataFrame:
             )
         )
     for table, rules in checks.items():
-        counted = broken_rules(sources[table], rules)
+        counted = broken_rules(tables[table], rules)
         parts.append(
             counted.selectExpr(
                 f"'{table}' as table_name", "rule as constraint_name", "'CHECK' as constraint_type", "violations"

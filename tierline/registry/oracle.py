@@ -576,11 +576,13 @@ def _columns(text: str) -> list[str]:
     return [c.strip() for c in text.split(",")]
 
 
-def _constraint(c: tuple) -> str:
+def _constraint(c: tuple, _mixed=_mixed) -> str:
     table, name, kind, columns, parent, parent_columns, rule, _ = c
     cols = _columns(columns)
     if kind in ("PRIMARY KEY", "UNIQUE"):
-        n = f"select count(*) from (select 1 from {_mixed(table)} group by {', '.join(cols)} having count(*) > 1)"
+        key = ", ".join(cols).replace("validity", "validity_lower, validity_upper")
+        only = f" where {rule}" if rule else ""
+        n = f"select count(*) from (select 1 from {_mixed(table)}{only} group by {key} having count(*) > 1)"
     elif kind == "FOREIGN KEY":
         pairs = " and ".join(f"c.{a} = p.{b}" for a, b in zip(cols, _columns(parent_columns)))
         n = f"select count(*) from {_mixed(table)} as c where not exists (select 1 from {_mixed(parent)} as p where {pairs})"
@@ -588,13 +590,24 @@ def _constraint(c: tuple) -> str:
         n = f"""select count(*) from (select validity_lower, lag(validity_upper) over (partition by route_no
             order by validity_lower, validity_upper) as p from {_mixed(table)}) where p > validity_lower"""
     else:
-        if " in (" in rule:
+        if " in (" in rule and "'" not in rule:
             column, values = rule.rstrip(")").split(" in (")
             rule = f"{column} in ({', '.join(repr(v) for v in _columns(values))})"
         n = f"select count(*) from {_mixed(table)} where not ({rule})"
     return f"select '{table}' as table_name, '{name}' as constraint_name, '{kind}' as constraint_type, ({n}) as violations"
 
 
+def _warehouse_table(name: str) -> str:
+    layer, table = name.split(".")
+    if table in ("dim_airplanes", "dim_airports"):
+        entity = table[4:]
+        code = KEYS[entity][0]
+        return f"""(select {_first_version(code)} as {code[:-5]}_sk, {code}, '{T1}' as valid_from, '{OPEN}' as valid_to,
+            true as is_current from {_src(entity)})"""
+    marts = {"flight_sales_mart": _SALES, "flight_revenue_mart": _REVENUE, "airport_traffic_daily": _TRAFFIC}
+    return f"({_ALL_CHECKS if layer == 'dq' else marts.get(table) or DDS[table]})"
+
+
 def _index(i: tuple) -> str:
     table, name, _, columns, _, _ = i
     n = f"select count(*) from (select 1 from {_mixed(table)} group by {columns} having count(*) > 1)"
@@ -717,6 +730,7 @@ def oracle() -> dict[str, str]:
     sql["con_no_overlap"] = f"select count(*) as violations from ({_VISITS}) where p + interval 6 hour > ts"
     sql["meta_dictionary"] = " union all ".join(_dictionary(r) for r in fv.DICTIONARY if r[1] is not None)
     sql["meta_constraints"] = " union all ".join(_constraint(c) for c in fv.CONSTRAINTS)
+    sql["con_warehouse"] = " union all ".join(_constraint(c, _warehouse_table) for c in fv.WAREHOUSE_CONSTRAINTS)
     sql["meta_indexes"] = " union all ".join(_index(i) for i in fv.INDEXES if i[4] and i[2] == "btree")
     sql["warehouse_full_load"] = _full_load_rows()
     sql["warehouse_batch_log"] = _batch_log()

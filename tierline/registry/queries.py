@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import ENTITIES
 from tierline.functions.expr import ts
 from tierline.operators import cdc, history, integrity, merge, staging
@@ -234,6 +235,20 @@ register("con_check", lambda s, d: integrity.broken_rules(SampleSources(s, d).so
 register("con_no_overlap", _overlaps)
 
 
+def _warehouse_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, foreign keys and rules of the loaded DDS tables, the marts and the check results."""
+    load = first(spark, sf_dir)
+    tables = {f"dds.{t}": load.stored(t) for t in DDS_KEYS}
+    tables["dm.flight_sales_mart"] = load.sales()
+    tables["dm.flight_revenue_mart"] = marts.flight_revenue(load.sales())
+    tables["dm.airport_traffic_daily"] = marts.airport_traffic(load.sales())
+    tables["dq.pmi_results"] = two(spark, sf_dir).stored("dq.pmi_results")
+    return registry_checks.constraint_violations(tables, fv.WAREHOUSE_CONSTRAINTS)
+
+
+register("con_warehouse", _warehouse_constraints)
+
+
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = registry_checks.null_profile(_mixed_states(spark, sf_dir))
     described = registry_checks.source_dictionary(spark).where("column_name is not null")

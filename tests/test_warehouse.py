@@ -177,6 +177,22 @@ def test_reopened_store_knows_everything(spark, life):
     assert again.load_entity("seats").steps["raw"]["rows"] == 0
 
 
+def test_interrupted_load_is_carried_on(life):
+    w, source, clock, *_ = life
+    clock["now"] = datetime(2024, 9, 1, tzinfo=timezone.utc)
+    source.data["bookings"]["B4"] = (JAN, Decimal("7.00"))
+    lost = w.raw_delta("bookings")  # journaled, then the run ended
+    assert lost.steps["raw"]["rows"] == 1
+    report = w.load_entity("bookings")  # the source shows no change any more
+    assert report.steps["raw"]["rows"] == 0 and "fact_bookings" in report.steps
+    assert {r.updated_batch_id for r in w.store.read("ods.bookings").where("book_ref = 'B4'").collect()} == {lost.batch_id}
+    source.data["bookings"]["B4"] = (JAN, Decimal("8.00"))
+    w.apply_to_ods("bookings", w.raw_delta("bookings").batch_id)  # the run ended before DDS
+    assert "fact_bookings" in w.load_entity("bookings").steps
+    assert w.store.read("dds.fact_bookings").where("book_ref = 'B4'").first().total_amount == Decimal("8.00")
+    assert w.load_entity("bookings").steps == {"raw": {"rows": 0, "I": 0, "U": 0, "D": 0}}
+
+
 def test_replay_of_a_batch(life):
     w = life[0]
     before = sorted(map(str, w.store.read("ods.airports").drop("last_changed_at").collect()))

@@ -144,9 +144,11 @@ class Warehouse:
 
     def apply_to_ods(self, name: str, batch_id: int | None = None) -> dict[str, int]:
         entity, table = ENTITIES[name], f"ods.{name}"
+        if batch_id is None:
+            batch_id = max(self.store.batches(name), default=None)
         rows = merge.apply_stage(self.store.read_or_none(table), self.staged(name, batch_id), entity, self._now())
         written = self.store.write(table, rows, _bucket_keys(entity), {"deleted": "count_if(is_deleted)"})
-        self.store.publish(written)
+        self.store.publish(written, self.store.mark(f"applied.ods.{name}", batch_id))
         return written.metrics
 
     def _dds_rows(self, table: str, now: str) -> DataFrame:
@@ -180,7 +182,7 @@ class Warehouse:
         }
         return build[table]()
 
-    def load_dds(self, table: str) -> dict[str, int]:
+    def load_dds(self, table: str, *marks: Written) -> dict[str, int]:
         rows, keys = self._dds_rows(table, self._now()), DDS_KEYS[table]
         first = not self.store.exists(f"dds.{table}")
         metrics = {"deleted": "count_if(is_deleted)"} if "is_deleted" in rows.columns else {}
@@ -189,17 +191,28 @@ class Warehouse:
         # Later loads come out of a merge on the keys; the first one has to be distributed by them.
         rows = self.store.shuffled(rows, keys) if first and keys else rows
         written = self.store.write(f"dds.{table}", rows, keys, metrics)
-        self.store.publish(written)
+        self.store.publish(written, *marks)
         return written.metrics
 
     def load_entity(self, name: str) -> LoadReport:
-        """RAW delta, STAGE, ODS, DDS. A batch without changes stops after RAW."""
+        """RAW delta, STAGE, ODS, DDS. Without changes it stops after RAW.
+
+        Batches an earlier, interrupted run journaled but did not carry on are applied first, in order; so is a DDS load
+        it did not finish.
+        """
         report = self.raw_delta(name)
-        if report.steps["raw"]["rows"] == 0:
+        waiting = [b for b in self.store.batches(name) if b > self.store.version(f"applied.ods.{name}")]
+        unfinished = self.store.version(f"applied.dds.{name}") < self.store.version(f"applied.ods.{name}")
+        done = self.store.mark(f"applied.dds.{name}", report.batch_id)
+        if report.steps["raw"]["rows"] == 0 and waiting == [report.batch_id] and not unfinished:
+            self.store.publish(self.store.mark(f"applied.ods.{name}", report.batch_id), done)
             return report
-        report.steps["ods"] = self.apply_to_ods(name, report.batch_id)
-        for table in DDS_OF[name]:
+        for batch_id in waiting:
+            report.steps["ods"] = self.apply_to_ods(name, batch_id)
+        *others, last = DDS_OF[name]
+        for table in others:
             report.steps[table] = self.load_dds(table)
+        report.steps[last] = self.load_dds(last, done)
         return report
 
     # --- Marts, main load, checks -----------------------------------------------------------------------------------

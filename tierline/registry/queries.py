@@ -189,7 +189,7 @@ register("rep_detail", lambda s, d: checks.details(_dq_history(s, d)))
 # --- Constraints and registries -------------------------------------------------------------------------------------
 
 
-def _mixed_states(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Parents without their deleted rows under children that still have theirs: some keys are orphans."""
     later = ("airplanes", "airports", "flights", "tickets")
     load = two(spark, sf_dir)
@@ -250,7 +250,7 @@ register("con_warehouse", _warehouse_constraints)
 
 
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = registry_checks.null_profile(_mixed_states(spark, sf_dir))
+    profile = registry_checks.null_profile(source_tables(spark, sf_dir))
     described = registry_checks.source_dictionary(spark).where("column_name is not null")
     return described.join(profile, ["object_name", "column_name"]).select(
         "object_name", "column_name", "data_type", "rows", "null_rows", "holds"
@@ -258,8 +258,8 @@ def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("meta_dictionary", _dictionary)
-register("meta_constraints", lambda s, d: registry_checks.constraint_violations(_mixed_states(s, d)))
-register("meta_indexes", lambda s, d: registry_checks.unique_index_violations(_mixed_states(s, d)))
+register("meta_constraints", lambda s, d: registry_checks.constraint_violations(source_tables(s, d)))
+register("meta_indexes", lambda s, d: registry_checks.unique_index_violations(source_tables(s, d)))
 
 
 # --- Stored warehouse -----------------------------------------------------------------------------------------------

@@ -131,6 +131,13 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return table in self._published
 
+    def version(self, table: str) -> int:
+        return self._published[table].version if table in self._published else 0
+
+    def mark(self, name: str, version: int) -> Written:
+        """A log entry without files, to publish how far a step has come."""
+        return Written(name, max(version, self.version(name)), "", "", (), 0, {"rows": 0})
+
     def read(self, table: str, written: Written | None = None) -> DataFrame:
         """Published version, read as plain files: joins on other columns shuffle it and may split hot keys."""
         w = written or self._published[table]

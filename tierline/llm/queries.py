@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierline.llm import simhash_dedup
+from tierline.llm import kd_sharding, packing, simhash_dedup
 from tierline.llm.tables import table
 
 
@@ -18,5 +19,24 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash_dedup": op1_simhash_dedup}
+def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near-equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    shards = kd_sharding.shard_by_tree(kd_sharding.sizes(docs, kd_sharding.metadata(docs)), 8)
+    return shards.select(
+        shards["id"].alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 4096 tokens, packed into sequences."""
+    packed = packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+    return packed.select(packed["id"].alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {
+    "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_kd_sharding": op2_kd_sharding,
+    "op3_best_fit_packing": op3_best_fit_packing,
+}
 SQL: dict[str, str] = {}

@@ -214,3 +214,16 @@ def near_groups(prints: DataFrame, reach: int = 2) -> DataFrame:
 
 def hexadecimal(column: str):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def keep_one(docs: DataFrame, reach: int = 2, width: int = 3) -> DataFrame:
+    """The rows without those whose group has a smaller id, in their own columns. Repeated rows of one id count as copies: one of them stays.
+
+    Rows with a null id cannot be told apart and stay.
+    """
+    groups = staged(near_groups(fingerprints(docs, width), reach), "groups")
+    extra = groups.filter("id > component").select("id").distinct()
+    kept = docs.join(extra, docs["doc_id"] == extra["id"], "left_anti")
+    repeated = staged(groups.filter("id = component").groupBy("id").count().filter("count > 1").select("id"), "repeated")
+    once = kept.join(repeated, kept["doc_id"] == repeated["id"], "left_anti")
+    return once.unionByName(kept.join(repeated, kept["doc_id"] == repeated["id"], "left_semi").dropDuplicates(["doc_id"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import kd_sharding, packing, simhash_dedup
+from tierline.llm import decontamination, kd_sharding, packing, simhash_dedup
 from tierline.llm.tables import table
 
 
@@ -34,9 +34,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(packed["id"].alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with its best window for each item."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_kd_sharding": op2_kd_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL: dict[str, str] = {}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, kd_sharding, packing, simhash_dedup
+from tierline.llm import decontamination, kd_sharding, packing, simhash_dedup, toxicity
+from tierline.llm.common import held_out
 from tierline.llm.tables import table
 
 
@@ -34,6 +35,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(packed["id"].alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; labels whose id has remainder 0 of 5 are held out."""
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = toxicity.scores(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a passage of a benchmark item, with its best window for each item."""
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,6 +52,7 @@ QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_kd_sharding": op2_kd_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, kd_sharding, packing, simhash_dedup, toxicity
+from tierline.llm import decontamination, kd_sharding, line_dedup, packing, simhash_dedup, sql, toxicity
 from tierline.llm.common import held_out
 from tierline.llm.tables import table
 
@@ -35,6 +35,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(packed["id"].alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on five sites or more, but for their first holder."""
+    return line_dedup.clean(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines", "lines_removed")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels whose id has remainder 0 of 5 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
@@ -52,7 +57,8 @@ QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_kd_sharding": op2_kd_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP}

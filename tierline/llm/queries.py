@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, kd_sharding, language_id, line_dedup, packing, simhash_dedup, sql, toxicity
+from tierline.llm import decontamination, kd_sharding, language_id, line_dedup, packing, quality, simhash_dedup, sql, toxicity
 from tierline.llm.common import held_out
 from tierline.llm.tables import table
 
@@ -55,6 +55,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", out.alias("held_out"), F.col("predicted.language").alias("lang_pred"), "predicted.score")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; labels of ids with remainder 2 of 4 are held out."""
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
+    scored = quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels"), ~out))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a passage of a benchmark item, with its best window for each item."""
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,6 +74,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_language_id": op7_language_id,
+    "op9_quality": op9_quality,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, kd_sharding, language_id, line_dedup, packing, quality, simhash_dedup, sql, toxicity
+from tierline.llm import decontamination, kd_sharding, language_id, licences, line_dedup, packing, quality, simhash_dedup, spot_signatures, sql, toxicity
 from tierline.llm.common import held_out
 from tierline.llm.tables import table
 
@@ -48,6 +48,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of the nearest directory above."""
+    return licences.scan(licences.document_paths(table(spark, sf_dir, "documents")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; languages of ids with remainder 1 of 3 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 3, 1)
@@ -55,6 +60,23 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", out.alias("held_out"), F.col("predicted.language").alias("lang_pred"), "predicted.score")
 
 
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are; the same for the next document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = spot_signatures.with_signatures(docs, "text", "own")
+    edited = spot_signatures.edited(spot_signatures.with_next(own, ["text", "own"]))
+    both = spot_signatures.with_signatures(edited, "edited", "other")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spot_signatures.as_text(F.col("own")).alias("fingerprint"),
+        spot_signatures.as_text(F.col("other")).alias("edited_fingerprint"),
+        spot_signatures.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        spot_signatures.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of ids with remainder 2 of 4 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
@@ -73,8 +95,10 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_licence_scan": op6_licence_scan,
     "op7_language_id": op7_language_id,
+    "op8_spot_signatures": op8_spot_signatures,
     "op9_quality": op9_quality,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP}
+SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op6_licence_scan": sql.licence_scan()}

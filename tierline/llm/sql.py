@@ -1,5 +1,7 @@
 """The registered queries as SQL for DuckDB, where SQL can express them."""
 
+from tierline.llm.licences import FILE, HEADER, TEMPLATES
+
 LINE_DEDUP = """
 WITH held AS (
   SELECT doc_id, coalesce(source, '') AS site, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
@@ -16,3 +18,51 @@ SELECT doc_id, array_to_string(rest, chr(10)) AS text, CAST(coalesce(len(line),
        CAST(coalesce(len(line), 0) - coalesce(len(rest), 0) AS INTEGER) AS lines_removed
 FROM kept
 """
+
+
+def licence_scan() -> str:
+    """Weighs every unit against every template, without the bounds that spare Spark most of it."""
+    templates = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES.items())
+    split = "list_distinct(list_filter(string_split_regex(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+    return f"""
+WITH files AS (
+  SELECT doc_id, concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), coalesce(CAST(doc_id // 1000 AS VARCHAR), '_'), coalesce(CAST(doc_id AS VARCHAR), '_')) AS path,
+         text FROM documents
+), templates(name, statement) AS (VALUES {templates}
+), tw AS (SELECT name, unnest({split.format("statement")}) AS w FROM templates
+), df AS (
+  SELECT w, count(*) AS df FROM (SELECT unnest({split.format("text")}) AS w FROM files) WHERE w IN (SELECT w FROM tw) GROUP BY w
+), n AS (SELECT count(*) AS n FROM files
+), weights AS (
+  SELECT w, power(ln((n.n + 1) / (coalesce(df, 0) + 1)), 2) AS weight FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w), n
+), norms AS (SELECT name, sum(weight) AS norm FROM tw JOIN weights USING (w) GROUP BY name
+), units AS (
+  SELECT path, 0 AS place, 'file' AS kind, {FILE} AS least, {split.format("text")} AS ws FROM files WHERE text IS NOT NULL
+  UNION ALL
+  SELECT path, place, 'header', {HEADER}, {split.format("line")} FROM (
+    SELECT path, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM files WHERE text IS NOT NULL)
+), entries AS (SELECT path, place, kind, least, len(ws) AS size, unnest(ws) AS w FROM units
+), known AS (
+  SELECT path, place, kind, least, size, count(*) AS inside, sum(weight) AS weight FROM entries JOIN weights USING (w) GROUP BY ALL
+), dots AS (
+  SELECT path, place, kind, name, sum(weight) AS dot FROM entries JOIN weights USING (w) JOIN tw USING (w) GROUP BY ALL
+), scored AS (
+  SELECT path, kind, name, least, round(dot / sqrt((k.weight + (size - inside) * power(ln(n.n + 1), 2)) * norm), 6) AS similarity
+  FROM dots JOIN known k USING (path, place, kind) JOIN norms USING (name), n
+), own AS (
+  SELECT path, kind, name AS licence, similarity FROM scored WHERE similarity >= least
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY kind, similarity DESC, name) = 1
+), stated AS (
+  SELECT regexp_replace(path, '/[^/]*$', '') AS above, licence FROM own WHERE kind = 'file'
+  QUALIFY row_number() OVER (PARTITION BY above ORDER BY similarity DESC, path) = 1
+), dirs AS (
+  SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS dir FROM files
+), nearest AS (
+  SELECT dir, above, licence FROM dirs JOIN stated ON dir = above OR starts_with(dir, above || '/')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(above) DESC) = 1
+)
+SELECT doc_id, path, coalesce(own.licence, nearest.licence) AS licence,
+       CASE WHEN own.licence IS NULL AND nearest.licence IS NOT NULL THEN 'inherited' ELSE kind END AS kind,
+       similarity, CASE WHEN own.licence IS NULL THEN above END AS licence_dir
+FROM files LEFT JOIN own USING (path) LEFT JOIN nearest ON dir = regexp_replace(path, '/[^/]*$', '')
+"""

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where that is unset, as in tests, one below the warehouse, which a cluster shares as well."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+from tierline.sources.workspace import new_folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table written to the shared folder: lineage ends there, so that a lost executor costs a reread and no recomputation."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -180,13 +180,13 @@ def fit(docs: DataFrame, learn: Column) -> Model:
     return Model(groups, among, machines, columns, np.array(bias))
 
 
-def predictions(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The documents with `predicted`, a struct of language and score."""
+def prediction(model: Model, text: str | Column = "text") -> Column:
+    """A struct of language and score for a text column."""
 
     @F.pandas_udf("language string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = [model.predict(t) for t in texts]
             yield pd.DataFrame({"language": [x[0] for x in found], "score": [x[1] for x in found]})
 
-    return docs.withColumn("predicted", predict(text_column))
+    return of(text)

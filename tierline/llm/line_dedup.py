@@ -55,16 +55,16 @@ def boilerplate(docs: DataFrame, sites: int = SITES, id_column: str = "doc_id",
 
 
 def clean(docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """The documents without other documents' boilerplate lines, and with `lines` and `lines_removed`."""
+    """The documents without other documents' boilerplate lines, and with `_ld_lines` and `_ld_removed`."""
     hits, _ = boilerplate(docs, sites)
     by_doc = hits.groupBy(F.col("id").alias("_ld_id")).agg(F.collect_set(F.struct("a", "b")).alias("_ld_hits"))
     joined = docs.join(by_doc, docs["doc_id"] == by_doc["_ld_id"], "left")
     lines = F.split("text", "\n")
     kept = F.filter(F.arrays_zip(lines.alias("line"), line_keys(F.col("text")).alias("key")), lambda x: x["key"].isNull() | ~F.array_contains("_ld_hits", x["key"]))
     kept = F.when(F.col("_ld_hits").isNull(), lines).otherwise(F.transform(kept, lambda x: x["line"]))
-    out = joined.withColumn("_ld_kept", kept)
+    out = joined.withColumns({"_ld_kept": kept, "_ld_lines": F.size(F.coalesce(lines, F.array()))})
     return out.select(
-        *[F.concat_ws("\n", "_ld_kept").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.size(F.coalesce(lines, F.array())).alias("lines"),
-        (F.size(F.coalesce(lines, F.array())) - F.size(F.coalesce("_ld_kept", F.array()))).alias("lines_removed"),
-    ).withColumn("text", F.when(F.col("lines") > 0, F.col("text")))
+        *[F.when(F.col("text").isNotNull(), F.concat_ws("\n", "_ld_kept")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        "_ld_lines",
+        (F.col("_ld_lines") - F.size(F.coalesce("_ld_kept", F.array()))).alias("_ld_removed"),
+    )

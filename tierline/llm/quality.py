@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
             x = [terms(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_order"), batch.column("y"), pa.array(x, pa.binary())], ["o", "y", "x"])
 
-    sample = docs.join(keys, docs["doc_id"] == keys["_id"]).select("_order", "y", "text")
+    sample = docs.select("doc_id", "text").join(keys, F.col("doc_id") == F.col("_id")).select("_order", "y", "text")
     rows = sample.mapInArrow(vectors, "o long, y int, x binary").dropDuplicates().orderBy("o", "y", "x").collect()
     if not rows:
         return Model(weight, np.zeros((DIMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5, 0.5)
@@ -160,13 +160,13 @@ def latent_space(x: np.ndarray, rounds: int = 6) -> np.ndarray:
     return np.ascontiguousarray((basis @ turned.T)[:, :RANK]).astype(np.float32)
 
 
-def scores(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The documents with the column `score`."""
+def score(model: Model, text: str | Column = "text") -> Column:
+    """The score of a text column."""
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             blocks = [model.score(list(texts[at : at + ROWS])) for at in range(0, len(texts), ROWS)]
             yield pd.Series(np.concatenate(blocks) if blocks else [], dtype="float64")
 
-    return docs.withColumn("score", score(F.coalesce(text_column, F.lit(""))))
+    return of(F.coalesce(text, F.lit("")))

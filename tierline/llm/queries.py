@@ -37,15 +37,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stand on five sites or more, but for their first holder."""
-    return line_dedup.clean(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines", "lines_removed")
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", F.col("_ld_lines").alias("lines"), F.col("_ld_removed").alias("lines_removed"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels whose id has remainder 0 of 5 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~out)
-    scored = toxicity.scores(docs, model)
-    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = docs.select("doc_id", out.alias("held_out"), toxicity.score(model).alias("score"))
+    return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +57,8 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; languages of ids with remainder 1 of 3 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 3, 1)
-    predicted = language_id.predictions(docs, language_id.fit(docs, ~out))
-    return predicted.select("doc_id", out.alias("held_out"), F.col("predicted.language").alias("lang_pred"), "predicted.score")
+    predicted = docs.select("doc_id", out.alias("held_out"), language_id.prediction(language_id.fit(docs, ~out)).alias("p"))
+    return predicted.select("doc_id", "held_out", F.col("p.language").alias("lang_pred"), "p.score")
 
 
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +81,9 @@ def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of ids with remainder 2 of 4 are held out."""
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
-    scored = quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels"), ~out))
-    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = docs.select("doc_id", out.alias("held_out"), quality.score(model).alias("score"))
+    return scored.select("*", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,7 +196,8 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> tu
     keys = keys.withColumn("_order", F.xxhash64("_id"))
     chosen = [keys.filter(F.col("y") == y).orderBy("_order", "_id").limit(SAMPLE) for y in (0, 1)]
     chosen = staged(chosen[0].unionByName(chosen[1]), "chosen")
-    return staged(docs.join(chosen, docs["doc_id"] == chosen["_id"]).select("text", "y"), "sample"), counts
+    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("text", "y")
+    return staged(texts, "sample"), counts
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> Model:
@@ -249,12 +250,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25)
     return w[:-1], float(w[-1])
 
 
-def scores(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The documents with the column `score`."""
+def score(model: Model, text: str | Column = "text") -> Column:
+    """The score of a text column."""
+
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         read = Reader(model.decoder, model.looker())
         for texts in batches:
             yield pd.Series([model.score(read(t)) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", score(text_column))
+    return of(text)

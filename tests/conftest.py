@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 from datetime import datetime, timedelta
 
 import pytest
@@ -18,6 +19,7 @@ def spark() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tierline-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

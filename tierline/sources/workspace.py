@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, the folder all executors share.
-
-    Only a local session without that setting gets a temporary folder; a cluster must name one.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tierline-")
+    """A fresh folder below spark.checkpoint.dir, the folder all executors share; where that is unset, below the warehouse, which they share as well."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tierline"
     return f"{shared.rstrip('/')}/tierline-{purpose}-{uuid.uuid4().hex}"

@@ -24,8 +24,8 @@ def _mark(column: str, new: str, gone: str, changed: str) -> str:
     )
 
 
-def _code(x: str) -> str:
-    return f"lpad(({x})::varchar, greatest(3, length(({x})::varchar))::int, '0')"
+def _code(x: str, digits: int = 3) -> str:
+    return f"lpad(({x})::varchar, greatest({digits}, length(({x})::varchar))::int, '0')"
 
 
 def _at(micros: str) -> str:
@@ -37,7 +37,7 @@ _ARR = f"{_DEP} + (p_size + 30)::bigint * {MIN}"
 _STATUSES = "[" + ", ".join(f"'{s}'" for s in fv.FLIGHT_STATUSES) + "]"
 _ORDER_MARK = _mark("o_orderpriority", "'1-URGENT'", "'5-LOW'", "'2-HIGH'")
 _PARTS = (
-    "select l_orderkey, l_partkey, min(l_returnflag) as flag, max(l_extendedprice) as price,"
+    "select l_orderkey, l_partkey, min(l_returnflag) as flag, sum(l_extendedprice::decimal(10,2)) as price,"
     " min(l_linestatus) as st, min(l_linenumber) as line from lineitem group by 1, 2"
 )
 _FARE = "case flag when 'A' then 'Economy' when 'N' then 'Comfort' else 'Business' end"
@@ -48,7 +48,7 @@ SRC = {
         '{{"en":"' || s_name || '","ru":"' || lower(s_name) || '"}}' as model,
         (1000 + s_suppkey)::int as range, (500 + s_nationkey)::int as speed,
         {_mark('s_nationkey', '0,1,2,3,4', '5,6,7,8,9', '10,11,12,13,14')} from supplier""",
-    "airports": f"""select 'N' || lpad(n_nationkey::varchar, 2, '0') as airport_code,
+    "airports": f"""select 'N' || {_code('n_nationkey', 2)} as airport_code,
         '{{"en":"' || n_name || '","ru":"' || n_name || '"}}' as airport_name,
         '{{"en":"' || n_name || '","ru":"' || n_name || '"}}' as city,
         '{{"en":"' || r_name || '","ru":"' || r_name || '"}}' as country,
@@ -56,9 +56,9 @@ SRC = {
         'UTC' as timezone, {_mark('n_regionkey', '0', '1', '2')} from nation join region on n_regionkey = r_regionkey""",
     "routes": f"""select p_brand as route_no, {_at(f'{BASE} + w * 500 * {HOUR}')} as validity_lower,
         {_at(f'{BASE} + (w + 1) * 500 * {HOUR}')} as validity_upper,
-        'N' || lpad((b % 25)::varchar, 2, '0') as departure_airport,
-        'N' || lpad(((b + 1 + w) % 25)::varchar, 2, '0') as arrival_airport,
-        {_code('(b * 4 + w) % 10')} as airplane_code, '{{1,3,5}}' as days_of_week, '11:00:00' as scheduled_time,
+        'N' || {_code('b % 25', 2)} as departure_airport,
+        'N' || {_code('(b + 1 + w) % 25', 2)} as arrival_airport,
+        {_code('(select min(s_suppkey) from supplier) + ((b * 4 + w) * 7919) % (select count(*) from supplier)')} as airplane_code, '{{1,3,5}}' as days_of_week, '11:00:00' as scheduled_time,
         ((b + 60) * 60)::bigint as duration_seconds, {_mark('w', '3', '0', '1')}
         from (select distinct p_brand, replace(p_brand, 'Brand#', '')::int as b from part) as brands,
         (values (0), (1), (2), (3)) as seasons(w)""",
@@ -79,7 +79,7 @@ SRC = {
     "segments": f"""select l_orderkey::varchar as ticket_no, l_partkey::int as flight_id, {_FARE} as fare_conditions,
         price::decimal(10,2) as price, {_mark('line', '1', '2', '3')} from ({_PARTS})""",
     "boarding_passes": f"""select l_orderkey::varchar as ticket_no, l_partkey::int as flight_id,
-        (l_orderkey % 2000000000 + 1)::varchar || 'B' as seat_no, (l_orderkey % 2000000000 + 1)::int as boarding_no,
+        (l_orderkey + 1)::varchar || 'B' as seat_no, try_cast(l_orderkey + 1 as int) as boarding_no,
         {_at(_DEP.replace('p_partkey', 'l_partkey') + f' - 30 * {MIN}')} as boarding_time,
         {_mark('line', '1', '2', '3')} from ({_PARTS}) where st = 'F'""",
 }
@@ -587,8 +587,10 @@ def _constraint(c: tuple, _mixed=_mixed) -> str:
         pairs = " and ".join(f"c.{a} = p.{b}" for a, b in zip(cols, _columns(parent_columns)))
         n = f"select count(*) from {_mixed(table)} as c where not exists (select 1 from {_mixed(parent)} as p where {pairs})"
     elif kind == "EXCLUDE":
-        n = f"""select count(*) from (select validity_lower, lag(validity_upper) over (partition by route_no
-            order by validity_lower, validity_upper) as p from {_mixed(table)}) where p > validity_lower"""
+        numbered = f"""select route_no, validity_lower, validity_upper, row_number() over (partition by route_no
+            order by validity_lower, validity_upper) as n from {_mixed(table)}"""
+        n = f"""select count(*) from ({numbered}) as v where exists (select 1 from ({numbered}) as p
+            where p.route_no = v.route_no and p.n < v.n and p.validity_upper > v.validity_lower)"""
     else:
         if " in (" in rule and "'" not in rule:
             column, values = rule.rstrip(")").split(" in (")
@@ -604,6 +606,8 @@ def _warehouse_table(name: str) -> str:
         code = KEYS[entity][0]
         return f"""(select {_first_version(code)} as {code[:-5]}_sk, {code}, '{T1}' as valid_from, '{OPEN}' as valid_to,
             true as is_current from {_src(entity)})"""
+    if layer == "ods":
+        return _src(table)
     marts = {"flight_sales_mart": _SALES, "flight_revenue_mart": _REVENUE, "airport_traffic_daily": _TRAFFIC}
     return f"({_ALL_CHECKS if layer == 'dq' else marts.get(table) or DDS[table]})"
 
@@ -622,7 +626,7 @@ def _dictionary(row: tuple) -> str:
         count(*) - count({real}) as null_rows, {holds} as holds from {_mixed(obj)}"""
 
 
-_VISITS = """select user_id, ts, lag(ts) over (partition by user_id order by ts) as p from events"""
+_VISITS = "select user_id, ts, row_number() over (partition by user_id order by ts) as n from events"
 _RULES = [
     ("segments_price_check", "price < 0"),
     ("segments_fare_conditions_check", f"fare_conditions not in {_FARES}"),
@@ -727,7 +731,8 @@ def oracle() -> dict[str, str]:
     sql["con_check"] = " union all ".join(
         f"select '{name}' as rule, count(*) as violations from {_src('segments')} where {broken}" for name, broken in _RULES
     )
-    sql["con_no_overlap"] = f"select count(*) as violations from ({_VISITS}) where p + interval 6 hour > ts"
+    sql["con_no_overlap"] = f"""with visits as ({_VISITS}) select count(*) as violations from visits as v where exists
+        (select 1 from visits as p where p.user_id = v.user_id and p.n < v.n and p.ts + interval 6 hour > v.ts)"""
     sql["meta_dictionary"] = " union all ".join(_dictionary(r) for r in fv.DICTIONARY if r[1] is not None)
     sql["meta_constraints"] = " union all ".join(_constraint(c) for c in fv.CONSTRAINTS)
     sql["con_warehouse"] = " union all ".join(_constraint(c, _warehouse_table) for c in fv.WAREHOUSE_CONSTRAINTS)

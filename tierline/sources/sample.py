@@ -34,13 +34,14 @@ OLD_VALUE = {
 }
 
 
-def _padded(number: str) -> str:
+def _padded(number: str, digits: int = 3) -> str:
+    """With leading zeros up to so many digits; longer numbers stay whole."""
     text = f"cast({number} as string)"
-    return f"lpad({text}, greatest(3, length({text})), '0')"
+    return f"lpad({text}, greatest({digits}, length({text})), '0')"
 
 
 def _airport(number: str) -> str:
-    return f"concat('N', lpad(cast({number} as string), 2, '0'))"
+    return f"concat('N', {_padded(number, 2)})"
 
 
 def _names(en: str, ru: str) -> str:
@@ -116,13 +117,16 @@ class SampleSources:
         seasons = brands.selectExpr(
             "p_brand as route_no", r"cast(regexp_extract(p_brand, '([0-9]+)$', 1) as int) as b", "explode(sequence(0, 3)) as w"
         )
+        # Supplier keys are numbers without gaps; a large prime spreads the routes over all of them.
+        known = self.table("supplier").agg(F.expr("min(s_suppkey)")).scalar(), self.table("supplier").agg(F.expr("count(*)")).scalar()
+        seasons = seasons.withColumns({"first": known[0], "airplanes": known[1]})
         low, high = (_micros(f"{BASE_MICROS} + cast({n} as bigint) * {WINDOW_HOURS * HOUR}") for n in ("w", "(w + 1)"))
         return seasons.selectExpr(
             "route_no",
             f"named_struct('lower', {low}, 'upper', {high}) as validity",
             f"{_airport('b % 25')} as departure_airport",
             f"{_airport('(b + 1 + w) % 25')} as arrival_airport",
-            f"{_padded('(b * 4 + w) % 10')} as airplane_code",
+            f"{_padded('first + pmod((b * 4 + w) * 7919, airplanes)')} as airplane_code",
             "array(1, 3, 5) as days_of_week",
             "'11:00:00' as scheduled_time",
             "make_dt_interval(0, 0, b + 60, 0) as duration",
@@ -190,7 +194,7 @@ class SampleSources:
         return (
             self.table("lineitem")
             .groupBy("l_orderkey", "l_partkey")
-            .agg(F.expr("max(l_extendedprice) as price"), *[F.expr(e) for e in smallest])
+            .agg(F.expr("sum(cast(l_extendedprice as decimal(10,2))) as price"), *[F.expr(e) for e in smallest])
             .selectExpr("l_orderkey", "l_partkey", "price", "char(flag) as flag", "char(status) as status", "line")
         )
 
@@ -205,16 +209,16 @@ class SampleSources:
 
     def _boarding_passes(self) -> DataFrame:
         # The pass number is taken from the ticket, not from a rank within the flight: a rank would sort a hot flight in
-        # one task.
-        number = "cast(pmod(l_orderkey, 2000000000) + 1 as int)"
+        # one task. The seat holds the whole number; a pass number beyond the column's range is unknown.
+        number = "(l_orderkey + 1)"
         return (
             self._order_parts()
             .where("status = 'F'")
             .selectExpr(
                 "cast(l_orderkey as string) as ticket_no",
                 "l_partkey as flight_id",
-                f"concat({number}, 'B') as seat_no",
-                f"{number} as boarding_no",
+                f"concat(cast({number} as string), 'B') as seat_no",
+                f"try_cast({number} as int) as boarding_no",
                 f"{_micros(_departure('l_partkey') + f' - {30 * MINUTE}')} as boarding_time",
                 LINE_MARK,
             )

@@ -74,3 +74,12 @@ def test_range_is_half_open(spark, when, lower, upper, inside):
     schema = "t timestamp, r struct<lower:timestamp,upper:timestamp>"
     value = (at(when), (lower and at(lower), upper and at(upper)))
     assert one(spark, in_range("t", "r"), schema, value) is inside
+
+
+def test_json_text_keeps_types_arrays_and_nesting(spark):
+    def text(value):
+        return one(spark, canonical_text("x", "json"), "x string", (value,))
+
+    different = ['["a"]', '["b"]', '{"en":1}', '{"en":"1"}', '{"a":{"b":1}}', '{"a":{"b":[1]}}', '{"a":null}', "{}", "no json", ""]
+    assert len({text(v) for v in different}) == len(different)
+    assert text('{"b": 1, "a": {"d": 2, "c": 3}}') == text('{"a":{"c":3,"d":2},"b":1}')

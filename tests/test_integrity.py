@@ -41,6 +41,33 @@ def test_neighbours_of_nothing(spark):
     assert integrity.neighbours(df, "k", "a", "b", integrity.OVERLAPS).first().violations == 0
 
 
+def brute_overlaps(rows):
+    groups = {}
+    for k, a, b in rows:
+        groups.setdefault(k, []).append((a, b))
+    n = 0
+    for g in groups.values():
+        g.sort()
+        n += sum(any(p[1] > g[i][0] for p in g[:i]) for i in range(len(g)))
+    return n
+
+
+@pytest.mark.parametrize("chunks", [None, 3, 16])
+def test_overlaps_with_any_earlier_period(spark, chunks):
+    rng = random.Random(4)
+    hours = lambda n: D0 + timedelta(hours=n)
+    rows = [("contained", hours(0), hours(10)), ("contained", hours(1), hours(2)), ("contained", hours(3), hours(4)), ("contained", hours(10), hours(11))]
+    for _ in range(500):
+        start = rng.randint(0, 4000)
+        key = "hot" if rng.random() < 0.4 else f"k{rng.randint(0, 30)}"
+        rows.append((key, hours(start), hours(start + rng.choice([0, 1, 2, 3, 400]))))
+    rows += [("copied", hours(0), hours(1))] * 100 + [("empty", hours(0), hours(0))] * 5
+    df = spark.createDataFrame(rows, "k string, a timestamp, b timestamp").repartition(6)
+    assert integrity.overlapping(df, "k", "a", "b", chunks).first().violations == brute_overlaps(rows)
+    assert integrity.overlapping(df.where("k = 'contained'"), "k", "a", "b", chunks).first().violations == 2
+    assert integrity.overlapping(df.where("false"), "k", "a", "b", chunks).first().violations == 0
+
+
 def test_duplicate_and_null_keys(spark):
     rows = [("A", 1), ("A", 1), ("A", 2), ("B", None), (None, None), (None, None)]
     df = spark.createDataFrame(rows, "a string, b int")

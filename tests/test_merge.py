@@ -89,3 +89,10 @@ def test_latest_per_key(spark):
     df = frame(spark, (1, "a", "old", 1), (1, "b", "new", 3), (1, "a", "tie", 3), (2, "a", "x", 1))
     got = {r.k: r.v for r in merge.latest_per_key(df, ["k"], ["batch_id", "sk"]).collect()}
     assert got == {1: "new", 2: "x"}
+
+
+def test_upsert_raises_on_a_key_with_a_null_part(spark):
+    rows = spark.createDataFrame([("T1", None, 1)], "ticket_no string, flight_id int, n int")
+    for target in (None, rows.where("false")):
+        with pytest.raises(Exception, match="key with a NULL part"):
+            merge.upsert(target, rows, ["ticket_no", "flight_id"], checked=True).collect()

@@ -353,4 +353,3 @@ ENTITIES = {
     e.name: e
     for e in (AIRPLANES, AIRPORTS, ROUTES, SEATS, FLIGHTS, BOOKINGS, TICKETS, SEGMENTS, BOARDING_PASSES)
 }
-BY_SOURCE_OBJECT = {e.source_object: e for e in ENTITIES.values()}

@@ -159,6 +159,15 @@ INDEXES = [
 # --- rule, description); a rule on a UNIQUE constraint limits it to the rows it holds for --------------------------------
 
 WAREHOUSE_CONSTRAINTS = [
+    ("ods.airplanes", "pk_ods_airplanes", "PRIMARY KEY", "airplane_code", None, None, None, None),
+    ("ods.airports", "pk_ods_airports", "PRIMARY KEY", "airport_code", None, None, None, None),
+    ("ods.routes", "pk_ods_routes", "PRIMARY KEY", "route_no, validity", None, None, None, None),
+    ("ods.seats", "pk_ods_seats", "PRIMARY KEY", "airplane_code, seat_no", None, None, None, None),
+    ("ods.flights", "pk_ods_flights", "PRIMARY KEY", "flight_id", None, None, None, None),
+    ("ods.bookings", "pk_ods_bookings", "PRIMARY KEY", "book_ref", None, None, None, None),
+    ("ods.tickets", "pk_ods_tickets", "PRIMARY KEY", "ticket_no", None, None, None, None),
+    ("ods.segments", "pk_ods_segments", "PRIMARY KEY", "ticket_no, flight_id", None, None, None, None),
+    ("ods.boarding_passes", "pk_ods_boarding_passes", "PRIMARY KEY", "ticket_no, flight_id", None, None, None, None),
     ("dds.dim_airplanes", "pk_dds_airplanes", "PRIMARY KEY", "airplane_sk", None, None, None, None),
     ("dds.dim_airplanes", "chk_dds_airplanes_valid_period", "CHECK", "valid_to, valid_from", None, None, "valid_to > valid_from", None),
     ("dds.dim_airplanes", "uq_dds_dim_airplanes_current", "UNIQUE", "airplane_code", None, None, "is_current = true", None),

@@ -65,8 +65,9 @@ def canonical_text(c: str, kind: str) -> str:
             f" regexp_replace(cast({seconds} as string), '^[0-9]+|[.]?0+$', '')) end"
         )
     if kind == "json":
-        # Key order and blanks of the source text must not change the hash.
-        return f"to_json(map_from_entries(array_sort(map_entries(from_json({c}, 'map<string,string>')))))"
+        # Key order and blanks of the source text must not change the hash; types, arrays and nesting must. Text that is
+        # no JSON stands for itself.
+        return f"coalesce(to_json(try_parse_json({c})), {c})"
     if kind == "int_array":
         return f"concat('{{', array_join(cast({c} as array<string>), ',', 'NULL'), '}}')"
     if kind == "point":
@@ -98,11 +99,6 @@ def in_range(at: str, rng: str) -> str:
     )
 
 
-def empty_like(df: DataFrame) -> DataFrame:
-    """No rows, same schema; the optimizer folds joins with it away."""
-    return df.where("false")
-
-
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows as literals in the plan: no Python worker is started to produce them."""
     fields = T.StructType.fromDDL(schema).fields

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierline.sources.workspace import new_folder
+
 # Conditions between a period and the end of the one before it.
 OVERLAPS = "{before} > start"
 GAPS = "{before} < start"
@@ -72,3 +74,24 @@ def neighbours(df: DataFrame, key: str, start: str, end: str, broken: str, chunk
     return per_chunk.selectExpr("*", "lag(end) over (partition by key order by chunk) as prev_end").agg(
         F.expr(f"cast(coalesce(sum(pairs + {after_previous}), 0) as bigint) as violations")
     )
+
+
+def overlapping(df: DataFrame, key: str, start: str, end: str, chunks: int | None = None) -> DataFrame:
+    """One row with the number of periods that overlap any earlier one of their key, in (start, end) order.
+
+    Spread over chunks as in neighbours(), so one key may own any share of the rows. Each chunk hands on its latest end
+    per key; a period is compared with the latest end before it, inside its chunk or in chunks before. The chunks are
+    written to the shared folder, because both steps have to see the same ones.
+    """
+    periods = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end").groupBy("key", "start", "end")
+    ranged = periods.agg(F.expr("count(*) - 1 as copies")).repartitionByRange(*([chunks] if chunks else []), "key", "start", "end")
+    dealt, folder = ranged.selectExpr("*", "spark_partition_id() as chunk"), new_folder(df.sparkSession, "periods")
+    dealt.write.parquet(folder)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(folder)
+    latest = dealt.groupBy("key", "chunk").agg(F.expr("max(end) as end"))
+    earlier = "over (partition by key order by chunk rows between unbounded preceding and 1 preceding)"
+    before = latest.selectExpr("key as k", "chunk as c", f"max(end) {earlier} as until_chunk")
+    inside = "over (partition by chunk, key order by start, end rows between unbounded preceding and 1 preceding)"
+    joined = dealt.selectExpr("*", f"max(end) {inside} as until").join(before, F.expr("key <=> k and chunk = c"))
+    overlaps = "if(greatest(until, until_chunk) > start, 1, 0) + copies * if(end > start, 1, 0)"
+    return joined.agg(F.expr(f"cast(coalesce(sum({overlaps}), 0) as bigint) as violations"))

@@ -48,8 +48,12 @@ def upsert(
     guard:   condition over t (target row) and d (delta row) under which an existing row is replaced, e.g.
              "t.batch_id < d.batch_id".
     checked: the delta is known to hold each key once; otherwise a key that occurs twice fails the query.
+    A key with a NULL part fails the query: nothing could ever find such a row again.
     A target stored bucketed by `keys` is not shuffled.
     """
+    missing = " or ".join(f"`{k}` is null" for k in keys)
+    message = f"concat('upsert: key with a NULL part ', to_json({struct_of(keys)}))"
+    delta = delta.where(f"case when {missing} then cast(raise_error({message}) as boolean) else true end")
     if not checked:
         delta = fail_on_second(delta, keys, "upsert")
     if target is None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
-from tierline.operators.integrity import OVERLAPS, broken_rules, duplicate_keys, neighbours, orphans
+from tierline.operators.integrity import broken_rules, duplicate_keys, orphans, overlapping
 from tierline.functions.expr import literal_frame, ts
 
 FAR_PAST = "0001-01-01 00:00:00"
@@ -101,7 +101,7 @@ def constraint_violations(tables: Mapping[str, DataFrame], constraints: list[tup
             key, period = cols
             low = f"coalesce({period}.lower, {ts(FAR_PAST)})"
             high = f"coalesce({period}.upper, {ts(fv.OPEN_END)})"
-            found = neighbours(df, key, low, high, OVERLAPS)
+            found = overlapping(df, key, low, high)
         parts.append(
             found.selectExpr(
                 f"'{table}' as table_name", f"'{name}' as constraint_name", f"'{kind}' as constraint_type", "violations"

@@ -200,7 +200,7 @@ def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour visits per user from the event stream; a user may not have two at a time."""
     events = SampleSources(spark, sf_dir).table("events")
     start = "cast(ts as timestamp)"
-    return integrity.neighbours(events, "user_id", start, f"{start} + interval '6' hour", integrity.OVERLAPS)
+    return integrity.overlapping(events, "user_id", start, f"{start} + interval '6' hour")
 
 
 def _two_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,9 +236,9 @@ register("con_no_overlap", _overlaps)
 
 
 def _warehouse_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys, foreign keys and rules of the loaded DDS tables, the marts and the check results."""
+    """Keys, foreign keys and rules of the loaded ODS and DDS tables, the marts and the check results."""
     load = first(spark, sf_dir)
-    tables = {f"dds.{t}": load.stored(t) for t in DDS_KEYS}
+    tables = {f"ods.{n}": load.ods(n) for n in ENTITIES} | {f"dds.{t}": load.stored(t) for t in DDS_KEYS}
     tables["dm.flight_sales_mart"] = load.sales()
     tables["dm.flight_revenue_mart"] = marts.flight_revenue(load.sales())
     tables["dm.airport_traffic_daily"] = marts.airport_traffic(load.sales())
@@ -264,7 +264,7 @@ register("meta_indexes", lambda s, d: registry_checks.unique_index_violations(so
 
 # --- Stored warehouse -----------------------------------------------------------------------------------------------
 
-_WAREHOUSES: dict[tuple, tuple[Warehouse, str]] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
 def _warehouse(spark: SparkSession, sf_dir: str, loads: tuple[str, ...]) -> Warehouse:

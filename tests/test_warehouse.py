@@ -156,6 +156,26 @@ def test_failed_batch_is_on_record_and_repeatable(spark, life):
     assert w.load_entity("bookings").steps["raw"]["rows"] == 0
 
 
+def test_the_whole_message_of_a_failure_is_kept(life):
+    w = life[0]
+    with pytest.raises(ValueError):
+        with w.batch("long"):
+            raise ValueError("x" * 5000)
+    assert w.store.load_batch().orderBy("batch_id").collect()[-1].error_message == "x" * 5000
+
+
+def test_report_of_a_load(life):
+    third = life[3][2]["report"]["bookings"]
+    assert (third.steps["ods"]["staged"], third.steps["ods"]["invalid"]) == (2, 1)
+    assert set(third.seconds) == {"raw", "ods", "fact_bookings"} and all(s > 0 for s in third.seconds.values())
+
+
+def test_checks_of_one_object(life):
+    w = life[0]
+    rows = w.run_checks("fact_bookings").collect()
+    assert rows and {r.object_name for r in rows} == {"fact_bookings"}
+
+
 def test_second_row_for_a_source_key_fails_the_batch(spark, life):
     w, source, *_ = life
     good = source.data["bookings"]

@@ -101,14 +101,15 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
     """Passengers and revenue per flight, total and by fare class.
 
     Measures: first one row per (flight, passenger) with partial sums, so a hot flight is spread over its passengers
-    and distinct passengers become plain counts, then one row per flight. Names: the few distinct combinations of a
-    flight, then their maximum. Both sides stay hash aggregates and meet co-partitioned by flight.
+    and distinct passengers become plain counts, then one row per flight. Names: the few combinations of a flight with
+    their number of prices, then the maximum of each name. The number keeps the first step a hash aggregate, which
+    reduces the rows before the shuffle; the second one sorts, because Spark has no hash maximum of text, but only what
+    is left. Both sides meet co-partitioned by flight.
     """
     classes = {f.lower(): f"fare_conditions = '{f}'" for f in fv.FARE_CONDITIONS}
     per_passenger = _agg(
         sales.groupBy("flight_id", "passenger_id"),
         "sum(price) as revenue",
-        "count(price) as prices",
         "max(price) as max_price",
         "min(price) as min_price",
         *[f"sum(price) filter (where {cond}) as {f}_revenue" for f, cond in classes.items()],
@@ -127,13 +128,12 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
         "count(passenger_id) as passenger_count",
         "sum(revenue) as total_revenue",
         *by_class,
-        "sum(prices) as prices",
         "max(max_price) as max_price",
         "min(min_price) as min_price",
     )
     names = ["status", "duration", "departure_airport_name", "arrival_airport_name", "airplane_model"]
-    combinations = sales.select("flight_id", *names).distinct()
-    labels = _agg(combinations.groupBy("flight_id"), *[f"max({c}) as {c}" for c in names])
+    combinations = _agg(sales.groupBy("flight_id", *names), "count(price) as prices")
+    labels = _agg(combinations.groupBy("flight_id"), "sum(prices) as prices", *[f"max({c}) as {c}" for c in names])
     return measures.join(labels, "flight_id").selectExpr(
         "flight_id",
         "passenger_count",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import ENTITIES, Entity
@@ -49,10 +51,17 @@ def _bucket_keys(entity: Entity) -> list[str]:
 
 @dataclass
 class LoadReport:
-    """Counts taken while writing, by step."""
+    """Counts taken while writing, and seconds, by step. Of a batch that was staged: `staged` and `invalid` rows."""
 
     batch_id: int
     steps: dict[str, dict[str, int]] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    @contextmanager
+    def timed(self, step: str) -> Iterator[None]:
+        started = time.perf_counter()
+        yield
+        self.seconds[step] = self.seconds.get(step, 0.0) + time.perf_counter() - started
 
 
 class Warehouse:
@@ -86,7 +95,7 @@ class Warehouse:
         try:
             yield batch_id
         except Exception as e:
-            self.store.log_event(batch_id, process_name, "FAILED", self.clock(), str(e)[:2000])
+            self.store.log_event(batch_id, process_name, "FAILED", self.clock(), str(e))
             raise
         self.store.log_event(batch_id, process_name, "SUCCESS", self.clock())
 
@@ -146,10 +155,14 @@ class Warehouse:
         entity, table = ENTITIES[name], f"ods.{name}"
         if batch_id is None:
             batch_id = max(self.store.batches(name), default=None)
-        rows = merge.apply_stage(self.store.read_or_none(table), self.staged(name, batch_id), entity, self._now())
-        written = self.store.write(table, rows, _bucket_keys(entity), {"deleted": "count_if(is_deleted)"})
+        keys, staged = _bucket_keys(entity), self.staged(name, batch_id)
+        counts = staged.agg(F.expr("count(*) as staged"), F.expr("count_if(not is_valid) as invalid")).first().asDict()
+        rows = merge.apply_stage(self.store.read_or_none(table), staged, entity, self._now())
+        # Later batches come out of a merge on the keys; the first one has to be distributed by them.
+        rows = self.store.shuffled(rows, keys) if keys and not self.store.exists(table) else rows
+        written = self.store.write(table, rows, keys, {"deleted": "count_if(is_deleted)"})
         self.store.publish(written, self.store.mark(f"applied.ods.{name}", batch_id))
-        return written.metrics
+        return written.metrics | counts
 
     def _dds_rows(self, table: str, now: str) -> DataFrame:
         """Target read bucketed for the merge; ODS and parents read plain for the lookups."""
@@ -200,7 +213,9 @@ class Warehouse:
         Batches an earlier, interrupted run journaled but did not carry on are applied first, in order; so is a DDS load
         it did not finish.
         """
+        started = time.perf_counter()
         report = self.raw_delta(name)
+        report.seconds["raw"] = time.perf_counter() - started
         waiting = [b for b in self.store.batches(name) if b > self.store.version(f"applied.ods.{name}")]
         unfinished = self.store.version(f"applied.dds.{name}") < self.store.version(f"applied.ods.{name}")
         done = self.store.mark(f"applied.dds.{name}", report.batch_id)
@@ -208,11 +223,16 @@ class Warehouse:
             self.store.publish(self.store.mark(f"applied.ods.{name}", report.batch_id), done)
             return report
         for batch_id in waiting:
-            report.steps["ods"] = self.apply_to_ods(name, batch_id)
+            with report.timed("ods"):
+                counts = self.apply_to_ods(name, batch_id)
+            found = report.steps.get("ods", {})
+            report.steps["ods"] = counts | {c: found.get(c, 0) + counts[c] for c in ("staged", "invalid")}
         *others, last = DDS_OF[name]
         for table in others:
-            report.steps[table] = self.load_dds(table)
-        report.steps[last] = self.load_dds(last, done)
+            with report.timed(table):
+                report.steps[table] = self.load_dds(table)
+        with report.timed(last):
+            report.steps[last] = self.load_dds(last, done)
         return report
 
     # --- Marts, main load, checks -----------------------------------------------------------------------------------
@@ -244,11 +264,13 @@ class Warehouse:
     def load_all(self) -> dict[str, LoadReport]:
         """All entities in key order, then the marts."""
         reports = {name: self.load_entity(name) for name in ENTITIES}
-        marts_report = LoadReport(self._batch_id, self.load_marts())
+        marts_report = LoadReport(self._batch_id)
+        with marts_report.timed("marts"):
+            marts_report.steps = self.load_marts()
         return reports | {"marts": marts_report}
 
-    def run_checks(self) -> DataFrame:
-        """One run of the fifteen checks, appended to the results; returns the rows of this run."""
+    def run_checks(self, object_name: str | None = None) -> DataFrame:
+        """One run of the fifteen checks, or of those of one object, appended to the results; returns the rows of this run."""
         run_id = max(self.store.batches("pmi_results"), default=0) + 1
         tables = {}
         for name in checks.ENTITY.values():
@@ -257,7 +279,8 @@ class Warehouse:
             tables[f"ods.{name}"] = self.store.read(f"ods.{name}")
         for name in checks.KEYS:
             tables[f"dds.{name}"] = self.store.read(f"dds.{name}")
-        rows = checks.all_checks(tables, run_id, self._now())
+        run = (run_id, self._now())
+        rows = checks.checks_of(object_name, tables, *run) if object_name else checks.all_checks(tables, *run)
         self.store.publish(self.store.write_batch("pmi_results", rows.withColumnRenamed("run_id", "batch_id"), run_id))
         return self.check_results().where(f"run_id = {run_id}")
 

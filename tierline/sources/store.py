@@ -49,7 +49,7 @@ class TableStore:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._name = "tl_" + hashlib.md5(self.root.encode()).hexdigest()[:10]
         self._published: dict[str, Written] = {}
-        self._batches: dict[str, list[int]] = {}
+        self._batches: dict[str, set[int]] = {}
         self._seq = 0
         self._event_seq = 0
         if not new:
@@ -59,15 +59,21 @@ class TableStore:
     # --- Commit log -------------------------------------------------------------------------------------------------
 
     def _load_log(self) -> None:
-        """One row per commit and table: small, and the only state the driver keeps."""
-        for r in self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log").orderBy("seq").collect():
-            w = Written(r["table"], r["version"], r["path"], r["schema"], tuple(r["keys"]), r["buckets"], {"rows": r["rows"]})
-            self._remember(w)
+        """The latest commit of each table and the batch numbers of each journal: the only state the driver keeps."""
+        log = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log")
+        latest = "max_by(struct(version, path, schema, keys, buckets, rows), seq) as last"
+        batches = "collect_set(version) filter (where `table` like 'journal.%') as batches"
+        for r in log.groupBy("table").agg(F.expr(latest), F.expr(batches), F.max("seq").alias("seq")).collect():
+            w = r["last"]
+            w = Written(r["table"], w["version"], w["path"], w["schema"], tuple(w["keys"]), w["buckets"], {"rows": w["rows"]})
+            self._published[w.table] = w
+            if w.table.startswith("journal."):
+                self._batches[w.table] = set(r["batches"])
             self._seq = max(self._seq, r["seq"])
 
     def _remember(self, w: Written) -> None:
         if w.table.startswith("journal."):
-            self._batches.setdefault(w.table, []).append(w.version)
+            self._batches.setdefault(w.table, set()).add(w.version)
         self._published[w.table] = w
 
     def publish(self, *written: Written) -> None:
@@ -161,15 +167,16 @@ class TableStore:
         return self.read_bucketed(table) if self.exists(table) else None
 
     def batches(self, journal: str) -> list[int]:
-        return sorted(set(self._batches.get(f"journal.{journal}", [])))
+        return sorted(self._batches.get(f"journal.{journal}", ()))
 
     def read_journal(self, journal: str, batch_id: int | None = None) -> DataFrame:
-        """Published batches of a journal, or one of them: only its folder is listed."""
+        """Published batches of a journal, read as one partitioned table, or one of them: then only its folder is listed."""
         w = self._published[f"journal.{journal}"]
-        known = [batch_id] if batch_id is not None else self.batches(journal)
         base = f"{self.root}/journal/{journal}"
         reader = self.spark.read.schema(w.schema + ", batch_id bigint").option("basePath", base)
-        return reader.parquet(*[f"{base}/batch_id={b}" for b in known])
+        if batch_id is not None:
+            return reader.parquet(f"{base}/batch_id={batch_id}")
+        return reader.parquet(base).where(F.col("batch_id").isin(self.batches(journal)))
 
     # --- Batch log --------------------------------------------------------------------------------------------------
 

@@ -14,13 +14,13 @@ def read_parquet(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, entity: Entity, properties: dict[str, str], predicates: list[str] | None = None
+    spark: SparkSession, url: str, entity: Entity, properties: dict[str, str], predicates: list[str]
 ) -> DataFrame:
-    """Source table over JDBC; each predicate is read by its own task, without predicates one task reads all.
+    """Source table over JDBC; each predicate is read by its own task, so there has to be at least one.
 
     The driver jar has to be on the class path.
     """
+    if not predicates:
+        raise ValueError(f"{entity.name}: predicates part the table among tasks; one task would read all of it")
     table = f"{fv.SOURCE_SCHEMA}.{entity.source_object}"
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)

@@ -244,3 +244,21 @@ def test_merges_do_not_shuffle_the_stored_side(spark, life):
     merged = merge.apply_stage(w.store.read_bucketed("ods.segments"), w.staged("segments"), ENTITIES["segments"], ts("2024-01-01"))
     # The only shuffle is that of the staged batch.
     assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_rows_that_come_before_their_parent_are_tried_again(spark, rows, tmp_path):
+    source = Source(rows)
+    d = source.data
+    plane, ticket = d["airplanes"].pop("P2"), d["tickets"].pop("T2")
+    w = Warehouse(spark, TableStore(spark, str(tmp_path / "w"), new=True), source)
+    first = w.load_all()
+    assert first["seats"].steps["dim_seats"]["waiting"] == 1 and first["segments"].steps["fact_segments"]["waiting"] == 1
+    assert [(r.airplane_code, r.seat_no) for r in w.waiting("dim_seats").collect()] == [("P2", "1A")]
+    d["airplanes"]["P2"], d["tickets"]["T2"] = plane, ticket
+    second = w.load_all()
+    assert second["seats"].steps["raw"]["rows"] == 0 and second["seats"].steps["dim_seats"]["waiting"] == 0
+    assert {r.airplane_code for r in w.store.read("dds.dim_seats").collect()} == {"P1", "P2"}
+    assert second["segments"].steps["fact_segments"] == {"rows": 3, "deleted": 0, "waiting": 0}
+    assert w.store.read("dm.flight_sales_mart").where("ticket_no = 'T2'").count() == 1
+    third = w.load_all()
+    assert list(third["seats"].steps) == list(third["segments"].steps) == ["raw"]

@@ -22,12 +22,19 @@ AIRPORT_TRACKED = [
 ]
 
 
-def above_watermark(ods: DataFrame, target: DataFrame | None) -> DataFrame:
-    """ODS rows touched by batches later than the newest one in the target."""
+def above_watermark(ods: DataFrame, target: DataFrame | None, waiting: DataFrame | None = None) -> DataFrame:
+    """ODS rows touched by batches later than the newest one in the target, and those that wait for a parent.
+
+    `waiting` holds the keys of rows that an earlier load had to leave out.
+    """
     if target is None:
         return ods.where("updated_batch_id > 0")
-    newest = target.agg(F.expr("coalesce(max(batch_id), 0)"))
-    return ods.where(F.col("updated_batch_id") > newest.scalar())
+    newest = target.agg(F.expr("coalesce(max(batch_id), 0)")).scalar()
+    newer = ods.where(F.col("updated_batch_id") > newest)
+    if waiting is None:
+        return newer
+    same = [ods[c].eqNullSafe(waiting[c]) for c in waiting.columns]
+    return newer.unionByName(ods.where(F.col("updated_batch_id") <= newest).join(waiting, same, "left_semi"))
 
 
 def dim_airplanes(dim: DataFrame | None, ods: DataFrame, effective_at: str) -> DataFrame:
@@ -50,14 +57,19 @@ def route_key(route_no: str, validity: str) -> str:
 
 
 def dim_routes(
-    dim: DataFrame | None, ods: DataFrame, airports: DataFrame, airplanes: DataFrame, changed_at: str
+    dim: DataFrame | None,
+    ods: DataFrame,
+    airports: DataFrame,
+    airplanes: DataFrame,
+    changed_at: str,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
     """Routes with the keys of the current airport and airplane versions; routes without them are left out."""
     departures = _current(airports, "airport_code", "airport_sk", "departure_airport", "departure_airport_sk")
     arrivals = _current(airports, "airport_code", "airport_sk", "arrival_airport", "arrival_airport_sk")
     models = _current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk")
     rows = (
-        above_watermark(ods, dim)
+        above_watermark(ods, dim, waiting)
         .join(departures, "departure_airport")
         .join(arrivals, "arrival_airport")
         .join(models, "airplane_code")
@@ -82,10 +94,12 @@ def dim_routes(
     return upsert(dim, keyed, ["route_no", "validity"], keep=["route_sk"], checked=True)
 
 
-def dim_seats(dim: DataFrame | None, ods: DataFrame, airplanes: DataFrame, changed_at: str) -> DataFrame:
+def dim_seats(
+    dim: DataFrame | None, ods: DataFrame, airplanes: DataFrame, changed_at: str, waiting: DataFrame | None = None
+) -> DataFrame:
     models = _current(airplanes, "airplane_code", "airplane_sk", "airplane_code", "airplane_sk")
     rows = (
-        above_watermark(ods, dim)
+        above_watermark(ods, dim, waiting)
         .join(models, "airplane_code")
         .selectExpr(
             f"{surrogate_key('airplane_code', 'seat_no')} as seat_sk",

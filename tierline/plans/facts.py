@@ -1,6 +1,7 @@
 """DDS facts: keys swapped in by joins, rows above the watermark merged by key.
 
-Lookups are inner joins, so rows without a partner are left out. Hot foreign keys (one flight, one booking) are left to
+Lookups are inner joins, so rows without a partner are left out; the stored warehouse keeps their keys and passes them on
+as `waiting`, so that they are tried again. Hot foreign keys (one flight, one booking) are left to
 adaptive skew joins: parents are read unbucketed here, so both sides shuffle and Spark may split a heavy partition.
 
 ODS holds each key once and parents are looked up by their unique keys, so only flights, whose route ranges could
@@ -36,8 +37,10 @@ def route_at_departure(flights: DataFrame, routes: DataFrame) -> DataFrame:
     return flights.join(r, match).drop("r_route_no", "validity")
 
 
-def fact_flights(fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: str) -> DataFrame:
-    rows = route_at_departure(above_watermark(ods, fact), routes).selectExpr(
+def fact_flights(
+    fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: str, waiting: DataFrame | None = None
+) -> DataFrame:
+    rows = route_at_departure(above_watermark(ods, fact, waiting), routes).selectExpr(
         f"{surrogate_key('flight_id', 'source_system')} as flight_sk",
         "route_sk",
         "flight_id",
@@ -51,6 +54,21 @@ def fact_flights(fact: DataFrame | None, ods: DataFrame, routes: DataFrame, chan
     return upsert(fact, rows, ["flight_id"], keep=["flight_sk"])
 
 
+def without_parent(rows: DataFrame, keys: list[str], parents: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Keys of the rows for which a lookup finds nothing. Parents are (column of the row, parent, its column); a parent
+    column `validity` means the route version at departure."""
+    missing = None
+    for column, parent, known in parents:
+        if known == "validity":
+            r = parent.selectExpr("route_no as r_route_no", "validity")
+            lone = rows.join(r, F.expr(f"route_no = r_route_no and {in_range('scheduled_departure', 'validity')}"), "left_anti")
+        else:
+            lone = rows.join(parent.selectExpr(f"{known} as parent_key"), F.expr(f"{column} = parent_key"), "left_anti")
+        lone = lone.select(*keys)
+        missing = lone if missing is None else missing.unionByName(lone)
+    return missing.distinct()
+
+
 def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: str) -> DataFrame:
     rows = above_watermark(ods, fact).selectExpr(
         f"{surrogate_key('book_ref', 'source_system')} as bookings_sk",
@@ -63,10 +81,15 @@ def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: str) -> Da
 
 
 def fact_tickets(
-    fact: DataFrame | None, ods: DataFrame, bookings: DataFrame, passengers: DataFrame, changed_at: str
+    fact: DataFrame | None,
+    ods: DataFrame,
+    bookings: DataFrame,
+    passengers: DataFrame,
+    changed_at: str,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
     rows = (
-        above_watermark(ods, fact)
+        above_watermark(ods, fact, waiting)
         .where("ticket_no is not null")
         .join(bookings.select("book_ref", "bookings_sk"), "book_ref")
         .join(passengers.select("passenger_id", "passenger_sk"), "passenger_id")
@@ -90,9 +113,10 @@ def _by_ticket_and_flight(
     sk: str,
     measures: list[str],
     changed_at: str,
+    waiting: DataFrame | None,
 ) -> DataFrame:
     rows = (
-        above_watermark(ods, fact)
+        above_watermark(ods, fact, waiting)
         .where("ticket_no is not null and flight_id is not null")
         .join(tickets.select("ticket_no", "ticket_sk"), "ticket_no")
         .join(flights.select("flight_id", "flight_sk"), "flight_id")
@@ -108,13 +132,24 @@ def _by_ticket_and_flight(
 
 
 def fact_segments(
-    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str
+    fact: DataFrame | None,
+    ods: DataFrame,
+    tickets: DataFrame,
+    flights: DataFrame,
+    changed_at: str,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
-    return _by_ticket_and_flight(fact, ods, tickets, flights, "segment_sk", ["fare_conditions", "price"], changed_at)
+    measures = ["fare_conditions", "price"]
+    return _by_ticket_and_flight(fact, ods, tickets, flights, "segment_sk", measures, changed_at, waiting)
 
 
 def fact_boarding_passes(
-    fact: DataFrame | None, ods: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str
+    fact: DataFrame | None,
+    ods: DataFrame,
+    tickets: DataFrame,
+    flights: DataFrame,
+    changed_at: str,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
     measures = ["seat_no", "boarding_no", "boarding_time"]
-    return _by_ticket_and_flight(fact, ods, tickets, flights, "boarding_pass_sk", measures, changed_at)
+    return _by_ticket_and_flight(fact, ods, tickets, flights, "boarding_pass_sk", measures, changed_at, waiting)

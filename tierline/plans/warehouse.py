@@ -43,6 +43,19 @@ DDS_OF = {
     "segments": ["fact_segments"],
     "boarding_passes": ["fact_boarding_passes"],
 }
+# Lookups that may leave a row out: (column of the ODS row, parent, its column, whether only current versions count).
+LOOKUPS = {
+    "dim_routes": [
+        ("departure_airport", "dim_airports", "airport_code", True),
+        ("arrival_airport", "dim_airports", "airport_code", True),
+        ("airplane_code", "dim_airplanes", "airplane_code", True),
+    ],
+    "dim_seats": [("airplane_code", "dim_airplanes", "airplane_code", True)],
+    "fact_flights": [("route_no", "dim_routes", "validity", False)],
+    "fact_tickets": [("book_ref", "fact_bookings", "book_ref", False), ("passenger_id", "dim_passenger", "passenger_id", False)],
+    "fact_segments": [("ticket_no", "fact_tickets", "ticket_no", False), ("flight_id", "fact_flights", "flight_id", False)],
+    "fact_boarding_passes": [("ticket_no", "fact_tickets", "ticket_no", False), ("flight_id", "fact_flights", "flight_id", False)],
+}
 
 
 def _bucket_keys(entity: Entity) -> list[str]:
@@ -164,8 +177,24 @@ class Warehouse:
         self.store.publish(written, self.store.mark(f"applied.ods.{name}", batch_id))
         return written.metrics | counts
 
+    def waiting(self, table: str) -> DataFrame | None:
+        """Keys of ODS rows that a load left out because a parent was missing; the next load tries them again."""
+        return self.store.read(f"waiting.{table}") if self.store.exists(f"waiting.{table}") else None
+
+    def _without_parent(self, table: str) -> DataFrame:
+        """What load_dds is about to leave out: the rows it looks at, without a parent."""
+        entity = ENTITIES[next(e for e, tables in DDS_OF.items() if table in tables)]
+        target = self.store.read(f"dds.{table}") if self.store.exists(f"dds.{table}") else None
+        rows = dims.above_watermark(self.store.read(f"ods.{entity.name}"), target, self.waiting(table))
+        parents = []
+        for column, parent, known, only_current in LOOKUPS[table]:
+            frame = self.store.read(f"dds.{parent}")
+            parents.append((column, frame.where("is_current") if only_current else frame, known))
+        return facts.without_parent(rows, list(entity.keys), parents)
+
     def _dds_rows(self, table: str, now: str) -> DataFrame:
         """Target read bucketed for the merge; ODS and parents read plain for the lookups."""
+        late = self.waiting(table)
         target = self.store.read_or_none(f"dds.{table}")
 
         def ods(name: str) -> DataFrame:
@@ -177,20 +206,20 @@ class Warehouse:
         build = {
             "dim_airplanes": lambda: dims.dim_airplanes(target, ods("airplanes"), now),
             "dim_airports": lambda: dims.dim_airports(target, ods("airports"), now),
-            "dim_routes": lambda: dims.dim_routes(target, ods("routes"), dds("dim_airports"), dds("dim_airplanes"), now),
-            "dim_seats": lambda: dims.dim_seats(target, ods("seats"), dds("dim_airplanes"), now),
+            "dim_routes": lambda: dims.dim_routes(target, ods("routes"), dds("dim_airports"), dds("dim_airplanes"), now, late),
+            "dim_seats": lambda: dims.dim_seats(target, ods("seats"), dds("dim_airplanes"), now, late),
             "dim_passenger": lambda: dims.dim_passenger(target, ods("tickets"), now),
-            "fact_flights": lambda: facts.fact_flights(target, ods("flights"), dds("dim_routes"), now),
+            "fact_flights": lambda: facts.fact_flights(target, ods("flights"), dds("dim_routes"), now, late),
             # ODS bookings are bucketed like the fact they feed.
             "fact_bookings": lambda: facts.fact_bookings(target, self.store.read_bucketed("ods.bookings"), now),
             "fact_tickets": lambda: facts.fact_tickets(
-                target, ods("tickets"), dds("fact_bookings"), dds("dim_passenger"), now
+                target, ods("tickets"), dds("fact_bookings"), dds("dim_passenger"), now, late
             ),
             "fact_segments": lambda: facts.fact_segments(
-                target, ods("segments"), dds("fact_tickets"), dds("fact_flights"), now
+                target, ods("segments"), dds("fact_tickets"), dds("fact_flights"), now, late
             ),
             "fact_boarding_passes": lambda: facts.fact_boarding_passes(
-                target, ods("boarding_passes"), dds("fact_tickets"), dds("fact_flights"), now
+                target, ods("boarding_passes"), dds("fact_tickets"), dds("fact_flights"), now, late
             ),
         }
         return build[table]()
@@ -203,12 +232,15 @@ class Warehouse:
             metrics["current"] = "count_if(is_current)"
         # Later loads come out of a merge on the keys; the first one has to be distributed by them.
         rows = self.store.shuffled(rows, keys) if first and keys else rows
-        written = self.store.write(f"dds.{table}", rows, keys, metrics)
-        self.store.publish(written, *marks)
-        return written.metrics
+        written, left_out = [self.store.write(f"dds.{table}", rows, keys, metrics)], {}
+        if table in LOOKUPS:
+            written.append(self.store.write(f"waiting.{table}", self._without_parent(table)))
+            left_out = {"waiting": written[1].metrics["rows"]}
+        self.store.publish(*written, *marks)
+        return written[0].metrics | left_out
 
     def load_entity(self, name: str) -> LoadReport:
-        """RAW delta, STAGE, ODS, DDS. Without changes it stops after RAW.
+        """RAW delta, STAGE, ODS, DDS. Without changes it stops after RAW, unless rows wait for a parent.
 
         Batches an earlier, interrupted run journaled but did not carry on are applied first, in order; so is a DDS load
         it did not finish.
@@ -219,7 +251,8 @@ class Warehouse:
         waiting = [b for b in self.store.batches(name) if b > self.store.version(f"applied.ods.{name}")]
         unfinished = self.store.version(f"applied.dds.{name}") < self.store.version(f"applied.ods.{name}")
         done = self.store.mark(f"applied.dds.{name}", report.batch_id)
-        if report.steps["raw"]["rows"] == 0 and waiting == [report.batch_id] and not unfinished:
+        late = any(self.store.rows(f"waiting.{t}") for t in DDS_OF[name])
+        if report.steps["raw"]["rows"] == 0 and waiting == [report.batch_id] and not unfinished and not late:
             self.store.publish(self.store.mark(f"applied.ods.{name}", report.batch_id), done)
             return report
         for batch_id in waiting:

@@ -737,6 +737,8 @@ def oracle() -> dict[str, str]:
     sql["meta_constraints"] = " union all ".join(_constraint(c) for c in fv.CONSTRAINTS)
     sql["con_warehouse"] = " union all ".join(_constraint(c, _warehouse_table) for c in fv.WAREHOUSE_CONSTRAINTS)
     sql["meta_indexes"] = " union all ".join(_index(i) for i in fv.INDEXES if i[4] and i[2] == "btree")
+    sql["warehouse_late_parents"] = f"""select segment_sk, ticket_sk, flight_sk, fare_conditions, price, is_deleted
+        from ({DDS['fact_segments']})"""
     sql["warehouse_full_load"] = _full_load_rows()
     sql["warehouse_batch_log"] = _batch_log()
     return sql

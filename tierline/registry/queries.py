@@ -13,7 +13,7 @@ from tierline.catalog.entities import ENTITIES
 from tierline.functions.expr import ts
 from tierline.operators import cdc, history, integrity, merge, staging
 from tierline.plans import checks, facts, marts, registry_checks
-from tierline.plans.warehouse import DDS_KEYS, Warehouse
+from tierline.plans.warehouse import DDS_KEYS, DDS_OF, Warehouse
 from tierline.registry.dirty import SPOILED
 from tierline.registry.layers import BATCH, FIRST_LOAD, SECOND_LOAD, FirstLoad, TwoLoads, load_of
 from tierline.registry.output import plain
@@ -301,6 +301,23 @@ def _batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.store.load_batch().join(rows, "batch_id").select("batch_id", "process_name", "status", "rows")
 
 
+def _late_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment facts of a warehouse whose first load had all segments but not all their tickets."""
+    key = (spark.sparkContext.applicationId, sf_dir, ("late",))
+    if key not in _WAREHOUSES:
+        sources, state = SampleSources(spark, sf_dir), {"tickets": "before"}
+        store = TableStore(spark, new_folder(spark, "warehouse"), buckets=spark.sparkContext.defaultParallelism, new=True)
+        warehouse = Warehouse(spark, store, lambda n: sources.source(n, state.get(n, "all")))
+        for name in DDS_OF:
+            warehouse.load_entity(name)
+        state["tickets"] = "all"
+        for name in ("tickets", "segments"):
+            warehouse.load_entity(name)
+        _WAREHOUSES[key] = warehouse
+    return _WAREHOUSES[key].store.read("dds.fact_segments").select("segment_sk", "ticket_sk", "flight_sk", "fare_conditions", "price", "is_deleted")
+
+
+register("warehouse_late_parents", _late_parents)
 register("warehouse_full_load", lambda s, d: _table_rows(s, d, ("all",)))
 register("warehouse_two_loads", lambda s, d: _table_rows(s, d, ("before", "after")))
 register("warehouse_batch_log", _batch_log)

@@ -140,6 +140,9 @@ class TableStore:
     def version(self, table: str) -> int:
         return self._published[table].version if table in self._published else 0
 
+    def rows(self, table: str) -> int:
+        return self._published[table].metrics["rows"] if table in self._published else 0
+
     def mark(self, name: str, version: int) -> Written:
         """A log entry without files, to publish how far a step has come."""
         return Written(name, max(version, self.version(name)), "", "", (), 0, {"rows": 0})

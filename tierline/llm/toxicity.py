@@ -65,8 +65,9 @@ def trigram_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
         total = np.zeros(1 << 15, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                for at in range(0, len(text) + 1, BLOCK):
-                    s = symbols(("  " if not at else text[at - 2 : at]) + text[at : at + BLOCK] + " ")
+                padded = f"  {text} "
+                for at in range(0, len(padded) - 2, BLOCK):
+                    s = symbols(padded[at : at + BLOCK + 2])
                     total += np.bincount(s[:-2] << 10 | s[1:-1] << 5 | s[2:], minlength=1 << 15)
         codes = np.flatnonzero(total)
         yield pd.DataFrame({"code": codes, "n": total[codes]})
@@ -131,7 +132,7 @@ class Decoder:
 
     def words(self, raw: str) -> list[str]:
         """The words that one run without blanks stands for: without outer punctuation, and restored if it looks disguised."""
-        word = raw.strip(_PUNCTUATION)
+        word = raw.strip(_PUNCTUATION).rstrip("!" + _PUNCTUATION)
         if word.isalpha() and not _REPEATED.search(word):
             return [word]
         if len(word) > 40:
@@ -228,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic")
         for batch in batches:
             yield pd.DataFrame({"y": batch["y"], "found": [sorted(read(t)) for t in batch["text"]]})
 
-    rows = sample.mapInPandas(gather, "y int, found array<int>").orderBy("y", "found").collect()  # at most 2 SAMPLE rows
+    rows = sorted(sample.mapInPandas(gather, "y int, found array<int>").collect())  # at most 2 SAMPLE rows
     x, y = np.zeros((len(rows), len(names)), np.float32), np.array([r[0] for r in rows], np.float64)
     for k, r in enumerate(rows):
         x[k, r[1]] = 1

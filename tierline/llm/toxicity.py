@@ -8,7 +8,8 @@ reading and stays as it is.
 The trigram model counts all texts of the table (one pass, reduced in the tasks to at most 32,768 counts each). The score is a logistic
 regression over features of the restored words: each word and its beginnings of 4 to 6 letters, one feature each per text. Features and
 weights are learned from labelled rows only, at most SAMPLE of each label, taken in the order of a hash of the id; the FEATURES that
-part the labels most are kept. The labels' share among all labelled rows that may be learned from sets the intercept.
+part the labels most are kept. One more feature says whether one was found that a share COMMON of label 1 has, and surely STRONG times that of label 0: texts
+with a single telling word would else be scored by the company that word usually keeps. The labels' share among all labelled rows that may be learned from sets the intercept.
 
 Bounds: the driver holds the trigram counts, FEATURES names, and the sample's feature numbers. A task remembers REMEMBERED words.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import staged
 
-SAMPLE, FEATURES, LEAST, REMEMBERED, BLOCK = 4_000, 512, 4, 300_000, 1 << 20
+SAMPLE, FEATURES, LEAST, COMMON, STRONG, REMEMBERED, BLOCK = 4_000, 256, 4, 0.02, 5, 300_000, 1 << 20
 #: Letters that a sign may stand for.
 LEET = {
     "0": "ou", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -179,11 +180,16 @@ class Reader:
 class Model:
     decoder: Decoder
     places: dict[str, int]
+    strong: frozenset[int]
     weights: np.ndarray
     intercept: float
 
+    def row(self, found: set[int]) -> list[int]:
+        """Numbers of the features of a text; the last one stands for any strong one."""
+        return sorted(found) + [len(self.places)] * (not self.strong.isdisjoint(found))
+
     def score(self, found: set[int]) -> float:
-        z = self.intercept + float(self.weights[sorted(found)].sum()) if found else self.intercept
+        z = self.intercept + (float(self.weights[self.row(found)].sum()) if found else 0.0)
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
     def looker(self) -> Callable[[str], tuple]:
@@ -217,20 +223,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic")
 
     sizes = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     if len(sizes) < 2:
-        return Model(decoder, {}, np.zeros(0), -50.0)
+        return Model(decoder, {}, frozenset(), np.zeros(1), -50.0)
     sums = sample.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     p, q = (F.col("t") + 0.5) / (sizes[1] + 1), (F.col("c") + 0.5) / (sizes[0] + 1)
     apart = F.abs(p - q) / F.sqrt(p * (1 - p) / sizes[1] + q * (1 - q) / sizes[0])
-    names = [r[0] for r in sums.filter(F.col("c") + F.col("t") >= LEAST).orderBy(apart.desc(), "feature").limit(FEATURES).collect()]
-    model = Model(decoder, {f: k for k, f in enumerate(names)}, np.zeros(len(names)), 0.0)
+    best = sums.filter(F.col("c") + F.col("t") >= LEAST).orderBy(apart.desc(), "feature").limit(FEATURES)
+    surely, at_most = (F.col("t") - 2 * F.sqrt("t")) / sizes[1], (F.col("c") + 1) / sizes[0]
+    names = [(r[0], r[1]) for r in best.select("feature", (surely >= STRONG * at_most) & (p >= COMMON)).collect()]
+    strong = frozenset(k for k, (_, is_strong) in enumerate(names) if is_strong)
+    model = Model(decoder, {f: k for k, (f, _) in enumerate(names)}, strong, np.zeros(len(names) + 1), 0.0)
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = Reader(decoder, model.looker())
         for batch in batches:
-            yield pd.DataFrame({"y": batch["y"], "found": [sorted(read(t)) for t in batch["text"]]})
+            yield pd.DataFrame({"y": batch["y"], "found": [model.row(read(t)) for t in batch["text"]]})
 
     rows = sorted(sample.mapInPandas(gather, "y int, found array<int>").collect())  # at most 2 SAMPLE rows
-    x, y = np.zeros((len(rows), len(names)), np.float32), np.array([r[0] for r in rows], np.float64)
+    x, y = np.zeros((len(rows), len(names) + 1), np.float32), np.array([r[0] for r in rows], np.float64)
     for k, r in enumerate(rows):
         x[k, r[1]] = 1
     model.weights, bias = logistic(x, y)
@@ -238,10 +247,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic")
     return model
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a ridge logistic regression, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 25) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression, by Newton steps. The last column is hardly held back."""
     x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1).astype(np.float64)
-    w, penalty = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+    w, penalty = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 2, ridge), [ridge / 100, 1e-6])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x.T * np.maximum(p * (1 - p), 1e-6)) @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)

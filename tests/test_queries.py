@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
+from tierline.registry.oracle import oracle
+from tierline.registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,11 @@ def con():
     return connect(SF)
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"warehouse_two_loads"}

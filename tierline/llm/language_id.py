@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import staged
 
-SAMPLE, DIMS, LANGUAGES, BLOCK = 1_000, 1 << 13, 64, 1 << 18
+SAMPLE, DIMS, LANGUAGES, BLOCK = 1_000, 1 << 12, 64, 1 << 18
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -71,21 +71,23 @@ def shares(text: str) -> np.ndarray:
 
 
 def support_vector_machine(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear machine with squared hinge loss for y of 1 and -1, by dual coordinate descent."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    w, alpha, norm, rng = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(axis=1) + 0.5 / c, np.random.default_rng(5)
+    """Weights and bias of a linear machine with squared hinge loss for y of 1 and -1, by dual coordinate descent; rows with y of 0 take no part."""
+    norm = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / c
+    w, bias, alpha, rng, among = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(len(x)), np.random.default_rng(5), np.flatnonzero(y)
     for _ in range(rounds):
         worst = 0.0
-        for i in rng.permutation(len(x)):
-            gradient = y[i] * (x[i] @ w) - 1 + alpha[i] * 0.5 / c
+        for i in rng.permutation(among):
+            gradient = y[i] * (float(x[i] @ w) + bias) - 1 + alpha[i] * 0.5 / c
             new = max(0.0, alpha[i] - gradient / norm[i])
             if new != alpha[i]:
-                worst = max(worst, abs(new - alpha[i]))
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                worst = max(worst, abs(step))
+                w += np.float32(step) * x[i]
+                bias += step
                 alpha[i] = new
         if worst < 1e-3:
             break
-    return w[:-1], float(w[-1])
+    return w, bias
 
 
 def families_of(means: dict[str, np.ndarray]) -> list[list[str]]:
@@ -159,15 +161,15 @@ def fit(docs: DataFrame, learn: Column) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("_order"), batch.column("lang"), pa.array(x, pa.binary())], ["o", "lang", "x"])
 
     rows = texts.mapInArrow(features, "o long, lang string, x binary").dropDuplicates(["o", "lang"]).orderBy("lang", "o").collect()
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(np.float64)
+    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
     of = np.array([names.index(r["lang"]) for r in rows])
+    del rows
     groups = families_of({n: x[of == k].mean(axis=0) for k, n in enumerate(names)})
     family = np.array([next(i for i, g in enumerate(groups) if n in g) for n in names])
     machines, weights, bias = [], [], []
 
     def machine(a: np.ndarray, b: np.ndarray) -> int:
-        both = a | b
-        w, c = support_vector_machine(x[both], np.where(a[both], 1.0, -1.0))
+        w, c = support_vector_machine(x, a.astype(float) - b)
         weights.append(w)
         bias.append(c)
         return len(weights) - 1

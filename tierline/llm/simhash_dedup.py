@@ -221,7 +221,11 @@ def keep_one(docs: DataFrame, reach: int = 2, width: int = 3) -> DataFrame:
 
     Rows with a null id cannot be told apart and stay.
     """
-    groups = staged(near_groups(fingerprints(docs, width), reach), "groups")
+    return one_of_each(docs, staged(near_groups(fingerprints(docs, width), reach), "groups"))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows that stay of (id, component) for every row; `groups` must be staged."""
     extra = groups.filter("id > component").select("id").distinct()
     kept = docs.join(extra, docs["doc_id"] == extra["id"], "left_anti")
     repeated = staged(groups.filter("id = component").groupBy("id").count().filter("count > 1").select("id"), "repeated")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, line_dedup, near_copies, packing, toxicity
+from tierline.llm import decontamination, line_dedup, packing, simhash_dedup, toxicity
 from tierline.llm.common import staged
 from tierline.llm.tables import table
 
@@ -24,8 +24,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id: five-word shingles alike by 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group stays, the one with the smallest id: fingerprints of three-word shingles linked at two or fewer differing bits."""
+    return simhash_dedup.keep_one(docs, reach=2, width=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,8 +77,16 @@ def test_clean_drops_leaks_only(documents, spark):
     table = documents(docs + clean)
     kept = D.clean(table, frame)
     assert kept.columns == table.columns
-    leaked = {k for k, t in docs if plain(t, items)}
-    assert sorted(repr(r["doc_id"]) for r in kept.collect()) == sorted(repr(k) for k in [r[0] for r in docs + clean] if k not in leaked)
+    want = [r[0] for r in clean] + [k for k, t in docs if not plain(t, items)]
+    assert sorted(repr(r["doc_id"]) for r in kept.collect()) == sorted(map(repr, want))
+
+
+def test_rows_go_by_their_text_and_not_by_their_id(documents, spark):
+    items, docs = cases()
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    key, leak = next((k, t) for k, t in docs if plain(t, items))
+    kept = D.clean(documents([(key, leak), (key, "a clean text of the same id"), (None, leak), (None, "another")]), frame)
+    assert sorted(r["text"] for r in kept.collect()) == ["a clean text of the same id", "another"]
 
 
 def test_empty_tables(documents, spark):

@@ -25,13 +25,10 @@ def force(stage, rows, items):
     if stage == "line_dedup":
         return Counter((key, text) for key, text, *_ in lines(rows, line_dedup.SITES))
     if stage == "simhash_dedup":
-        labels = groups_by_force([fingerprint(t) for _, t, *_ in rows], 2)
-        least = {}
-        for label, (key, *_) in zip(labels, rows):
-            if key is not None:
-                least[label] = min(key, least.get(label, key))
-        kept = Counter((k, t) for label, (k, t, *_) in zip(labels, rows) if k is None or least[label] == k)
-        return kept
+        labels, first = groups_by_force([fingerprint(t) for _, t, *_ in rows], 2), {}
+        for k, (label, (key, *_)) in enumerate(zip(labels, rows)):
+            first[label] = min(first.get(label, (True, 0, k)), (key is None, key or 0, k))
+        return Counter(rows[k][:2] for *_, k in first.values())
     return Counter((k, t) for k, t, *_ in rows if not leaks(t, items))
 
 

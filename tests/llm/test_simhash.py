@@ -107,5 +107,14 @@ def test_one_of_each_group_stays(documents):
     docs = documents(odd_rows())
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 1), (False, 4), (False, 5), (False, 6), (False, 7), (True, 0), (True, 0)]
+    # Rows without words are one group (ids 1, 2, 3 and one without id), the two of seven words another (6 and one without id).
+    got = sorted((r["doc_id"], (r["text"] or "")[:5]) for r in kept.collect())
+    assert got == [(1, ""), (4, "one"), (5, got[2][1]), (6, "one t"), (7, "the o"), (7, "Ünï c")]
     assert S.keep_one(documents([])).count() == 0
+
+
+def test_rows_go_by_their_text_and_not_by_their_id(documents):
+    rng, words = random.Random(8), [f"w{k}" for k in range(300)]
+    t, other = prose(rng, 80, words), prose(rng, 80, words)
+    kept = S.keep_one(documents([(3, t), (7, t), (7, other), (None, t), (None, t + " x"), (9, other), (9, other)]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect() if r["text"] in (t, other)) == [(3, t), (7, other)]

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import components, staged
@@ -52,11 +52,17 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, fingerprint) of every row; the fingerprint as a signed long of the same bits."""
 
+    return docs.select(F.col(id_column).alias("id"), fingerprint_of(text_column, width).alias("fingerprint"))
+
+
+def fingerprint_of(text_column: str, width: int = 3) -> Column:
+    """The fingerprint as a signed long of the same bits."""
+
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_column).alias("id"), of(text_column).alias("fingerprint"))
+    return of(text_column)
 
 
 class VantageTree:
@@ -200,14 +206,18 @@ def links(distinct: DataFrame, reach: int, shard: int = SHARD) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(compare, "a long, b long")
 
 
+def _rooted(prints: DataFrame, reach: int) -> DataFrame:
+    """(fingerprint, root, least) for each distinct fingerprint of (id, fingerprint): root is the same all over a group, least the smallest id."""
+    distinct = staged(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "distinct")
+    roots = components(links(distinct, reach))
+    joined = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left")
+    return joined.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least")
+
+
 def near_groups(prints: DataFrame, reach: int = 2) -> DataFrame:
     """(id, fingerprint, component) for each row of (id, fingerprint): component is the smallest id reachable over links of up to `reach` bits."""
     prints = staged(prints, "fingerprints")
-    distinct = staged(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "distinct")
-    roots = components(links(distinct, reach))
-    known = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    known = _rooted(prints, reach)
     named = known.join(known.groupBy("root").agg(F.min("least").alias("component")), "root").select("fingerprint", "component")
     return prints.join(named, "fingerprint").select("id", "fingerprint", "component")
 
@@ -217,17 +227,16 @@ def hexadecimal(column: str):
 
 
 def keep_one(docs: DataFrame, reach: int = 2, width: int = 3) -> DataFrame:
-    """The rows without those whose group has a smaller id, in their own columns. Repeated rows of one id count as copies: one of them stays.
+    """One row of each group, in its own columns: the one with the smallest id, of rows with that id the first as stored.
 
-    Rows with a null id cannot be told apart and stay.
+    Rows are told apart by their place in the table, not by their id: rows of one id with different texts belong to different groups, and each
+    group keeps one row. A row with a null id stays only if its group has no other id. Texts are written once, with their fingerprints.
     """
-    return one_of_each(docs, staged(near_groups(fingerprints(docs, width), reach), "groups"))
-
-
-def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows that stay of (id, component) for every row; `groups` must be staged."""
-    extra = groups.filter("id > component").select("id").distinct()
-    kept = docs.join(extra, docs["doc_id"] == extra["id"], "left_anti")
-    repeated = staged(groups.filter("id = component").groupBy("id").count().filter("count > 1").select("id"), "repeated")
-    once = kept.join(repeated, kept["doc_id"] == repeated["id"], "left_anti")
-    return once.unionByName(kept.join(repeated, kept["doc_id"] == repeated["id"], "left_semi").dropDuplicates(["doc_id"]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.monotonically_increasing_id().alias("uid"), fingerprint_of("text", width).alias("fingerprint"))
+    rows = staged(rows, "rows")
+    prints = rows.select("uid", F.col("row.doc_id").alias("id"), "fingerprint")
+    roots = _rooted(prints, reach).select("fingerprint", "root")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "uid"))["uid"].alias("kept")
+    kept = prints.join(roots, "fingerprint").groupBy("root").agg(first).select("kept")
+    return rows.join(kept, rows["uid"] == kept["kept"], "left_semi").select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, kd_sharding, language_id, licences, line_dedup, packing, quality, simhash_dedup, spot_signatures, sql, toxicity
+from tierline.llm import decontamination, html_extraction, kd_sharding, language_id, licences, line_dedup, packing, periodic_runs, quality, simhash_dedup, source_divergence, spot_signatures, sql, toxicity
 from tierline.llm.common import held_out
 from tierline.llm.tables import table
 
@@ -91,6 +91,22 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.main_text(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source lies from every other one of its language, and the ten terms that tell it from the language."""
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, a tenth of them with a periodic end."""
+    found = periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_kd_sharding": op2_kd_sharding,
@@ -102,5 +118,8 @@ QUERIES = {
     "op8_spot_signatures": op8_spot_signatures,
     "op9_quality": op9_quality,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op6_licence_scan": sql.licence_scan()}
+SQL: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op6_licence_scan": sql.licence_scan(), "op12_source_divergence": sql.SOURCE_DIVERGENCE}

@@ -66,3 +66,43 @@ SELECT doc_id, path, coalesce(own.licence, nearest.licence) AS licence,
        similarity, CASE WHEN own.licence IS NULL THEN above END AS licence_dir
 FROM files LEFT JOIN own USING (path) LEFT JOIN nearest ON dir = regexp_replace(path, '/[^/]*$', '')
 """
+
+#: Distance of sources from the plain counts of all terms.
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+t AS (SELECT uid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT uid) AS docs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+z AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+e AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n::HUGEINT AS lang_n
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+p AS (
+  SELECT e.lang, e.source, e.term, e.n,
+    1 + (1000000000::HUGEINT * (e.n + 2)) // (sum(e.n) OVER (PARTITION BY e.lang, e.source) + 2 * z.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (e.lang_n + 2)) // (z.total + 2 * z.v)::HUGEINT AS q
+  FROM e JOIN z USING (lang)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p AS x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+),
+terms AS (
+  SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms
+) WHERE rank <= 10
+"""

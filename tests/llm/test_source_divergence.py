@@ -42,11 +42,13 @@ def corpus(seed):
     return [(k, prose(rng, rng.randrange(60), words), rng.choice(["en", "en", "fr", None, "solo"]), rng.choice(["s1", "s2", "S3", "ß", None, ""])) for k in range(150)]
 
 
-@pytest.mark.parametrize("block, sources, terms", [(1_500_000, 128, 2048), (40, 2, 3)])
+@pytest.mark.parametrize("block, sources, terms", [(6_000_000, 128, 2048), (90, 2, 3)])
 def test_equals_a_plain_count(documents, monkeypatch, block, sources, terms):
     monkeypatch.setattr(S, "SOURCES", sources)
     monkeypatch.setattr(S, "TERMS", terms)
     monkeypatch.setattr(S, "BLOCK", block)
+    monkeypatch.setattr(S, "TOGETHER", 3)
+    monkeypatch.setattr(S, "SLICE", 20 if block < 100 else 500_000)
     rows = [(k, t, lang, "only" if lang == "solo" else s) for k, t, lang, s in corpus(1)] + odd_rows() + [(900, None, "none", "a"), (901, "rare", "none", "b"), (902, "", "en", "empty")]
     got = [tuple(r) for r in S.divergence(documents(rows).repartition(3), least=10, top=10).select("lang", "source", "part", "item", "value", "rank").collect()]
     assert len(got) == len(set(got)) and set(got) == plain(rows, 10, 10)

@@ -16,6 +16,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like `staged`, in one bucket file for each shuffle partition, sorted by the key: reads that group or join by it need no shuffle."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, f"llm-{name}")
+    buckets, table = int(spark.conf.get("spark.sql.shuffle.partitions")), path.rsplit("/", 1)[-1].replace("-", "_")
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def held_out(id_column: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder. A null id is never held out."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % parts == part, F.lit(False))

@@ -1,12 +1,16 @@
 """The stored warehouse: a life of small changes, failures, and reopening."""
 
+from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
 from tests.conftest import at, names
-from tierline.plans.warehouse import DDS_KEYS, Warehouse
+from tierline.operators import merge
+from tierline.plans import marts
+from tierline.plans.warehouse import DDS_KEYS, MARTS, Warehouse
 from tierline.sources.store import TableStore
 
 JAN, DEC = at("2024-01-01"), at("2024-12-01")
@@ -257,7 +261,118 @@ def test_rows_that_come_before_their_parent_are_tried_again(spark, rows, tmp_pat
     second = w.load_all()
     assert second["seats"].steps["raw"]["rows"] == 0 and second["seats"].steps["dim_seats"]["waiting"] == 0
     assert {r.airplane_code for r in w.store.read("dds.dim_seats").collect()} == {"P1", "P2"}
-    assert second["segments"].steps["fact_segments"] == {"rows": 3, "deleted": 0, "waiting": 0}
+    assert second["segments"].steps["fact_segments"]["waiting"] == 0 and w.store.read("dds.fact_segments").count() == 3
     assert w.store.read("dm.flight_sales_mart").where("ticket_no = 'T2'").count() == 1
     third = w.load_all()
     assert list(third["seats"].steps) == list(third["segments"].steps) == ["raw"]
+
+
+def files_of(folder):
+    return sorted(str(p.relative_to(folder)) for p in Path(folder).rglob("*.parquet"))
+
+
+@pytest.fixture(scope="module")
+def small_change(spark, tmp_path_factory):
+    """A warehouse of 300 bookings in 16 buckets before and after one booking and one price have changed."""
+    from tests.conftest import Rows
+
+    source, root = Source(Rows(spark)), tmp_path_factory.mktemp("buckets")
+    d = source.data
+    for n in range(300):
+        d["bookings"][f"N{n}"] = (JAN, Decimal(n))
+        d["tickets"][f"N{n}"] = (f"N{n}", f"P{n % 40}", "Name", True)
+        d["segments"][(f"N{n}", 1 + n % 2)] = ("Economy", Decimal(n))
+    w = Warehouse(spark, TableStore(spark, str(root), buckets=16, new=True), source)
+    w.load_all()
+    before = files_of(root)
+    d["bookings"]["N7"] = (JAN, Decimal("7777.00"))
+    d["segments"][("N8", 1)] = ("Business", Decimal("8888.00"))
+    del d["segments"][("N9", 2)]
+    reports = w.load_all()
+    return w, source, root, set(files_of(root)) - set(before), reports
+
+
+def test_a_small_batch_writes_only_the_buckets_it_touches(small_change):
+    _, _, _, new, _ = small_change
+    written = defaultdict(set)
+    for f in new:
+        table, _, rest = f.partition("/v=")
+        if "/_bucket=" in rest:
+            written[table].add(rest.split("/_bucket=")[1].split("/")[0])
+    assert {t: len(b) for t, b in written.items()} == {
+        "snapshot/bookings": 1, "ods/bookings": 1, "dds/fact_bookings": 1, "snapshot/segments": len(written["snapshot/segments"]),
+        "ods/segments": len(written["ods/segments"]), "dds/fact_segments": len(written["dds/fact_segments"]),
+        "dm/flight_sales_mart": len(written["dm/flight_sales_mart"]), "dm/flight_revenue_mart": len(written["dm/flight_revenue_mart"]),
+        "dm/airport_traffic_daily": len(written["dm/airport_traffic_daily"]),
+    }
+    assert all(len(written[t]) <= 2 for t in ("snapshot/segments", "ods/segments", "dds/fact_segments", "dm/flight_sales_mart", "dm/flight_revenue_mart"))
+
+
+def test_an_unchanged_source_writes_no_snapshot(small_change):
+    _, _, _, new, reports = small_change
+    assert {f.split("/v=")[0] for f in new if f.startswith("snapshot/")} == {"snapshot/bookings", "snapshot/segments", "snapshot/routes"}
+    assert reports["tickets"].steps == {"raw": {"rows": 0, "I": 0, "U": 0, "D": 0}}
+
+
+def test_a_merge_reads_no_other_bucket_and_does_not_shuffle_the_stored_side(spark, small_change):
+    w, *_ = small_change
+    batch = w.store.read("dds.fact_bookings").where("book_ref = 'N7'")
+    touched = w.store.touched("dds.fact_bookings", batch, ["book_ref"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = w.store.read_bucketed("dds.fact_bookings", buckets=touched)
+        merged = merge.upsert(target, batch, ["book_ref"], checked=True)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(touched) == 1 and len(target.inputFiles()) == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_marts_kept_up_equal_marts_built_from_scratch(small_change):
+    w, *_ = small_change
+    kept = {t: sorted(map(str, w.store.read(t).drop("mart_load_date", "source_max_batch_id").collect())) for t in MARTS}
+    assert any("8888.00" in r for r in kept["dm.flight_sales_mart"]) and any("7777.00" in r for r in kept["dm.flight_sales_mart"])
+    deleted = [r for r in kept["dm.flight_sales_mart"] if "ticket_no='N9'" in r]
+    w.forget_marts()
+    w.load_marts()
+    anew = {t: sorted(map(str, w.store.read(t).drop("mart_load_date", "source_max_batch_id").collect())) for t in MARTS}
+    assert len(deleted) == 1 and sorted(anew["dm.flight_sales_mart"] + deleted) == kept["dm.flight_sales_mart"]
+    assert anew["dm.flight_revenue_mart"] != kept["dm.flight_revenue_mart"]
+
+
+def test_a_store_opened_again_finds_every_bucket(spark, small_change):
+    w, source, root, *_ = small_change
+    again = TableStore(spark, str(root), buckets=16)
+    for t in ("ods.bookings", "dds.fact_segments", "snapshot.segments", *MARTS):
+        assert again._live[t] == w.store._live[t]
+        assert sorted(map(str, again.read(t).collect())) == sorted(map(str, w.store.read(t).collect()))
+        assert sorted(map(str, again.read_bucketed(t).collect())) == sorted(map(str, w.store.read(t).collect()))
+    other = Warehouse(spark, TableStore(spark, str(root), buckets=5), source)  # another number of buckets: merged whole
+    source.data["bookings"]["N9"] = (JAN, Decimal("9999.00"))
+    other.load_entity("bookings")
+    got = {r.book_ref: r.total_amount for r in other.store.read("dds.fact_bookings").collect()}
+    assert got["N9"] == Decimal("9999.00") and len(got) == 302 and other.store._published["dds.fact_bookings"].buckets == 5
+
+
+def test_aggregate_marts_follow_every_change(small_change):
+    """After any loads, the aggregate marts are what the aggregates of the stored sales say."""
+    w, source, *_ = small_change
+    source.data["flights"][2] = ("R1", "Arrived", DEPARTS + HOUR, DEPARTS + 2 * HOUR, DEPARTS + 48 * HOUR, DEPARTS + 49 * HOUR)
+    source.data["segments"][("N10", 1)] = ("Comfort", Decimal("1.00"))
+    w.load_all()
+    sales = w.store.read("dm.flight_sales_mart")
+    for table, whole in (("dm.flight_revenue_mart", marts.flight_revenue(sales)), ("dm.airport_traffic_daily", marts.airport_traffic(sales))):
+        assert sorted(map(str, w.store.read(table).collect())) == sorted(map(str, whole.collect())), table
+
+
+def test_an_increment_looks_at_segments_of_changed_keys_only(spark, small_change):
+    w, *_ = small_change
+    dds = [w.store.read(f"dds.{t}") for t in ("fact_segments", "fact_tickets", "fact_bookings", "fact_flights", "dim_routes", "dim_airports", "dim_airplanes")]
+    newest = w.store.version("newest.sales")
+    found = marts.changed_segments(*dds, newest)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 0 and "ExistenceJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    late = dds[2].selectExpr(*[f"if(book_ref = 'N11', {newest + 1}L, batch_id) as batch_id" if c == "batch_id" else c for c in dds[2].columns])
+    assert marts.changed_segments(dds[0], dds[1], late, *dds[3:], newest).count() == 1

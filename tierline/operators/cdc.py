@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tierline.catalog import fixed_values as fv
 from tierline.catalog.entities import Entity
@@ -62,6 +63,13 @@ def delta(current: DataFrame, previous: DataFrame, entity: Entity, batch_id: int
     return journal_rows(changes(current, previous, entity), entity, batch_id, loaded_at, "operation_type")
 
 
+def digests(rows: DataFrame, bucket: str) -> DataFrame:
+    """(bucket, rows, digest) of each bucket: a sum of row hashes, so it does not depend on the order of rows, and counts every copy."""
+    whole = ", ".join(f"`{c}`" for c in rows.columns)
+    hashed_rows = rows.selectExpr(f"cast({bucket} as int) as bucket", f"cast(xxhash64({whole}) as decimal(38,0)) as h")
+    return hashed_rows.groupBy("bucket").agg(F.expr("count(*) as rows"), F.expr("cast(sum(h) as string) as digest"))
+
+
 def inserts(current: DataFrame, previous: DataFrame, entity: Entity) -> DataFrame:
     """Rows whose key is new; on its own this is an anti join on the keys."""
     return current.join(previous.select(*entity.keys), list(entity.keys), "left_anti")

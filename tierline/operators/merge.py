@@ -123,6 +123,14 @@ def apply_stage(ods: DataFrame | None, staged: DataFrame, entity: Entity, change
     )
 
 
+def replace_groups(target: DataFrame | None, groups: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """The target with the rows of `groups` taken out and `fresh` put in. Groups without fresh rows are gone."""
+    if target is None:
+        return fresh
+    same = [target[k].eqNullSafe(groups[k]) for k in keys]
+    return target.join(groups, same, "left_anti").unionByName(fresh)
+
+
 def active_counts(df: DataFrame) -> DataFrame:
     """Total, active and deleted rows of a table with soft deletes."""
     return df.agg(

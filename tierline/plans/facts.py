@@ -37,10 +37,8 @@ def route_at_departure(flights: DataFrame, routes: DataFrame) -> DataFrame:
     return flights.join(r, match).drop("r_route_no", "validity")
 
 
-def fact_flights(
-    fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: str, waiting: DataFrame | None = None
-) -> DataFrame:
-    rows = route_at_departure(above_watermark(ods, fact, waiting), routes).selectExpr(
+def flights_batch(rows: DataFrame, routes: DataFrame, changed_at: str) -> DataFrame:
+    return route_at_departure(rows, routes).selectExpr(
         f"{surrogate_key('flight_id', 'source_system')} as flight_sk",
         "route_sk",
         "flight_id",
@@ -51,7 +49,12 @@ def fact_flights(
         "actual_arrival",
         *_technical(changed_at),
     )
-    return upsert(fact, rows, ["flight_id"], keep=["flight_sk"])
+
+
+def fact_flights(
+    fact: DataFrame | None, ods: DataFrame, routes: DataFrame, changed_at: str, waiting: DataFrame | None = None
+) -> DataFrame:
+    return upsert(fact, flights_batch(above_watermark(ods, fact, waiting), routes, changed_at), **MERGE["fact_flights"])
 
 
 def without_parent(rows: DataFrame, keys: list[str], parents: list[tuple[str, DataFrame, str]]) -> DataFrame:
@@ -69,28 +72,23 @@ def without_parent(rows: DataFrame, keys: list[str], parents: list[tuple[str, Da
     return missing.distinct()
 
 
-def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: str) -> DataFrame:
-    rows = above_watermark(ods, fact).selectExpr(
+def bookings_batch(rows: DataFrame, changed_at: str) -> DataFrame:
+    return rows.selectExpr(
         f"{surrogate_key('book_ref', 'source_system')} as bookings_sk",
         "book_ref",
         "book_date",
         "total_amount",
         *_technical(changed_at),
     )
-    return upsert(fact, rows, ["book_ref"], keep=["bookings_sk"], checked=True)
 
 
-def fact_tickets(
-    fact: DataFrame | None,
-    ods: DataFrame,
-    bookings: DataFrame,
-    passengers: DataFrame,
-    changed_at: str,
-    waiting: DataFrame | None = None,
-) -> DataFrame:
-    rows = (
-        above_watermark(ods, fact, waiting)
-        .where("ticket_no is not null")
+def fact_bookings(fact: DataFrame | None, ods: DataFrame, changed_at: str) -> DataFrame:
+    return upsert(fact, bookings_batch(above_watermark(ods, fact), changed_at), **MERGE["fact_bookings"])
+
+
+def tickets_batch(rows: DataFrame, bookings: DataFrame, passengers: DataFrame, changed_at: str) -> DataFrame:
+    return (
+        rows.where("ticket_no is not null")
         .join(bookings.select("book_ref", "bookings_sk"), "book_ref")
         .join(passengers.select("passenger_id", "passenger_sk"), "passenger_id")
         .selectExpr(
@@ -102,22 +100,25 @@ def fact_tickets(
             *_technical(changed_at),
         )
     )
-    return upsert(fact, rows, ["ticket_no"], keep=["ticket_sk"], guard=LATER_BATCH, checked=True)
 
 
-def _by_ticket_and_flight(
+def fact_tickets(
     fact: DataFrame | None,
     ods: DataFrame,
-    tickets: DataFrame,
-    flights: DataFrame,
-    sk: str,
-    measures: list[str],
+    bookings: DataFrame,
+    passengers: DataFrame,
     changed_at: str,
-    waiting: DataFrame | None,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
-    rows = (
-        above_watermark(ods, fact, waiting)
-        .where("ticket_no is not null and flight_id is not null")
+    batch = tickets_batch(above_watermark(ods, fact, waiting), bookings, passengers, changed_at)
+    return upsert(fact, batch, **MERGE["fact_tickets"])
+
+
+def by_ticket_and_flight(
+    rows: DataFrame, tickets: DataFrame, flights: DataFrame, sk: str, measures: list[str], changed_at: str
+) -> DataFrame:
+    return (
+        rows.where("ticket_no is not null and flight_id is not null")
         .join(tickets.select("ticket_no", "ticket_sk"), "ticket_no")
         .join(flights.select("flight_id", "flight_sk"), "flight_id")
         .selectExpr(
@@ -128,7 +129,15 @@ def _by_ticket_and_flight(
             *_technical(changed_at),
         )
     )
-    return upsert(fact, rows, ["ticket_sk", "flight_sk"], keep=[sk], guard=LATER_BATCH, checked=True)
+
+
+def segments_batch(rows: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str) -> DataFrame:
+    return by_ticket_and_flight(rows, tickets, flights, "segment_sk", ["fare_conditions", "price"], changed_at)
+
+
+def boarding_passes_batch(rows: DataFrame, tickets: DataFrame, flights: DataFrame, changed_at: str) -> DataFrame:
+    measures = ["seat_no", "boarding_no", "boarding_time"]
+    return by_ticket_and_flight(rows, tickets, flights, "boarding_pass_sk", measures, changed_at)
 
 
 def fact_segments(
@@ -139,8 +148,8 @@ def fact_segments(
     changed_at: str,
     waiting: DataFrame | None = None,
 ) -> DataFrame:
-    measures = ["fare_conditions", "price"]
-    return _by_ticket_and_flight(fact, ods, tickets, flights, "segment_sk", measures, changed_at, waiting)
+    batch = segments_batch(above_watermark(ods, fact, waiting), tickets, flights, changed_at)
+    return upsert(fact, batch, **MERGE["fact_segments"])
 
 
 def fact_boarding_passes(
@@ -151,5 +160,15 @@ def fact_boarding_passes(
     changed_at: str,
     waiting: DataFrame | None = None,
 ) -> DataFrame:
-    measures = ["seat_no", "boarding_no", "boarding_time"]
-    return _by_ticket_and_flight(fact, ods, tickets, flights, "boarding_pass_sk", measures, changed_at, waiting)
+    batch = boarding_passes_batch(above_watermark(ods, fact, waiting), tickets, flights, changed_at)
+    return upsert(fact, batch, **MERGE["fact_boarding_passes"])
+
+
+#: How a batch of each fact is merged.
+MERGE = {
+    "fact_flights": {"keys": ["flight_id"], "keep": ["flight_sk"]},
+    "fact_bookings": {"keys": ["book_ref"], "keep": ["bookings_sk"], "checked": True},
+    "fact_tickets": {"keys": ["ticket_no"], "keep": ["ticket_sk"], "guard": LATER_BATCH, "checked": True},
+    "fact_segments": {"keys": ["ticket_sk", "flight_sk"], "keep": ["segment_sk"], "guard": LATER_BATCH, "checked": True},
+    "fact_boarding_passes": {"keys": ["ticket_sk", "flight_sk"], "keep": ["boarding_pass_sk"], "guard": LATER_BATCH, "checked": True},
+}

@@ -83,6 +83,54 @@ def sales_rows(
     )
 
 
+def changed_segments(
+    segments: DataFrame,
+    tickets: DataFrame,
+    bookings: DataFrame,
+    flights: DataFrame,
+    routes: DataFrame,
+    airports: DataFrame,
+    airplanes: DataFrame,
+    newest: int,
+) -> DataFrame:
+    """Segments that a batch later than `newest` has touched, themselves or through a parent.
+
+    Changes travel down by key: airports and airplanes to routes, routes to flights, bookings to tickets. Each table is read
+    once for the few columns this needs, and tested against the changed keys of its parents, which are small after a small batch.
+    """
+    later = f"batch_id > {newest}"
+    names = {"ports": airports.where(later).select("airport_sk"), "models": airplanes.where(later).select("airplane_sk")}
+    spark = segments.sparkSession
+    changed_routes = spark.sql(
+        f"select route_sk from {{routes}} where {later} or airplane_sk in (select airplane_sk from {{models}})"
+        " or departure_airport_sk in (select airport_sk from {ports}) or arrival_airport_sk in (select airport_sk from {ports})",
+        routes=routes,
+        **names,
+    )
+    changed_flights = spark.sql(
+        f"select flight_sk from {{flights}} where {later} or route_sk in (select route_sk from {{routes}})",
+        flights=flights,
+        routes=changed_routes,
+    )
+    changed_tickets = spark.sql(
+        f"select ticket_sk from {{tickets}} where {later} or bookings_sk in (select bookings_sk from {{bookings}})",
+        tickets=tickets,
+        bookings=bookings.where(later).select("bookings_sk"),
+    )
+    return spark.sql(
+        f"select * from {{segments}} where {later} or ticket_sk in (select ticket_sk from {{tickets}})"
+        " or flight_sk in (select flight_sk from {flights})",
+        segments=segments,
+        tickets=changed_tickets,
+        flights=changed_flights,
+    )
+
+
+def only_parents_of(segments: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """The rows of a parent that some of the segments belong to."""
+    return parent.join(segments.select(key), key, "left_semi")
+
+
 def flight_sales(mart: DataFrame | None, rows: DataFrame) -> DataFrame:
     """Rows newer than the newest one in the mart are merged in; rows of deleted facts stay until rebuilt."""
     if mart is None:
@@ -90,7 +138,11 @@ def flight_sales(mart: DataFrame | None, rows: DataFrame) -> DataFrame:
     else:
         newest = mart.agg(F.expr("coalesce(max(source_max_batch_id), 0)"))
         fresh = rows.where(F.col("source_max_batch_id") > newest.scalar())
-    return upsert(mart, fresh, ["ticket_no", "flight_id"], checked=True)
+    return upsert(mart, fresh, SALES_KEYS, checked=True)
+
+
+SALES_KEYS = ["ticket_no", "flight_id"]
+TRAFFIC_KEYS = ["traffic_date", "airport_name"]
 
 
 def _agg(grouped, *expressions: str) -> DataFrame:
@@ -146,33 +198,43 @@ def flight_revenue(sales: DataFrame) -> DataFrame:
     )
 
 
-def airport_traffic(sales: DataFrame) -> DataFrame:
-    """Flights, passengers and revenue per day and airport, departures and arrivals side by side.
-
-    Each sale yields a departure and an arrival event. Passengers: first one row per (day, airport, side, passenger)
-    with the revenue summed up, then counts; flights: their few distinct ids, then counts. Hot airports are spread
-    over passengers and flights before the last shuffle, and no row is expanded for a distinct count.
-    """
-
+def _events(sales: DataFrame) -> DataFrame:
     def event(kind: str, side: str) -> str:
         return (
             f"named_struct('kind', '{kind}', 'airport_name', {side}_airport_name,"
             f" 'traffic_date', to_date(coalesce(actual_{side}, scheduled_{side})))"
         )
 
+    both_ends = f"explode(array({event('d', 'departure')}, {event('a', 'arrival')})) as e"
+    return (
+        sales.selectExpr("flight_id", "passenger_id", "price", both_ends)
+        .selectExpr("flight_id", "passenger_id", "price", "e.*")
+        .where("airport_name is not null and traffic_date is not null")
+    )
+
+
+def days_of(sales: DataFrame) -> DataFrame:
+    """The days and airports that some sales count for."""
+    return _events(sales).select(*TRAFFIC_KEYS).distinct()
+
+
+def airport_traffic(sales: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """Flights, passengers and revenue per day and airport, departures and arrivals side by side; of all, or of `days` only.
+
+    Each sale yields a departure and an arrival event. Passengers: first one row per (day, airport, side, passenger)
+    with the revenue summed up, then counts; flights: their few distinct ids, then counts. Hot airports are spread
+    over passengers and flights before the last shuffle, and no row is expanded for a distinct count.
+    """
+
     def both(column: str, name: str, aggregate: str) -> list[str]:
         return [
             f"coalesce({aggregate}({column}) filter (where kind = '{kind}'), 0) as {name.format(side)}"
             for kind, side in (("d", "departure"), ("a", "arrival"))
         ]
 
-    day = ["traffic_date", "airport_name"]
-    both_ends = f"explode(array({event('d', 'departure')}, {event('a', 'arrival')})) as e"
-    events = (
-        sales.selectExpr("flight_id", "passenger_id", "price", both_ends)
-        .selectExpr("flight_id", "passenger_id", "price", "e.*")
-        .where("airport_name is not null and traffic_date is not null")
-    )
+    day, events = TRAFFIC_KEYS, _events(sales)
+    if days is not None:
+        events = events.join(days, day, "left_semi")
     per_passenger = _agg(events.groupBy(*day, "kind", "passenger_id"), "sum(price) as revenue")
     passengers = _agg(
         per_passenger.groupBy(*day),

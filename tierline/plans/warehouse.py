@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +58,9 @@ LOOKUPS = {
 }
 
 
+MARTS = {"dm.flight_sales_mart": marts.SALES_KEYS, "dm.flight_revenue_mart": ["flight_id"], "dm.airport_traffic_daily": marts.TRAFFIC_KEYS}
+
+
 def _bucket_keys(entity: Entity) -> list[str]:
     return [] if entity.name == "routes" else list(entity.keys)
 
@@ -114,44 +117,69 @@ class Warehouse:
 
     # --- RAW --------------------------------------------------------------------------------------------------------
 
-    def _write_snapshot(self, entity: Entity) -> Written:
-        """The source, read once. Its keys are primary keys: a second row for one fails the batch here, before the
-        comparison could multiply it."""
-        keys = _bucket_keys(entity)
-        rows = cdc.snapshot(self.source(entity.name), entity, self._now())
+    def _write_snapshot(self, entity: Entity, rows: DataFrame, touched: list[int] | None = None) -> list[Written]:
+        """Hashed source rows, all or those of the touched buckets, and the digests of their buckets. Source keys are primary keys:
+        a second row for one fails the batch here, before the comparison could multiply it."""
+        keys, table = _bucket_keys(entity), f"snapshot.{entity.name}"
+        rows = rows.selectExpr("*", f"{self._now()} as last_seen_at")
         rows = self.store.shuffled(rows, keys) if keys else rows
         rows = merge.fail_on_second(rows, list(entity.keys), f"source {entity.name}")
-        return self.store.write(f"snapshot.{entity.name}", rows, keys)
+        snap = self.store.write(table, rows, keys, touched=touched)
+        if not keys:
+            return [snap]
+        # Of what was written, not of what was compared: the source may have moved in between.
+        now = self.store.read(table, snap, buckets=None if touched is None else touched)
+        fresh = cdc.digests(now.drop("last_seen_at"), self.store.bucket_of(keys))
+        if touched is not None:
+            known = self.store.read(f"digest.{entity.name}")
+            fresh = known.where(~F.col("bucket").isin(touched)).unionByName(fresh)
+        return [snap, self.store.write(f"digest.{entity.name}", fresh.coalesce(1))]
+
+    def _touched_by_source(self, entity: Entity, source: DataFrame) -> list[int] | None:
+        """Buckets in which the source differs from the last snapshot; None where there is none to compare bucket by bucket."""
+        keys, table = _bucket_keys(entity), f"snapshot.{entity.name}"
+        if not (keys and self.store.exists(table) and self.store.has_buckets(table)):
+            return None
+        now, known = (
+            {r["bucket"]: (r["rows"], r["digest"]) for r in df.collect()}
+            for df in (cdc.digests(source, self.store.bucket_of(keys)), self.store.read(f"digest.{entity.name}"))
+        )
+        return sorted(b for b in now.keys() | known.keys() if now.get(b) != known.get(b))
 
     def raw_initial(self, name: str) -> LoadReport:
         """Every source row as an insert; seeds the snapshot when there is none."""
         entity = ENTITIES[name]
         with self.batch(f"raw.load_{entity.source_object}_initial") as batch_id:
-            snap = self._write_snapshot(entity)
+            snap, *digest = self._write_snapshot(entity, cdc.hashed(self.source(name), entity))
             rows = self.store.read(snap.table, snap)
             inserted = cdc.journal_rows(rows, entity, batch_id, self._now(), "'I'")
             batch = self.store.write_batch(name, inserted, batch_id)
-            seeded = [] if self.store.exists(snap.table) else [snap]
+            seeded = [] if self.store.exists(snap.table) else [snap, *digest]
             self.store.publish(batch, *seeded)
         return LoadReport(batch_id, {"raw": {"rows": batch.metrics["rows"], "I": batch.metrics["rows"]}})
 
     def raw_delta(self, name: str) -> LoadReport:
         """Journals what changed since the last snapshot.
 
-        The source is read once, into the next snapshot version. The two snapshot versions are bucketed alike, so
-        comparing them needs no shuffle; journal batch and new snapshot become visible together.
+        Order-independent digests of the source's buckets are compared with those of the snapshot. Only buckets that differ are read
+        again, written to the next snapshot version and compared row by row, without a shuffle, as both versions are bucketed
+        alike; journal batch and new snapshot become visible together. An unchanged source writes no snapshot.
         """
         entity = ENTITIES[name]
         with self.batch(f"raw.load_{entity.source_object}_delta") as batch_id:
-            snap = self._write_snapshot(entity)
-            current = self.store.read_bucketed(snap.table, snap)
-            if self.store.exists(snap.table):
-                rows = cdc.delta(current, self.store.read_bucketed(snap.table), entity, batch_id, self._now())
+            source, table, keys = cdc.hashed(self.source(name), entity), f"snapshot.{name}", _bucket_keys(entity)
+            touched = self._touched_by_source(entity, source)
+            if touched is not None:
+                source = source.where(F.expr(self.store.bucket_of(keys)).isin(touched)) if touched else source.limit(0)
+            snap = [] if touched == [] else self._write_snapshot(entity, source, touched)
+            current = self.store.read_bucketed(table, snap[0], buckets=touched) if snap else source
+            if snap and self.store.exists(table):
+                rows = cdc.delta(current, self.store.read_bucketed(table, buckets=touched), entity, batch_id, self._now())
             else:
                 rows = cdc.journal_rows(current, entity, batch_id, self._now(), "'I'")
             by_operation = {op: f"count_if(operation_type = '{op}')" for op in fv.OPERATIONS}
             batch = self.store.write_batch(name, rows, batch_id, by_operation)
-            self.store.publish(batch, snap)
+            self.store.publish(batch, *snap)
         return LoadReport(batch_id, {"raw": batch.metrics})
 
     # --- STAGE, ODS, DDS --------------------------------------------------------------------------------------------
@@ -168,76 +196,112 @@ class Warehouse:
         entity, table = ENTITIES[name], f"ods.{name}"
         if batch_id is None:
             batch_id = max(self.store.batches(name), default=None)
-        keys, staged = _bucket_keys(entity), self.staged(name, batch_id)
-        counts = staged.agg(F.expr("count(*) as staged"), F.expr("count_if(not is_valid) as invalid")).first().asDict()
-        rows = merge.apply_stage(self.store.read_or_none(table), staged, entity, self._now())
+        keys, staged, known = _bucket_keys(entity), self.staged(name, batch_id), self.store.has_buckets(table)
+        bucket = self.store.bucket_of(keys) if known else "0"
+        # One pass over the batch: its counts, and the buckets of the table that it touches.
+        counts = staged.agg(
+            F.expr("count(*) as staged"),
+            F.expr("count_if(not is_valid) as invalid"),
+            F.expr(f"collect_set({bucket}) filter (where is_valid) as touched"),
+        ).first().asDict()
+        touched = counts.pop("touched")
+        applied = self.store.mark(f"applied.ods.{name}", batch_id)
+        if self.store.exists(table) and not touched:
+            self.store.publish(applied)
+            return {"rows": 0, "deleted": 0} | counts
+        touched = sorted(touched) if known else None
+        rows = merge.apply_stage(self.store.read_or_none(table, touched), staged, entity, self._now())
         # Later batches come out of a merge on the keys; the first one has to be distributed by them.
         rows = self.store.shuffled(rows, keys) if keys and not self.store.exists(table) else rows
-        written = self.store.write(table, rows, keys, {"deleted": "count_if(is_deleted)"})
-        self.store.publish(written, self.store.mark(f"applied.ods.{name}", batch_id))
+        written = self.store.write(table, rows, keys, {"deleted": "count_if(is_deleted)"}, touched)
+        self.store.publish(written, applied)
         return written.metrics | counts
 
     def waiting(self, table: str) -> DataFrame | None:
         """Keys of ODS rows that a load left out because a parent was missing; the next load tries them again."""
         return self.store.read(f"waiting.{table}") if self.store.exists(f"waiting.{table}") else None
 
+    def _new_rows(self, table: str) -> DataFrame:
+        """ODS rows that the table has not seen: read from the buckets that ODS has written since, and those of rows that wait."""
+        name = next(e for e, tables in DDS_OF.items() if table in tables)
+        ods, late = f"ods.{name}", self.waiting(table)
+        if not self.store.exists(f"dds.{table}"):
+            return dims.above_watermark(self.store.read(ods), None)
+        buckets = None
+        if self.store.has_buckets(ods):
+            buckets = set(self.store.changed_since(ods, self.store.version(f"seen.{table}")))
+            if self.store.rows(f"waiting.{table}"):
+                buckets |= set(self.store.touched(ods, late, list(ENTITIES[name].keys)))
+        return dims.above_watermark(self.store.read(ods, buckets=buckets), None, late, self.store.version(f"newest.{table}"))
+
     def _without_parent(self, table: str) -> DataFrame:
         """What load_dds is about to leave out: the rows it looks at, without a parent."""
         entity = ENTITIES[next(e for e, tables in DDS_OF.items() if table in tables)]
-        target = self.store.read(f"dds.{table}") if self.store.exists(f"dds.{table}") else None
-        rows = dims.above_watermark(self.store.read(f"ods.{entity.name}"), target, self.waiting(table))
         parents = []
         for column, parent, known, only_current in LOOKUPS[table]:
             frame = self.store.read(f"dds.{parent}")
             parents.append((column, frame.where("is_current") if only_current else frame, known))
-        return facts.without_parent(rows, list(entity.keys), parents)
+        return facts.without_parent(self._new_rows(table), list(entity.keys), parents)
 
-    def _dds_rows(self, table: str, now: str) -> DataFrame:
-        """Target read bucketed for the merge; ODS and parents read plain for the lookups."""
-        late = self.waiting(table)
-        target = self.store.read_or_none(f"dds.{table}")
-
-        def ods(name: str) -> DataFrame:
-            return self.store.read(f"ods.{name}")
+    def _batch_rows(self, table: str, now: str) -> DataFrame:
+        """New ODS rows with the keys of their parents; parents are read plain for the lookups."""
+        rows = self._new_rows(table)
 
         def dds(name: str) -> DataFrame:
             return self.store.read(f"dds.{name}")
 
         build = {
-            "dim_airplanes": lambda: dims.dim_airplanes(target, ods("airplanes"), now),
-            "dim_airports": lambda: dims.dim_airports(target, ods("airports"), now),
-            "dim_routes": lambda: dims.dim_routes(target, ods("routes"), dds("dim_airports"), dds("dim_airplanes"), now, late),
-            "dim_seats": lambda: dims.dim_seats(target, ods("seats"), dds("dim_airplanes"), now, late),
-            "dim_passenger": lambda: dims.dim_passenger(target, ods("tickets"), now),
-            "fact_flights": lambda: facts.fact_flights(target, ods("flights"), dds("dim_routes"), now, late),
-            # ODS bookings are bucketed like the fact they feed.
-            "fact_bookings": lambda: facts.fact_bookings(target, self.store.read_bucketed("ods.bookings"), now),
-            "fact_tickets": lambda: facts.fact_tickets(
-                target, ods("tickets"), dds("fact_bookings"), dds("dim_passenger"), now, late
-            ),
-            "fact_segments": lambda: facts.fact_segments(
-                target, ods("segments"), dds("fact_tickets"), dds("fact_flights"), now, late
-            ),
-            "fact_boarding_passes": lambda: facts.fact_boarding_passes(
-                target, ods("boarding_passes"), dds("fact_tickets"), dds("fact_flights"), now, late
-            ),
+            "dim_routes": lambda: dims.routes_batch(rows, dds("dim_airports"), dds("dim_airplanes"), now),
+            "dim_seats": lambda: dims.seats_batch(rows, dds("dim_airplanes"), now),
+            "dim_passenger": lambda: dims.passengers_batch(rows, now),
+            "fact_flights": lambda: facts.flights_batch(rows, dds("dim_routes"), now),
+            "fact_bookings": lambda: facts.bookings_batch(rows, now),
+            "fact_tickets": lambda: facts.tickets_batch(rows, dds("fact_bookings"), dds("dim_passenger"), now),
+            "fact_segments": lambda: facts.segments_batch(rows, dds("fact_tickets"), dds("fact_flights"), now),
+            "fact_boarding_passes": lambda: facts.boarding_passes_batch(rows, dds("fact_tickets"), dds("fact_flights"), now),
         }
         return build[table]()
 
-    def load_dds(self, table: str, *marks: Written) -> dict[str, int]:
-        rows, keys = self._dds_rows(table, self._now()), DDS_KEYS[table]
-        first = not self.store.exists(f"dds.{table}")
-        metrics = {"deleted": "count_if(is_deleted)"} if "is_deleted" in rows.columns else {}
-        if "is_current" in rows.columns:
-            metrics["current"] = "count_if(is_current)"
-        # Later loads come out of a merge on the keys; the first one has to be distributed by them.
-        rows = self.store.shuffled(rows, keys) if first and keys else rows
-        written, left_out = [self.store.write(f"dds.{table}", rows, keys, metrics)], {}
+    def _load_history(self, table: str, now: str) -> list[Written]:
+        ods, load = {"dim_airplanes": ("airplanes", dims.dim_airplanes), "dim_airports": ("airports", dims.dim_airports)}[table]
+        rows = load(self.store.read_or_none(f"dds.{table}"), self.store.read(f"ods.{ods}"), now)
+        return [self.store.write(f"dds.{table}", rows, DDS_KEYS[table], {"current": "count_if(is_current)"})]
+
+    def _load_merged(self, table: str, now: str) -> list[Written]:
+        """The batch merged into the buckets it touches; how far ODS is read then, and what waits for a parent.
+
+        The batch is written once, as it is read for its buckets and for the merge; a first load is distributed by its keys instead.
+        """
+        keys, target, how = DDS_KEYS[table], f"dds.{table}", (dims.MERGE | facts.MERGE)[table]
+        name = next(e for e, tables in DDS_OF.items() if table in tables)
+        batch, first = self._batch_rows(table, now), not self.store.exists(target)
+        metrics = {"newest": "coalesce(max(batch_id), 0)"}
+        if "is_deleted" in batch.columns:
+            metrics["deleted"] = "count_if(is_deleted)"
+        if first:
+            rows = merge.upsert(None, batch, **how)
+            written = [self.store.write(target, self.store.shuffled(rows, keys) if keys else rows, keys, metrics)]
+            newest = written[0].metrics["newest"]
+        else:
+            batch, counts = self.store.staged(f"batch.{table}", batch, metrics)
+            newest, written = counts["newest"], [replace(self.store.mark(f"empty.{table}", 0), metrics=counts)]
+            if counts["rows"]:
+                touched = self.store.touched(target, batch, keys)
+                rows = merge.upsert(self.store.read_or_none(target, touched), batch, **how)
+                written = [self.store.write(target, rows, keys, metrics, touched)]
+        for w in written:
+            w.metrics.pop("newest", None)
         if table in LOOKUPS:
             written.append(self.store.write(f"waiting.{table}", self._without_parent(table)))
-            left_out = {"waiting": written[1].metrics["rows"]}
+            written[0].metrics["waiting"] = written[1].metrics["rows"]
+        seen = self.store.mark(f"seen.{table}", self.store.version(f"ods.{name}"))
+        return [*written, self.store.mark(f"newest.{table}", newest), seen]
+
+    def load_dds(self, table: str, *marks: Written) -> dict[str, int]:
+        load = self._load_history if table in ("dim_airplanes", "dim_airports") else self._load_merged
+        written = load(table, self._now())
         self.store.publish(*written, *marks)
-        return written[0].metrics | left_out
+        return written[0].metrics
 
     def load_entity(self, name: str) -> LoadReport:
         """RAW delta, STAGE, ODS, DDS. Without changes it stops after RAW, unless rows wait for a parent.
@@ -271,29 +335,65 @@ class Warehouse:
     # --- Marts, main load, checks -----------------------------------------------------------------------------------
 
     def load_marts(self) -> dict[str, dict[str, int]]:
-        """Sales mart on top of what it holds, the other two rebuilt from it."""
+        """Sales of changed segments merged into the sales mart; flights and airport days that they concern counted anew in the other two.
+
+        Rows of deleted facts stay in the sales mart, as the model has it; `load_marts` after `forget_marts` builds all three from scratch.
+        """
         dds = {t: self.store.read(f"dds.{t}") for t in DDS_KEYS if self.store.exists(f"dds.{t}")}
-        rows = marts.sales_rows(
-            dds["fact_segments"],
-            dds["fact_tickets"],
-            dds["dim_passenger"],
-            dds["fact_bookings"],
-            dds["fact_flights"],
-            dds["dim_routes"],
-            dds["dim_airports"],
-            dds["dim_airplanes"],
-            self._now(),
-        )
-        keys = ["ticket_no", "flight_id"]
-        target = self.store.read_or_none("dm.flight_sales_mart")
-        sales = marts.flight_sales(target, rows)
-        written = [self.store.write("dm.flight_sales_mart", sales if target else self.store.shuffled(sales, keys), keys)]
-        sales = self.store.read("dm.flight_sales_mart", written[0])
-        written.append(self.store.write("dm.flight_revenue_mart", marts.flight_revenue(sales)))
-        written.append(self.store.write("dm.airport_traffic_daily", marts.airport_traffic(sales)))
-        self.store.publish(*written, self.store.mark("applied.marts", self._dds_state()))
+        sales, newest, keys = "dm.flight_sales_mart", self.store.version("newest.sales"), marts.SALES_KEYS
+        parents = [dds[t] for t in ("fact_tickets", "dim_passenger", "fact_bookings", "fact_flights", "dim_routes", "dim_airports", "dim_airplanes")]
+        tickets, passengers, bookings, flights, *others = parents
+        segments, first = dds["fact_segments"], not self.store.exists(sales)
+        done = self.store.mark("applied.marts", self._dds_state())
+        if not first:
+            segments, counts = self.store.staged("marts.segments", marts.changed_segments(segments, tickets, bookings, flights, *others, newest))
+            if not counts["rows"]:
+                self.store.publish(done)
+                return {t: {"rows": 0} for t in MARTS}
+            tickets = marts.only_parents_of(segments, tickets, "ticket_sk")
+            flights = marts.only_parents_of(segments, flights, "flight_sk")
+        rows = marts.sales_rows(segments, tickets, passengers, bookings, flights, *others, self._now())
+        rows = rows.where(f"source_max_batch_id > {newest}")
+        metrics = {"newest": "coalesce(max(source_max_batch_id), 0)"}
+        if first:
+            written = [self.store.write(sales, self.store.shuffled(merge.upsert(None, rows, keys, checked=True), keys), keys, metrics)]
+            whole = self.store.read(sales, written[0])
+            groups = {"dm.flight_revenue_mart": None, "dm.airport_traffic_daily": None}
+        else:
+            batch, counts = self.store.staged("marts.sales", rows)
+            touched = self.store.touched(sales, batch, keys)
+            before = self.store.read_or_none(sales, touched)
+            written = [self.store.write(sales, merge.upsert(before, batch, keys, checked=True), keys, metrics, touched)]
+            whole = self.store.read(sales, written[0])
+            replaced = before.join(batch.select(*keys), keys, "left_semi").select(*batch.columns)
+            groups = {
+                "dm.flight_revenue_mart": batch.select("flight_id").distinct(),
+                "dm.airport_traffic_daily": marts.days_of(batch.unionByName(replaced)),
+            }
+        for table, of_table in groups.items():
+            if of_table is not None:
+                of_table, _ = self.store.staged(f"groups.{table}", of_table)
+            written.append(self._count_anew(table, whole, of_table))
+        mark = self.store.mark("newest.sales", max(newest, written[0].metrics.pop("newest")))
+        self.store.publish(*written, mark, done)
         return {w.table: w.metrics for w in written}
 
+    def _count_anew(self, table: str, sales: DataFrame, groups: DataFrame | None) -> Written:
+        """An aggregate mart from all sales, or with the rows of some groups counted anew from the sales of those."""
+        keys = MARTS[table]
+        if table == "dm.airport_traffic_daily":
+            fresh = marts.airport_traffic(sales, groups)
+        else:
+            fresh = marts.flight_revenue(sales if groups is None else sales.join(groups, keys, "left_semi"))
+        touched = None if groups is None else self.store.touched(table, groups, keys)
+        if groups is not None:
+            fresh = merge.replace_groups(self.store.read(table, buckets=touched), groups, fresh, keys)
+        return self.store.write(table, self.store.shuffled(fresh, keys), keys, touched=touched)
+
+    def forget_marts(self) -> None:
+        """The next load of the marts builds them from scratch: sales of facts deleted since are not in them any more."""
+        self.store.forget(*MARTS, "newest.sales", "applied.marts")
+
     def _dds_state(self) -> int:
         """Grows with every version of a DDS table, so the marts know whether they have seen the latest."""
         return sum(self.store.version(f"dds.{t}") for t in DDS_KEYS)

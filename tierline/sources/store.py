@@ -3,20 +3,29 @@
 Plain Parquet has no MERGE. A merge therefore reads the published version, joins, writes a new version next to it and
 publishes that with one appended log row. A job that dies half-way leaves files nobody reads, and running it again
 overwrites them.
+
+A bucketed table has one folder a bucket and version, and a merge reads and writes only the buckets that its batch
+touches: the log row names them, and the others stay where an earlier version has put them.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions.expr import literal_frame
 
-LOG_SCHEMA = "seq bigint, table string, version bigint, path string, schema string, keys array<string>, buckets int, rows bigint"
+# base: the version that last replaced the whole table. parts: buckets with rows in this version. gone: touched buckets that have none any more.
+LOG_SCHEMA = (
+    "seq bigint, table string, version bigint, path string, schema string, keys array<string>, buckets int, rows bigint,"
+    " base bigint, parts array<int>, gone array<int>"
+)
+BUCKET = "_bucket"
 EVENT_SCHEMA = "seq bigint, batch_id bigint, process_name string, status string, at timestamp, error_message string"
 
 
@@ -35,6 +44,9 @@ class Written:
     keys: tuple[str, ...]
     buckets: int
     metrics: dict[str, int]
+    base: int = 0
+    parts: tuple[int, ...] = ()
+    gone: tuple[int, ...] = ()
 
 
 class TableStore:
@@ -49,6 +61,11 @@ class TableStore:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._name = "tl_" + hashlib.md5(self.root.encode()).hexdigest()[:10]
         self._published: dict[str, Written] = {}
+        #: Of each bucketed table, the version that holds each of its buckets.
+        self._live: dict[str, dict[int, int]] = {}
+        self._declared: dict[str, set[str]] = {}
+        #: Last version of forgotten tables: numbers are never used again.
+        self._forgotten: dict[str, int] = {}
         self._batches: dict[str, set[int]] = {}
         self._seq = 0
         self._event_seq = 0
@@ -59,35 +76,52 @@ class TableStore:
     # --- Commit log -------------------------------------------------------------------------------------------------
 
     def _load_log(self) -> None:
-        """The latest commit of each table and the batch numbers of each journal: the only state the driver keeps."""
+        """The latest commit of each table, the version of each of its buckets and the batch numbers of each journal: the only state the driver keeps."""
         log = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log")
-        latest = "max_by(struct(version, path, schema, keys, buckets, rows), seq) as last"
+        latest = "max_by(struct(version, path, schema, keys, buckets, rows, base), seq) as last"
         batches = "collect_set(version) filter (where `table` like 'journal.%') as batches"
         for r in log.groupBy("table").agg(F.expr(latest), F.expr(batches), F.max("seq").alias("seq")).collect():
             w = r["last"]
-            w = Written(r["table"], w["version"], w["path"], w["schema"], tuple(w["keys"]), w["buckets"], {"rows": w["rows"]})
+            w = Written(r["table"], w["version"], w["path"], w["schema"], tuple(w["keys"]), w["buckets"], {"rows": w["rows"]}, w["base"])
+            self._seq = max(self._seq, r["seq"])
+            if w.buckets < 0:
+                self._forgotten[w.table] = w.version
+                continue
             self._published[w.table] = w
             if w.table.startswith("journal."):
                 self._batches[w.table] = set(r["batches"])
-            self._seq = max(self._seq, r["seq"])
+        moved = log.where("buckets > 0").selectExpr("seq", "table", "version", "inline(transform(concat(parts, gone), x -> struct(x as part, array_contains(parts, x) as filled)))")
+        for r in moved.groupBy("table", "part").agg(F.expr("max_by(struct(version, filled), seq) as last")).collect():
+            w = self._published.get(r["table"])
+            if w and r["last"]["filled"] and r["last"]["version"] >= w.base:
+                self._live.setdefault(r["table"], {})[r["part"]] = r["last"]["version"]
 
     def _remember(self, w: Written) -> None:
         if w.table.startswith("journal."):
             self._batches.setdefault(w.table, set()).add(w.version)
+        if w.buckets < 0:
+            self._published.pop(w.table, None)
+            self._live.pop(w.table, None)
+            self._forgotten[w.table] = w.version
+            return
+        if w.buckets:
+            live = self._live.get(w.table, {}) if w.base != w.version else {}
+            kept = {part: version for part, version in live.items() if part not in w.gone}
+            self._live[w.table] = kept | dict.fromkeys(w.parts, w.version)
         self._published[w.table] = w
 
     def publish(self, *written: Written) -> None:
         """Makes a set of tables visible together: they share one appended file."""
         self._seq += 1
         rows = [
-            (self._seq, w.table, w.version, w.path, w.schema, list(w.keys), w.buckets, w.metrics["rows"]) for w in written
+            (self._seq, w.table, w.version, w.path, w.schema, list(w.keys), w.buckets, w.metrics["rows"], w.base, list(w.parts), list(w.gone))
+            for w in written
         ]
         literal_frame(self.spark, rows, LOG_SCHEMA).write.mode("append").json(f"{self.root}/_log")
         for w in written:
-            previous = self._published.get(w.table)
             self._remember(w)
-            if previous and previous.buckets:
-                self.spark.sql(f"drop table if exists {self._catalog_name(previous)}")
+            for name in self._declared.pop(w.table, ()):
+                self.spark.sql(f"drop table if exists {name}")
 
     # --- Writing ----------------------------------------------------------------------------------------------------
 
@@ -96,28 +130,50 @@ class TableStore:
         counts = {"rows": "count(*)", **metrics}
         return df.observe(seen, *[F.expr(f"{m} as `{n}`") for n, m in counts.items()]), seen
 
-    def _catalog_name(self, w: Written) -> str:
-        return f"{self._name}_{w.table.replace('.', '_')}_v{w.version}"
+    def bucket_of(self, keys: list[str]) -> str:
+        """The bucket of a row, as Spark's bucketed files count it."""
+        return f"pmod(hash({', '.join(keys)}), {self.buckets})"
+
+    def touched(self, table: str, rows: DataFrame, keys: list[str]) -> list[int] | None:
+        """The buckets of the table that rows fall into: no more numbers than there are buckets. None, for all of them, where the table
+        does not exist, has no buckets or another number of them."""
+        if not keys or not self.has_buckets(table):
+            return None
+        return sorted(r[0] for r in rows.selectExpr(f"{self.bucket_of(keys)} as b").distinct().collect())
 
-    def write(self, table: str, df: DataFrame, keys: list[str] = (), metrics: Mapping[str, str] = {}) -> Written:
+    def write(
+        self, table: str, df: DataFrame, keys: list[str] = (), metrics: Mapping[str, str] = {}, touched: list[int] | None = None
+    ) -> Written:
         """Writes the next version. With keys it is bucketed and sorted by them.
 
         `df` must then already be distributed by the keys (a merge on them, or shuffled()), so that each bucket is
-        one file. Counts are taken while writing.
+        one file. With `touched`, df holds all rows of these buckets and no others, and the rest of the table stays as it is.
+        Counts are taken while writing, so they count what is written.
         """
         previous = self._published.get(table)
-        version = previous.version + 1 if previous else 1
+        version = (previous.version if previous else self._forgotten.get(table, 0)) + 1
         path = f"{self.root}/{table.replace('.', '/')}/v={version}"
         seen_df, seen = self._observed(df, metrics)
-        buckets = self.buckets if keys else 0
-        w = Written(table, version, path, _ddl(df), tuple(keys), buckets, {"rows": 0})
-        if keys:
-            writer = seen_df.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
-            self.spark.sql(f"drop table if exists {self._catalog_name(w)}")
-            writer.option("path", path).saveAsTable(self._catalog_name(w))
-        else:
+        if not keys:
             seen_df.write.mode("overwrite").parquet(path)
-        return Written(w.table, version, path, w.schema, w.keys, buckets, dict(seen.get))
+            return Written(table, version, path, _ddl(df), (), 0, dict(seen.get), version)
+        whole = touched is None or previous is None
+        name = f"{self._name}_{table.replace('.', '_')}_write"
+        self.spark.sql(f"drop table if exists {name}")
+        placed = seen_df.selectExpr("*", f"{self.bucket_of(keys)} as {BUCKET}")
+        writer = placed.write.format("parquet").mode("overwrite").partitionBy(BUCKET).bucketBy(self.buckets, *keys).sortBy(*keys)
+        writer.option("path", path).saveAsTable(name)
+        parts = tuple(sorted(int(r[0].split("=")[1]) for r in self.spark.sql(f"show partitions {name}").collect()))
+        self.spark.sql(f"drop table {name}")
+        gone = () if whole else tuple(sorted(set(touched) - set(parts)))
+        return Written(table, version, path, _ddl(df), tuple(keys), self.buckets, dict(seen.get), version if whole else previous.base, parts, gone)
+
+    def staged(self, name: str, df: DataFrame, metrics: Mapping[str, str] = {}) -> tuple[DataFrame, dict[str, int]]:
+        """Rows of one step that are read several times, written once to a folder that the next such step overwrites; and counts of them."""
+        path = f"{self.root}/_staged/{name.replace('.', '/')}"
+        seen_df, seen = self._observed(df, metrics)
+        seen_df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(_ddl(df)).parquet(path), dict(seen.get)
 
     def shuffled(self, df: DataFrame, keys: list[str]) -> DataFrame:
         """Distributed the way a bucketed write needs it."""
@@ -137,6 +193,14 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return table in self._published
 
+    def has_buckets(self, table: str) -> bool:
+        """Whether the table can be merged bucket by bucket: it exists, with the number of buckets the store has."""
+        return self.exists(table) and self._published[table].buckets == self.buckets
+
+    def forget(self, *tables: str) -> None:
+        """Published tables and marks that are to be as if they had never been; their next version is written whole."""
+        self.publish(*[Written(t, self.version(t), "", "", (), -1, {"rows": 0}) for t in tables if self.exists(t)])
+
     def version(self, table: str) -> int:
         return self._published[table].version if table in self._published else 0
 
@@ -147,27 +211,57 @@ class TableStore:
         """A log entry without files, to publish how far a step has come."""
         return Written(name, max(version, self.version(name)), "", "", (), 0, {"rows": 0})
 
-    def read(self, table: str, written: Written | None = None) -> DataFrame:
-        """Published version, read as plain files: joins on other columns shuffle it and may split hot keys."""
-        w = written or self._published[table]
-        return self.spark.read.schema(w.schema).parquet(w.path)
+    def _places(self, table: str, written: Written | None, buckets: Iterable[int] | None) -> dict[int, int]:
+        """The version that holds each bucket, of all or of some."""
+        live = self._live.get(table, {})
+        if written is not None:  # as it will be when published
+            live = {b: v for b, v in live.items() if written.base != written.version and b not in written.gone}
+            live |= dict.fromkeys(written.parts, written.version)
+        return live if buckets is None else {b: live[b] for b in buckets if b in live}
 
-    def read_bucketed(self, table: str, written: Written | None = None) -> DataFrame:
-        """Published version with its bucketing declared, for merges on its key: this side is not shuffled."""
+    def changed_since(self, table: str, version: int) -> list[int]:
+        """Buckets that later versions have written."""
+        return sorted(b for b, v in self._live.get(table, {}).items() if v > version)
+
+    def read(self, table: str, written: Written | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Published version, or some of its buckets, read as plain files: joins on other columns shuffle it and may split hot keys."""
+        w = written or self._published[table]
+        reader = self.spark.read.schema(w.schema)
+        if not w.buckets:
+            return reader.parquet(w.path)
+        places, base = self._places(table, written, buckets), w.path.rsplit("/", 1)[0]
+        versions = set(places.values())
+        if versions == {w.version} and w.base == w.version and buckets is None:
+            paths = [w.path]
+        else:
+            paths = [f"{base}/v={v}/{BUCKET}={b}" for b, v in sorted(places.items())]
+        if not paths:
+            return self.spark.createDataFrame([], w.schema)
+        columns = [f"`{f.name}`" for f in T.StructType.fromDDL(w.schema).fields]
+        return reader.option("basePath", base).parquet(*paths).selectExpr(*columns)
+
+    def read_bucketed(self, table: str, written: Written | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Published version, or some of its buckets, with its bucketing declared, for merges on its key: this side is not shuffled."""
         w = written or self._published[table]
         if not w.buckets:
             return self.read(table, w)
-        name = self._catalog_name(w)
+        places = sorted(self._places(table, written, buckets).items())
+        digest = hashlib.md5(repr(places).encode()).hexdigest()[:10]
+        name = f"{self._name}_{table.replace('.', '_')}_v{w.version}_{digest}"
         if not self.spark.catalog.tableExists(name):
-            keys = ", ".join(f"`{k}`" for k in w.keys)
+            keys, base = ", ".join(f"`{k}`" for k in w.keys), w.path.rsplit("/", 1)[0]
             self.spark.sql(
-                f"create table {name} ({w.schema}) using parquet clustered by ({keys}) sorted by ({keys})"
-                f" into {w.buckets} buckets location '{w.path}'"
+                f"create table {name} ({w.schema}, {BUCKET} int) using parquet partitioned by ({BUCKET})"
+                f" clustered by ({keys}) sorted by ({keys}) into {w.buckets} buckets location '{base}/none'"
             )
-        return self.spark.table(name)
-
-    def read_or_none(self, table: str) -> DataFrame | None:
-        return self.read_bucketed(table) if self.exists(table) else None
+            self._declared.setdefault(table, set()).add(name)
+            for at in range(0, len(places), 500):
+                found = " ".join(f"partition ({BUCKET} = {b}) location '{base}/v={v}/{BUCKET}={b}'" for b, v in places[at : at + 500])
+                self.spark.sql(f"alter table {name} add {found}")
+        return self.spark.table(name).drop(BUCKET)
+
+    def read_or_none(self, table: str, buckets: Iterable[int] | None = None) -> DataFrame | None:
+        return self.read_bucketed(table, buckets=buckets) if self.exists(table) else None
 
     def batches(self, journal: str) -> list[int]:
         return sorted(self._batches.get(f"journal.{journal}", ()))

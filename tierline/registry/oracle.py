@@ -449,18 +449,23 @@ _BOOKINGS_TWICE = f"""select {_sk('book_ref', _SYSTEM)} as bookings_sk, book_ref
 
 # --- DM -------------------------------------------------------------------------------------------------------------
 
-# The sales mart with native types.
-_SALES = f"""select s.ticket_no, s.flight_id, t.passenger_id, r.route_no, b.book_ref, b.total_amount, s.price,
+
+def _sales(src=_src) -> str:
+    """The sales mart with native types."""
+    return f"""select s.ticket_no, s.flight_id, t.passenger_id, r.route_no, b.book_ref, b.total_amount, s.price,
     s.fare_conditions, t.outbound, b.book_date, f.status, f.scheduled_departure, f.scheduled_arrival, f.actual_departure,
     f.actual_arrival, r.duration_seconds, json_extract_string(dep.airport_name, '$.ru') as departure_airport_name,
     json_extract_string(arr.airport_name, '$.ru') as arrival_airport_name,
     json_extract_string(a.model, '$.ru') as airplane_model
-    from {_src('segments')} as s join {_src('tickets')} as t on s.ticket_no = t.ticket_no
-    join {_src('bookings')} as b on t.book_ref = b.book_ref join {_src('flights')} as f on s.flight_id = f.flight_id
-    join {_src('routes')} as r on f.route_no = r.route_no and {_IN_SEASON}
-    join {_src('airports')} as dep on dep.airport_code = r.departure_airport
-    join {_src('airports')} as arr on arr.airport_code = r.arrival_airport
-    join {_src('airplanes')} as a on a.airplane_code = r.airplane_code"""
+    from {src('segments')} as s join {src('tickets')} as t on s.ticket_no = t.ticket_no
+    join {src('bookings')} as b on t.book_ref = b.book_ref join {src('flights')} as f on s.flight_id = f.flight_id
+    join {src('routes')} as r on f.route_no = r.route_no and {_IN_SEASON}
+    join {src('airports')} as dep on dep.airport_code = r.departure_airport
+    join {src('airports')} as arr on arr.airport_code = r.arrival_airport
+    join {src('airplanes')} as a on a.airplane_code = r.airplane_code"""
+
+
+_SALES = _sales()
 _SALES_COLUMNS = [
     "ticket_no", "flight_id", "passenger_id", "route_no", "book_ref", "total_amount", "price", "fare_conditions", "outbound",
     "book_date", "status", "scheduled_departure", "scheduled_arrival", "actual_departure", "actual_arrival",
@@ -488,13 +493,19 @@ def _traffic_side(kind: str, actual: str, scheduled: str) -> str:
 
 # Exact half-up rounding of the mean, in whole cents.
 _MEAN = "((2 * (sum(price) * 100)::hugeint + count(price)) // (2 * count(price)))::double / 100"
-_REVENUE = f"""select flight_id, count(distinct passenger_id) as passenger_count, sum(price)::double as total_revenue,
+
+
+def _revenue(sales: str) -> str:
+    return f"""select flight_id, count(distinct passenger_id) as passenger_count, sum(price)::double as total_revenue,
     {', '.join(_by_class(f) for f in fv.FARE_CONDITIONS)}, {_MEAN} as avg_price,
     max(price)::double as max_price, min(price)::double as min_price, max(status) as status,
     max(duration_seconds) as duration_seconds, max(departure_airport_name) as departure_airport_name,
     max(arrival_airport_name) as arrival_airport_name, max(airplane_model) as airplane_model
-    from ({_SALES}) group by flight_id"""
-_TRAFFIC = f"""with sales as ({_SALES}), sides as (
+    from ({sales}) group by flight_id"""
+
+
+def _traffic(sales: str) -> str:
+    return f"""with sales as ({sales}), sides as (
     {_traffic_side('departure', 'actual_departure', 'scheduled_departure')} union all
     {_traffic_side('arrival', 'actual_arrival', 'scheduled_arrival')})
     select strftime(d, '%Y-%m-%d') as traffic_date, n as airport_name, sum(dc)::bigint as departures_count,
@@ -504,6 +515,9 @@ _TRAFFIC = f"""with sales as ({_SALES}), sides as (
     from sides group by 1, 2"""
 
 
+_REVENUE, _TRAFFIC = _revenue(_SALES), _traffic(_SALES)
+
+
 # --- DQ -------------------------------------------------------------------------------------------------------------
 
 _OBJECT_KEYS = {"dim_airplanes": ("airplanes", "airplane_code"), "dim_seats": ("seats", "(airplane_code, seat_no)"),
@@ -645,6 +659,68 @@ def _full_load_rows() -> str:
     return " union all ".join(parts)
 
 
+# --- Two loads of the stored warehouse: the earlier snapshot, then the later one ------------------------------------
+
+# A route is loaded once its airports and its airplane are current: at the first load, or at the second, which also tries
+# the rows that have waited.
+_ROUTES_TWICE = f"""select * from ({SRC['routes']}) where {' or '.join(
+    f"({and_new} departure_airport in (select airport_code from ({_state('airports', when)}))"
+    f" and arrival_airport in (select airport_code from ({_state('airports', when)}))"
+    f" and airplane_code in (select airplane_code from ({_state('airplanes', when)})))"
+    for when, and_new in (('before', "mark <> 'new' and"), ('after', ''))
+)}"""
+_SEAT_ROWS_TWICE = f"""select * from ({SRC['seats']}) where (mark <> 'new'
+    and airplane_code in (select airplane_code from ({_state('airplanes', 'before')})))
+    or airplane_code in (select airplane_code from ({_state('airplanes', 'after')}))"""
+
+
+def _of_batch(name: str) -> str:
+    """Batches of the stored warehouse are numbered in load order."""
+    second = len(BATCH) + BATCH[name]
+    return f"source_system, record_source, (case when updated_batch_id = {B2} then {second} else {BATCH[name]} end)::bigint as batch_id"
+
+
+_LOADED_FLIGHTS = f"""select f.*, {_ROUTE_SK.replace('route_no', 'r.route_no')} as route_sk from ({_ods_rows('flights')}) as f
+    join ({_ROUTES_TWICE}) as r on f.route_no = r.route_no and {_IN_SEASON}"""
+_KEYS_OF_SEGMENT = f"{_sk('ticket_no', _SYSTEM)} as ticket_sk, {_sk('flight_id::varchar', _SYSTEM)} as flight_sk"
+_HAS_FLIGHT = f"flight_id in (select flight_id from ({_LOADED_FLIGHTS}))"
+SECOND = {
+    "dim_passenger": f"""select {_sk('passenger_id')} as passenger_sk, passenger_id, passenger_name, {_of_batch('tickets')} from (
+        select * from ({_ods_rows('tickets')}) where passenger_id is not null
+        qualify row_number() over (partition by passenger_id order by updated_batch_id desc, ticket_no desc) = 1)""",
+    "fact_flights": f"""select {_sk('flight_id::varchar', _SYSTEM)} as flight_sk, route_sk, flight_id, status, {_out('scheduled_departure')},
+        {_out('scheduled_arrival')}, {_out('actual_departure')}, {_out('actual_arrival')}, {_of_batch('flights')}, is_deleted from ({_LOADED_FLIGHTS})""",
+    "fact_bookings": f"""select {_sk('book_ref', _SYSTEM)} as bookings_sk, book_ref, {_out('book_date')}, {_out('total_amount')},
+        {_of_batch('bookings')}, is_deleted from ({_ods_rows('bookings')})""",
+    "fact_tickets": f"""select {_sk('ticket_no', _SYSTEM)} as ticket_sk, {_sk('book_ref', _SYSTEM)} as bookings_sk,
+        {_sk('passenger_id')} as passenger_sk, ticket_no, outbound, {_of_batch('tickets')}, is_deleted from ({_ods_rows('tickets')})""",
+    "fact_segments": f"""select {_sk('ticket_no', 'flight_id::varchar', _SYSTEM)} as segment_sk, {_KEYS_OF_SEGMENT}, fare_conditions,
+        {_out('price')}, {_of_batch('segments')}, is_deleted from ({_ods_rows('segments')}) where {_HAS_FLIGHT}""",
+    "fact_boarding_passes": f"""select {_sk('ticket_no', 'flight_id::varchar', _SYSTEM)} as boarding_pass_sk, {_KEYS_OF_SEGMENT}, seat_no,
+        boarding_no, {_out('boarding_time')}, {_of_batch('boarding_passes')}, is_deleted from ({_ods_rows('boarding_passes')}) where {_HAS_FLIGHT}""",
+}
+
+
+def _later_source(name: str) -> str:
+    """What the second mart load joins: later states, all routes that were loaded, and any version of airports and airplanes (names do not change)."""
+    return f"({_ROUTES_TWICE})" if name == "routes" else _src(name) if name in ("airports", "airplanes") else f"({_state(name, 'after')})"
+
+
+# Rows of facts deleted since the first load stay in the mart as they were.
+_SALES_TWICE = f"""with first_load as ({_sales(lambda n: f"({_state(n, 'before')})")}), second_load as ({_sales(_later_source)})
+    select * from second_load union all
+    select * from first_load as o where not exists (select 1 from second_load as n where n.ticket_no = o.ticket_no and n.flight_id = o.flight_id)"""
+
+
+def _two_loads_rows() -> str:
+    frames = {f"raw.{n}": f"select 1 from ({_state(n, 'before')}) union all select 1 from ({_delta(n)})" for n in SRC}
+    frames |= {f"ods.{n}": _ods_rows(n) for n in SRC}
+    frames |= {"dds.dim_airplanes": _scd2("airplanes", "sk"), "dds.dim_airports": _scd2("airports", "sk")}
+    frames |= {"dds.dim_routes": _ROUTES_TWICE, "dds.dim_seats": _SEAT_ROWS_TWICE} | {f"dds.{t}": q for t, q in SECOND.items()}
+    frames |= {"dm.flight_sales_mart": _SALES_TWICE, "dm.flight_revenue_mart": _revenue(_SALES_TWICE), "dm.airport_traffic_daily": _traffic(_SALES_TWICE)}
+    return " union all ".join(f"select '{t}' as table_name, (select count(*) from ({q})) as rows" for t, q in frames.items())
+
+
 def _batch_log() -> str:
     rows = [
         f"select {b}::bigint as batch_id, 'raw.load_{OBJECT.get(n, n)}_delta' as process_name, 'SUCCESS' as status,"
@@ -741,4 +817,9 @@ def oracle() -> dict[str, str]:
         from ({DDS['fact_segments']})"""
     sql["warehouse_full_load"] = _full_load_rows()
     sql["warehouse_batch_log"] = _batch_log()
+    sql["warehouse_two_loads"] = _two_loads_rows()
+    sql |= {f"warehouse_second_{t}": q for t, q in SECOND.items()}
+    sql["warehouse_second_flight_sales"] = f"select {_SALES_OUT} from ({_SALES_TWICE})"
+    sql["warehouse_second_flight_revenue"] = _revenue(_SALES_TWICE)
+    sql["warehouse_second_airport_traffic"] = _traffic(_SALES_TWICE)
     return sql

@@ -320,5 +320,18 @@ def _late_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("warehouse_late_parents", _late_parents)
 register("warehouse_full_load", lambda s, d: _table_rows(s, d, ("all",)))
 register("warehouse_two_loads", lambda s, d: _table_rows(s, d, ("before", "after")))
+
+
+def _after_two_loads(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the stored warehouse after both loads, without the times of the run."""
+    run = ["last_changed_at", "mart_load_date", "source_max_batch_id"]
+    return _warehouse(spark, sf_dir, ("before", "after")).store.read(table).drop(*run)
+
+
+for _table in ("dim_passenger", "fact_flights", "fact_bookings", "fact_tickets", "fact_segments", "fact_boarding_passes"):
+    register(f"warehouse_second_{_table}", lambda s, d, t=_table: _after_two_loads(s, d, f"dds.{t}"))
+register("warehouse_second_flight_sales", lambda s, d: _after_two_loads(s, d, "dm.flight_sales_mart"))
+register("warehouse_second_flight_revenue", lambda s, d: _after_two_loads(s, d, "dm.flight_revenue_mart"))
+register("warehouse_second_airport_traffic", lambda s, d: _after_two_loads(s, d, "dm.airport_traffic_daily"))
 register("warehouse_batch_log", _batch_log)
 register("warehouse_traffic_mart", lambda s, d: _warehouse(s, d, ("all",)).store.read("dm.airport_traffic_daily"))

@@ -17,7 +17,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites stay with their first holder only; n_chars follows the text. No document goes."""
+    """Lines that stand on many sites, long ones on two, stay with their first holder only; n_chars follows the text. No document goes."""
     cleaned = line_dedup.clean(docs)
     counted = F.when(F.col("_ld_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", counted).select([f"`{c}`" for c in docs.columns])

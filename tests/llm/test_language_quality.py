@@ -110,3 +110,16 @@ def test_quality_of_odd_rows(quality, documents, labels):
     none = Q.fit(documents(odd_rows()), labels([]), F.lit(True))
     assert {r[0] for r in documents(odd_rows()).select(Q.score(none)).collect()} == {0.5}
     assert documents([]).select(Q.score(Q.fit(documents([]), labels([(1, 1, 1)]), F.lit(True)))).count() == 0
+
+
+def test_more_languages_than_one_sample_of_each_fits(documents, monkeypatch):
+    monkeypatch.setattr(I, "LEARNED", 140)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(6)
+    word = lambda n: letters[n % 26] + letters[(3 * n + 1) % 26] + rng.choice("xyz") + letters[(n // 26 + 5) % 26]
+    rows = [(100 * n + k, " ".join(word(n) for _ in range(30)), f"l{n}", None) for n in range(70) for k in range(4)]
+    docs = documents(rows)
+    model = I.fit(docs, F.lit(True))
+    assert sum(map(len, model.families)) == 70
+    found = docs.select("lang", I.prediction(model).alias("p")).collect()
+    assert sum(r["lang"] == r["p"]["language"] for r in found) > 0.95 * len(rows)

@@ -9,13 +9,17 @@ from tierline.llm import line_dedup as L
 
 
 def plain(rows, sites):
-    spread, first = defaultdict(set), {}
+    spread, first, docs = defaultdict(set), {}, defaultdict(set)
     for key, text, _, source in rows:
         for line in (text or "").split("\n"):
             if line := line.strip(" "):
                 spread[line].add(source or "")
+                docs[line] |= {key} - {None}
                 if key is not None:
                     first[line] = min(first.get(line, key), key)
+    for line, found in spread.items():  # long lines, as if they stood on as many sites as it takes
+        if len(re.findall("[^ \t]+", line)) >= 50 and (len(found) >= 2 or len(docs[line]) >= sites):
+            found |= set(range(sites))
     out = []
     for key, text, *_ in rows:
         lines = [] if text is None else text.split("\n")
@@ -44,6 +48,24 @@ def test_many_sites_near_the_threshold(documents):
     assert got(documents(rows), 200) == plain(rows, 200)
 
 
+def test_long_passages_go_from_two_sites_on_or_five_documents_of_one(documents):
+    rng = random.Random(4)
+    passage = [" ".join(rng.choice(["amet", "dolor", "ipsum"]) + str(rng.randrange(99)) for _ in range(n)) for n in (50, 60, 70, 49, 55)]
+    sites = [["a", "b"], ["a"] * 5, ["a"] * 4, ["a", "b", "c", "d"], ["a", None]]
+    rows = [(10 * k + n, f"own {k} {n}\n{passage[k]}\nend {k} {n}", "en", s) for k, of in enumerate(sites) for n, s in enumerate(of)]
+    rows += [(900, passage[2] + "\n" + passage[2], "en", "z" if rng.random() > 2 else "a")]  # a fifth document of that site
+    found = got(documents(rows), 5)
+    assert found == plain(rows, 5)
+    assert {r[0] for r in found if r[3]} == {1, 11, 12, 13, 14, 21, 22, 23, 900, 41}
+
+
+def test_columns_with_names_of_its_own(spark):
+    docs = spark.createDataFrame([(k, "x\ny", f"s{k}", 1, 2, 3, 4, 5) for k in range(6)], "doc_id long, text string, source string, _ld_id int, _ld_hits int, _ld_kept int, _ld_lines int, id int")
+    rows = L.clean(docs).collect()
+    assert rows[0].asDict().keys() == {*docs.columns, "_ld_removed"} and all((r["_ld_id"], r["_ld_hits"], r["_ld_kept"], r["id"]) == (1, 2, 3, 5) for r in rows)
+    assert sorted((r["doc_id"], r["_ld_lines"], r["_ld_removed"]) for r in rows) == [(0, 2, 0)] + [(k, 2, 2) for k in range(1, 6)]
+
+
 def test_columns_and_empty_tables(documents):
     docs = documents([(1, "a", "en", "s")])
     assert L.clean(docs).columns == [*docs.columns, "_ld_lines", "_ld_removed"]

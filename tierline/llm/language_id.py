@@ -5,9 +5,9 @@ the mean weight of what the text holds. Families are found from the learned rows
 about the square root of their number is left. One machine per pair of families and one per pair of languages within a family vote; ties go to
 the greater sum of margins, then to the first name.
 
-Learning uses at most SAMPLE labelled texts of each language, in the order of a hash of the id; their features are computed in tasks and
-gathered (at most SAMPLE rows of DIMS numbers a language), machines are fitted by dual coordinate descent. At most LANGUAGES languages, the most frequent,
-are learned and can be predicted. Every text is then read whole, in blocks, in one pass without a shuffle.
+Learning uses at most SAMPLE labelled texts of each language, and LEARNED of all together, in the order of a hash of the id; their features are
+computed in tasks and gathered (at most LEARNED rows of DIMS numbers), machines are fitted by dual coordinate descent. Every language is learned
+and can be predicted; with more than LEARNED / SAMPLE of them each gets an equal, smaller share of the rows. Every text is then read whole, in blocks, in one pass without a shuffle.
 
 Null text, and text without letters, is `und` with score 1. Rows with null text or language teach nothing; a row with a null id is not held out.
 With one learned language all texts get it; with none, `und` with score 0. Repeated rows are treated alike. Other columns are not read.
@@ -25,10 +25,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierline.llm.common import staged
 
-SAMPLE, DIMS, LANGUAGES, BLOCK = 1_000, 1 << 12, 64, 1 << 18
+#: Learned rows of a language, and of all together: with many languages each one gets fewer, but every language is learned.
+SAMPLE, LEARNED, DIMS, BLOCK = 1_000, 64_000, 1 << 12, 1 << 18
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -143,16 +145,14 @@ def _vote(machines: list[tuple[int, int, int]], n: int, values: np.ndarray) -> t
 def fit(docs: DataFrame, learn: Column) -> Model:
     """Learns from text and language of the documents for which `learn` holds."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learn)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    names = sorted(r[0] for r in counts)
-    order = known.select("lang", F.xxhash64("doc_id", "text").alias("_order"), "text")
-    chosen = None
-    for name in names:
-        part = order.filter(F.col("lang") == name).select("_order").orderBy("_order").limit(SAMPLE).withColumn("_lang", F.lit(name))
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
+    names = sorted(r[0] for r in known.select("lang").distinct().collect())
+    if not names:
         return Model([], [], [], np.zeros((DIMS, 0)), np.zeros(0))
-    chosen = staged(chosen, "chosen").distinct()
+    order = known.select("lang", F.xxhash64("doc_id", "text").alias("_order"), "text")
+    # One scan for all languages: the ranking is cut off within each task before anything is shuffled.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
+    chosen = order.select("lang", "_order").withColumn("_rank", rank).filter(F.col("_rank") <= max(1, min(SAMPLE, LEARNED // len(names))))
+    chosen = staged(chosen.select("_order", F.col("lang").alias("_lang")), "chosen").distinct()
     texts = order.join(chosen, (order["_order"] == chosen["_order"]) & (F.col("lang") == F.col("_lang"))).select(order["_order"], "lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

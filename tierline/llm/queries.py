@@ -36,7 +36,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that stand on five sites or more, but for their first holder."""
+    """Every document without the lines that stand on five sites or more, long ones on two or in five documents, but for their first holder."""
     cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", F.col("_ld_lines").alias("lines"), F.col("_ld_removed").alias("lines_removed"))
 

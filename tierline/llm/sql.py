@@ -6,7 +6,9 @@ LINE_DEDUP = """
 WITH held AS (
   SELECT doc_id, coalesce(source, '') AS site, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
 ), spread AS (
-  SELECT line, min(doc_id) AS first FROM held WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 5
+  SELECT line, min(doc_id) AS first FROM held WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT site) >= 5
+    OR (len(list_filter(string_split_regex(line, '[ \t]+'), lambda w: w <> '')) >= 50 AND (count(DISTINCT site) >= 2 OR count(DISTINCT doc_id) >= 5))
 ), hits AS (
   SELECT doc_id, list(DISTINCT line) AS found FROM held JOIN spread USING (line) WHERE doc_id > first GROUP BY doc_id
 ), split AS (

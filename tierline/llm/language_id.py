@@ -145,13 +145,19 @@ def _vote(machines: list[tuple[int, int, int]], n: int, values: np.ndarray) -> t
 def fit(docs: DataFrame, learn: Column) -> Model:
     """Learns from text and language of the documents for which `learn` holds."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learn)
-    names = sorted(r[0] for r in known.select("lang").distinct().collect())
+    counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    names = sorted(counts)
     if not names:
         return Model([], [], [], np.zeros((DIMS, 0)), np.zeros(0))
     order = known.select("lang", F.xxhash64("doc_id", "text").alias("_order"), "text")
-    # One scan for all languages: the ranking is cut off within each task before anything is shuffled.
+    # The order is a hash, so the first rows of a language lie below a bound that its count tells, with room for four times as many: only those
+    # few are ranked, however many tasks read the table. The bounds are one row a language, which the driver holds already.
+    share = max(1, min(SAMPLE, LEARNED // len(names)))
+    bounds = [(n, min((1 << 63) - 1, (1 << 64) * 4 * share // count - (1 << 63))) for n, count in counts.items()]
+    bounds = docs.sparkSession.createDataFrame(bounds, "_lang string, _bound long")
+    first = order.select("lang", "_order").join(F.broadcast(bounds), F.col("lang") == F.col("_lang")).filter(F.col("_order") <= F.col("_bound"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
-    chosen = order.select("lang", "_order").withColumn("_rank", rank).filter(F.col("_rank") <= max(1, min(SAMPLE, LEARNED // len(names))))
+    chosen = first.select("lang", "_order").withColumn("_rank", rank).filter(F.col("_rank") <= share)
     chosen = staged(chosen.select("_order", F.col("lang").alias("_lang")), "chosen").distinct()
     texts = order.join(chosen, (order["_order"] == chosen["_order"]) & (F.col("lang") == F.col("_lang"))).select(order["_order"], "lang", "text")
 

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.expr import in_range, surrogate_key
+from tierline.functions.expr import surrogate_key
 from tierline.operators.merge import upsert
+from tierline.operators.temporal import valid_at
 from tierline.plans.dims import above_watermark
 
 LATER_BATCH = "t.batch_id < d.batch_id"
@@ -33,8 +34,7 @@ def _technical(changed_at: str) -> list[str]:
 def route_at_departure(flights: DataFrame, routes: DataFrame) -> DataFrame:
     """Each flight with the route version valid at its scheduled departure (half-open range)."""
     r = routes.selectExpr("route_no as r_route_no", "validity", "route_sk")
-    match = F.expr(f"route_no = r_route_no and {in_range('scheduled_departure', 'validity')}")
-    return flights.join(r, match).drop("r_route_no", "validity")
+    return valid_at(flights, "route_no", "scheduled_departure", r, "r_route_no", "validity").drop("r_route_no", "validity")
 
 
 def flights_batch(rows: DataFrame, routes: DataFrame, changed_at: str) -> DataFrame:
@@ -64,7 +64,7 @@ def without_parent(rows: DataFrame, keys: list[str], parents: list[tuple[str, Da
     for column, parent, known in parents:
         if known == "validity":
             r = parent.selectExpr("route_no as r_route_no", "validity")
-            lone = rows.join(r, F.expr(f"route_no = r_route_no and {in_range('scheduled_departure', 'validity')}"), "left_anti")
+            lone = valid_at(rows, "route_no", "scheduled_departure", r, "r_route_no", "validity", "left_anti")
         else:
             lone = rows.join(parent.selectExpr(f"{known} as parent_key"), F.expr(f"{column} = parent_key"), "left_anti")
         lone = lone.select(*keys)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -68,8 +69,32 @@ def test_disguised_words_are_restored(fitted):
         assert words(raw) == [want]
     for raw in ("stone", "stone,", "(paper)"):
         assert words(raw) == [raw.strip(",()")]
+    assert words("idi" + "o" * 90 + "t") == ["idiot"]
+    assert "idiot" in words("you,are,an,1d10t,and/that,is,all,there,is,to,say") and "moron" in words("m.0.r.0.n,")
     assert words("2024") == [] and words("192.168.0.1") == []
-    assert "moron" in {w for w in T.Reader(fitted[1].decoder, lambda w: (w,))("so m o r o n here")}
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("so m o r o n here", ["moron"]), ("i d i o t, go", ["idiot"]), ("you i d i o t.", ["idiot"]), ("m o r o n. i d i o t", ["moron", "idiot"]),
+        ("what an id iot", ["idiot"]), ("the mor on said", ["moron"]), ("i.d.i.o.t and m-o-r-o-n", ["idiot", "moron"]), ("1 d 1 0 t", ["idiot"]),
+        ("i  d  i\no t", ["idiot"]), ("m 0 r 0 n!", ["moron"]),
+    ],
+)
+def test_blanks_and_marks_are_in_the_lattice(fitted, text, want):
+    found = T.Reader(fitted[1].decoder, lambda w: (w,))(text)
+    assert set(want) <= found, found
+
+
+def test_plain_words_stay_and_long_runs_are_linear(fitted):
+    read = T.Reader(fitted[1].decoder, lambda w: (w,))
+    assert read("river stone garden, window") == {"river", "stone", "garden", "window"}
+    assert read("1 2 3 4 5") == set() and read("\u00b2 \u0660 a") is not None
+    started = time.perf_counter()
+    read("x" + "01" * 50_000 + "y")
+    read("a b " * 20_000)
+    assert time.perf_counter() - started < 60
 
 
 def test_held_out_rows_are_told_apart(fitted):

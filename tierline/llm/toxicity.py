@@ -1,9 +1,11 @@
 """Toxicity of texts whose words may be disguised: restore the words, then score what they say.
 
-Restoring is a noisy-channel decoder. A word with signs that may stand for letters, with letters repeated, or spelled out with blanks or dots
-between its letters is a lattice of readings: each sign as itself or as a letter, each repetition shortened to two, one or left. The path of
-least cost under a character trigram model and the channel's costs is found by the Viterbi algorithm. A word without such signs has one
-reading and stays as it is.
+Restoring is a noisy-channel decoder. A word with signs that may stand for letters, or with letters repeated, is a lattice of readings: each sign
+as itself or as a letter, each repetition, however long, shortened to two, one or left. A blank or mark between runs of at most SHORT signs is
+in the lattice as well, as a word boundary or as nothing: where two such neighbours are single signs, or are read as one word, the stretch of all
+such neighbours is decoded as a whole, next to its words as they stand. The path of least cost under a character trigram model and the channel's costs is
+found by the Viterbi algorithm, in time linear in the length. A word without such signs has one reading and stays as it is. Runs with marks inside
+are parted there first, so words joined by commas or slashes are decoded one by one.
 
 The trigram model counts all texts of the table (one pass, reduced in the tasks to at most 32,768 counts each). The score is a logistic
 regression over features of the restored words: each word and its beginnings of 4 to 6 letters, one feature each per text. Features and
@@ -24,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -33,19 +36,20 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import staged
 
-SAMPLE, FEATURES, LEAST, COMMON, STRONG, REMEMBERED, BLOCK = 4_000, 256, 4, 0.02, 5, 300_000, 1 << 20
+SAMPLE, FEATURES, LEAST, COMMON, STRONG, REMEMBERED, BLOCK, SHORT = 4_000, 256, 4, 0.02, 5, 300_000, 1 << 20, 4
 #: Letters that a sign may stand for.
 LEET = {
     "0": "ou", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "€": "e", "£": "l",
 }
-#: Costs of the channel, in nats: a sign read as a letter, one kept as it is, a repetition shortened, one left.
-AS_LETTER, AS_SIGN, SHORTENED, LEFT = 0.5, 9.0, 0.5, 6.0
-_SPELLED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+*€£])(?:[ ._\-]{1,2}(?:[^\W_]|[@$!|+*€£])){3,}(?!\S)")
+#: Costs of the channel, in nats: a sign read as a letter, one kept as it is, a repetition shortened, one left, a blank that is no boundary.
+AS_LETTER, AS_SIGN, SHORTENED, LEFT, JOINED = 0.5, 9.0, 0.5, 6.0, 3.0
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
 _SIGN = re.compile(r"[^\W\d_][0-9@$!|+(*#€£]+[^\W\d_]|^[0-9@$!|+(*#€£]{1,2}[^\W\d_]{2,}|[^\W\d_][0-9@$!|+(€£]+[^\W\d_]?$")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _PUNCTUATION = ".,;:?\"'`()[]{}<>«»„“”‘’…~^&%=\\/-_"
-_BROKEN = re.compile(r"(?<=\w)[._\-](?=\w)")
+#: Marks that part a run; those that may stand for letters do not.
+_INNER = re.compile(r"[.,;:?\"`\[\]{}<>«»„“”…~^&%=\\/_\-]+")
 
 
 def symbols(text: str) -> np.ndarray:
@@ -77,6 +81,19 @@ def trigram_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return read.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+class ShortRuns(dict):
+    """Of each run met: None, or for one of at most SHORT signs that may be part of a word the run without punctuation and what tells of a gap after
+    and before it. For two plain runs, of which neither is a single sign, that is the two letters next to the gap."""
+
+    def __missing__(self, run: str) -> tuple[str, str, str] | None:
+        word, found = bare(run) if len(run) <= 2 * SHORT else "", None
+        if 0 < len(word) <= SHORT and all(c in LEET or c.isalpha() for c in word):
+            plain = len(word) > 1 and word.isalpha() and not _REPEATED.search(word)
+            found = (word, *((word[-2:] + " ", word[:2]) if plain else (word + "  ", "  " + word)))
+        self[run] = found
+        return found
+
+
 class Decoder:
     """Restores words by the Viterbi algorithm. `cost[a, b, c]` is the model's cost of symbol c after a and b."""
 
@@ -88,6 +105,11 @@ class Decoder:
         back = n.sum(axis=0, keepdims=True)
         back = back / back.sum(axis=2, keepdims=True)
         self.cost = -np.log((n + 20 * back) / (two + 20))
+        #: Whether a gap is none, by the signs that tell.
+        self.gaps: dict[str, bool] = {}
+        self.short = ShortRuns()
+        #: Words of stretches of two or three runs.
+        self.stretches: dict[tuple[str, ...], list[str]] = {}
 
     def restore(self, word: str) -> str:
         """The cheapest reading of a word. Equal costs: the reading met first."""
@@ -95,19 +117,24 @@ class Decoder:
         if all(len(x) == 1 for x in lattice):
             return "".join(x[0][0] for x in lattice)
         cost = self.cost
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # Of each state the cost and the readings so far, as a chain that paths share.
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for choices in lattice:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (so_far, text) in paths.items():
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (so_far, before) in paths.items():
                 for reading, extra in choices:
                     x, y, total = a, b, so_far + extra
                     for s in symbols(reading).tolist():
                         total += cost[x, y, s]
                         x, y = y, s
                     if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = (total, text + reading)
+                        after[x, y] = (total, (before, reading))
             paths = after
-        return min((total + cost[a, b, 0], text) for (a, b), (total, text) in paths.items())[1]
+        chain, out = min(((total + cost[a, b, 0], chain) for (a, b), (total, chain) in paths.items()), key=lambda x: x[0])[1], []
+        while chain is not None:
+            chain, reading = chain
+            out.append(reading)
+        return "".join(reversed(out))
 
     @staticmethod
     def _lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -117,6 +144,10 @@ class Decoder:
             while end < len(word) and word[end] == word[at]:
                 end += 1
             n, sign = end - at, word[at]
+            if sign == " ":
+                out.append([(" ", 0.0), ("", JOINED)])
+                at = end
+                continue
             kept = AS_SIGN if sign in LEET else 0.0
             readings = [(sign, kept), *((x, AS_LETTER) for x in LEET.get(sign, ""))]
             choices = []
@@ -132,20 +163,70 @@ class Decoder:
         return out
 
     def words(self, raw: str) -> list[str]:
-        """The words that one run without blanks stands for: without outer punctuation, and restored if it looks disguised."""
-        word = raw.strip(_PUNCTUATION).rstrip("!" + _PUNCTUATION)
+        """The words that one run without blanks stands for: without outer punctuation, parted at inner marks, and restored where they look disguised."""
+        word = bare(raw)
         if word.isalpha() and not _REPEATED.search(word):
             return [word]
-        if len(word) > 40:
-            return re.findall(r"[^\W\d_]+", word)
-        parts = _BROKEN.split(word)
+        parts = [p for p in _INNER.split(word) if p]
         if len(parts) > 3 and all(len(p) == 1 for p in parts):
-            word = "".join(parts)
+            return self.spelled(parts)
+        out = [w for p in parts for w in self._plain(p)]
+        return out + self.spelled(parts) if len(parts) > 1 else out
+
+    def _plain(self, word: str) -> list[str]:
         if _SIGN.search(word) or _REPEATED.search(word):
-            restored = self.restore(word)
-            if restored != word:
-                return [x for x in re.findall(r"[^\W\d_]+", restored) if x]
-        return re.findall(r"[^\W\d_]+", word)
+            word = self.restore(word)
+        return _LETTERS.findall(word)
+
+    def joins(self, a: str, b: str) -> bool:
+        """Whether the gap between two short runs may be none: single signs, or runs that the lattice reads as one word."""
+        if len(a) == len(b) == 1:
+            return True
+        if (a + b).isalpha() and not _REPEATED.search(a) and not _REPEATED.search(b):  # two readings, which differ around the gap only
+            p, q, r, s = symbols((" " + a)[-2:] + (b + " ")[:2]).tolist()
+            cost = self.cost
+            return bool(JOINED + cost[p, q, r] + cost[q, r, s] < cost[p, q, 0] + cost[q, 0, r] + cost[0, r, s])
+        return " " not in self.restore(f"{a} {b}")
+
+    def spelled(self, runs: list[str]) -> list[str]:
+        """The words of all stretches of runs whose gaps may be none."""
+        out, chain, gaps = [], [], self.gaps
+        short = list(map(self.short.__getitem__, runs))
+        for a, b in zip(short, [*short[1:], None]):
+            if a and b:
+                gap = a[1] + b[2]
+                joined = gaps.get(gap)
+                if joined is None:
+                    joined = gaps[gap] = self.joins(a[0], b[0])
+                if joined:
+                    chain = chain or [a[0]]
+                    chain.append(b[0])
+                    continue
+            if chain:
+                out += self._stretch(tuple(chain))
+                chain = []
+        return out
+
+    def _stretch(self, bared: tuple[str, ...]) -> list[str]:
+        """A stretch as a whole and, where it has longer runs as well, its stretches of single signs, which are spelled out for certain."""
+        if len(bared) > 3:
+            return self._decoded(bared)
+        if len(self.stretches) > REMEMBERED:
+            self.stretches.clear()
+        if bared not in self.stretches:
+            self.stretches[bared] = self._decoded(bared)
+        return self.stretches[bared]
+
+    def _decoded(self, bared: tuple[str, ...]) -> list[str]:
+        texts = [" ".join(bared)]
+        if any(len(x) > 1 for x in bared):
+            texts += [" ".join(g) for one, g in groupby(bared, lambda x: len(x) == 1) if one]
+        return [w for t in texts if _LETTERS.search(t) and " " in t for w in _LETTERS.findall(self.restore(t))]
+
+
+def bare(run: str) -> str:
+    """A run without the punctuation around it."""
+    return run.strip(_PUNCTUATION).rstrip("!" + _PUNCTUATION) or run.strip(_PUNCTUATION)
 
 
 def features_of(word: str) -> list[str]:
@@ -159,20 +240,19 @@ class Reader:
         self.decoder, self.look, self.known = decoder, look, {}
 
     def __call__(self, text: str | None) -> set:
-        text = (text or "").lower()
-        runs = set(text.split())
+        runs = (text or "").lower().split()
         out, known = set(), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for run in runs:
+        for memory in (known, self.decoder.short, self.decoder.gaps):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        for run in set(runs):
             got = known.get(run)
             if got is None:
                 got = known[run] = tuple(f for w in self.decoder.words(run) for f in self.look(w))
             if got:
                 out.update(got)
-        for spelled in _SPELLED.findall(text):
-            whole = re.sub(r"[ ._\-]+", "", spelled)
-            out.update(f for w in self.decoder.words(whole) for f in self.look(w))
+        for w in self.decoder.spelled(runs):
+            out.update(self.look(w))
         return out
 
 

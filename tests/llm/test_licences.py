@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import re
 
+import duckdb
+import pandas as pd
 import pytest
 
 from tierline.llm import licences as L
+from tierline.llm.sql import licence_scan
 
 
 @pytest.fixture
@@ -60,3 +63,35 @@ def test_no_python_in_the_plan(spark, capsys):
 def test_paths_of_documents(documents):
     paths = {r["path"] for r in L.document_paths(documents([(2345, "x", "en", "s"), (None, "x", None, None)])).collect()}
     assert paths == {"s/en/2/2345", "_/_/_/_"}
+
+
+def test_a_line_counts_alike_in_tables_of_any_size(spark):
+    """Words of a line as frequent as before: the similarity is that of a table ten times smaller."""
+    found = []
+    for n in (2_000, 20_000):
+        plain = spark.range(n).selectExpr("concat('z/', id) as path", "if(id % 10 = 0, 'the code of license', 'under words') as text")
+        line = spark.createDataFrame([("a/x", "Copyright Foo. Released under the MIT License.\n" + " ".join(f"w{k}" for k in range(300)))], "path string, text string")
+        row = L.own_licences(plain.unionByName(line), L.TEMPLATES).filter("path = 'a/x'").first()
+        found.append((row["licence"], row["kind"], row["similarity"]))
+    assert found[0][:2] == found[1][:2] == ("MIT", "header") and abs(found[0][2] - found[1][2]) < 0.01
+
+
+def test_columns_of_any_name(spark):
+    names = ["path", "text", "Licence", "kind", "similarity", "licence_dir", "_at", "_path", "_row", "_dir", "_file", "a.b"]
+    rows = [("a/L", "Released under the MIT License."), ("a/x", "plain"), (None, None)]
+    files = spark.createDataFrame([(*r, *[str(k) for k in range(10)]) for r in rows], ", ".join(f"`{n}` string" for n in names))
+    got = L.scan(files)
+    assert got.columns == ["path", "_at", "_path", "_row", "_dir", "_file", "a.b", "licence", "kind", "similarity", "licence_dir"]
+    assert {(r["path"], r["licence"], r["kind"], r["_at"], r["a.b"]) for r in got.collect()} == {
+        ("a/L", "MIT", "file", "4", "9"), ("a/x", "MIT", "inherited", "4", "9"), (None, None, None, "4", "9")
+    }
+
+
+def test_equals_its_sql_on_a_table_with_whole_licence_files(spark):
+    rows = [(k, f"words of file {k} under the sun\nReleased under the MIT License." if k % 7 == 0 else f"plain {k}", "en", "s") for k in range(40)]
+    rows += [(1001, L.TEXTS["GPL-2.0"], "en", "s"), (1002, "x", "en", "s"), (2001, L.TEXTS["MPL-2.0"].upper(), "de", "t"), (2002, None, "de", "t")]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source"])  # noqa: F841, DuckDB reads it by its name
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = duckdb.sql(licence_scan()).fetchall()
+    got = L.scan(L.document_paths(docs)).select("doc_id", "path", "licence", "kind", "similarity", "licence_dir").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and any(r["kind"] == "file" for r in got)

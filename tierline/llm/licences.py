@@ -1,7 +1,8 @@
 """Licence scan: headers and licence files by sparse TF-IDF cosine to templates, all other files by the nearest directory above that has a licence file.
 
 A unit, a line (header) or a whole text (file), is the set of its words (runs of letters and digits in lower case), each weighing its inverse
-document frequency over all documents: ln((N + 1) / (df + 1)). Words that no template has weigh as if no document had them, ln(N + 1). Templates
+document frequency over all documents, ln((N + 1) / (df + 1)), but no more than that of a word of one document in RARE. Words that no template has weigh as
+if no document had them. So a line has the same similarity in tables of any size from RARE documents on, in which its words are as frequent. Templates
 are notices, to which lines and whole texts are compared, and full licence texts, to which whole texts are; either kind has its own words. A unit has
 the licence of the template of greatest cosine, if that is HEADER or more for a line, FILE or more for a whole text. A file's own licence is that of
 its whole text, else that of its best line. A file whose whole text is a licence is the licence file of its directory; of several in a directory the
@@ -13,7 +14,8 @@ compared. Whole texts that a bound on the number of words does not rule out are
 that these have. Inheritance joins distinct directories with their ancestors, then files with directories; a directory may hold any share of the files.
 
 Null or empty texts have no licence of their own, but inherit. A null path is a file in no directory. Repeated rows are treated alike. Empty tables
-give no rows. Ties between templates go to the first name. Other columns are not read.
+give no rows. Ties between templates go to the first name. Other columns pass unchanged, whatever their names, except those named like a column of the
+result, which takes their place.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import staged
 
-HEADER, FILE = 0.6, 0.5
+HEADER, FILE, RARE = 0.6, 0.5, 1_000
+RESULT = ("licence", "kind", "similarity", "licence_dir")
 #: Names and statements that headers and notices use.
 TEMPLATES = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
@@ -60,7 +63,8 @@ def _weights(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float],
     rows = files.select(F.explode(F.array_append(F.filter(words(F.coalesce("text", F.lit(""))), lambda w: w.isin(vocabulary)), F.lit(""))).alias("w"))
     counts = {r[0]: r[1] for r in rows.groupBy("w").count().collect()}  # a row for each word, and one for all files
     n = counts.get("", 0)
-    return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) ** 2 for w in vocabulary}, math.log(n + 1) ** 2
+    weight = lambda df: min(math.log((n + 1) / (df + 1)), math.log(RARE)) ** 2
+    return {w: weight(counts.get(w, 0)) for w in vocabulary}, weight(0)
 
 
 def _sum(values: Column) -> Column:
@@ -144,11 +148,12 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, texts: dict[st
     nearest = ancestors.join(stated, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "licence")).alias("n"))
     nearest = staged(nearest.select(F.col("dir").alias("_dir"), F.col("n.above").alias("_above"), F.col("n.licence").alias("_inherited")), "directories")
     own = own.select(F.col("path").alias("_path"), F.col("licence").alias("_licence"), F.col("kind").alias("_kind"), F.col("similarity").alias("_similarity"))
-    joined = files.drop("text").withColumn("_at", directory(F.col("path")))
-    joined = joined.join(own, F.col("path") == F.col("_path"), "left").join(nearest, F.col("_at") == F.col("_dir"), "left")
+    kept = [c for c in files.columns if c != "text" and c.lower() not in RESULT]
+    joined = files.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col("path").alias("_file"), directory(F.col("path")).alias("_at"))
+    joined = joined.join(own, F.col("_file") == F.col("_path"), "left").join(nearest, F.col("_at") == F.col("_dir"), "left")
     inherits = F.col("_licence").isNull() & F.col("_inherited").isNotNull()
     return joined.select(
-        *[c for c in files.columns if c != "text"],
+        *[F.col(f"_row.`{c}`") for c in kept],
         F.coalesce("_licence", "_inherited").alias("licence"),
         F.when(inherits, "inherited").otherwise(F.col("_kind")).alias("kind"),
         F.col("_similarity").alias("similarity"),

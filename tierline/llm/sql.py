@@ -1,6 +1,6 @@
 """The registered queries as SQL for DuckDB, where SQL can express them."""
 
-from tierline.llm.licences import FILE, HEADER, TEMPLATES
+from tierline.llm.licences import FILE, HEADER, RARE, TEMPLATES, TEXTS, _template_words
 
 LINE_DEDUP = """
 WITH held AS (
@@ -23,34 +23,36 @@ FROM kept
 
 
 def licence_scan() -> str:
-    """Weighs every unit against every template, without the bounds that spare Spark most of it."""
-    templates = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES.items())
+    """Weighs every unit against every template and every whole text against every full text, without the bounds that spare Spark most of it."""
+    templates = ", ".join(f"('notice', '{n}', {_template_words(t)})" for n, t in TEMPLATES.items())
+    templates += "".join(f", ('text', '{n}', {_template_words(t)})" for n, t in TEXTS.items())
     split = "list_distinct(list_filter(string_split_regex(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
     return f"""
 WITH files AS (
   SELECT doc_id, concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), coalesce(CAST(doc_id // 1000 AS VARCHAR), '_'), coalesce(CAST(doc_id AS VARCHAR), '_')) AS path,
          text FROM documents
-), templates(name, statement) AS (VALUES {templates}
-), tw AS (SELECT name, unnest({split.format("statement")}) AS w FROM templates
+), templates(made, name, ws) AS (VALUES {templates}
+), tw AS (SELECT made, name, unnest(ws) AS w FROM templates
 ), df AS (
   SELECT w, count(*) AS df FROM (SELECT unnest({split.format("text")}) AS w FROM files) WHERE w IN (SELECT w FROM tw) GROUP BY w
-), n AS (SELECT count(*) AS n FROM files
+), n AS (SELECT power(least(ln(count(*) + 1), ln({RARE})), 2) AS other, count(*) AS n FROM files
 ), weights AS (
-  SELECT w, power(ln((n.n + 1) / (coalesce(df, 0) + 1)), 2) AS weight FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w), n
-), norms AS (SELECT name, sum(weight) AS norm FROM tw JOIN weights USING (w) GROUP BY name
+  SELECT made, w, power(least(ln((n.n + 1) / (coalesce(df, 0) + 1)), ln({RARE})), 2) AS weight FROM (SELECT DISTINCT made, w FROM tw) LEFT JOIN df USING (w), n
+), norms AS (SELECT made, name, sum(weight) AS norm FROM tw JOIN weights USING (made, w) GROUP BY made, name
 ), units AS (
   SELECT path, 0 AS place, 'file' AS kind, {FILE} AS least, {split.format("text")} AS ws FROM files WHERE text IS NOT NULL
   UNION ALL
   SELECT path, place, 'header', {HEADER}, {split.format("line")} FROM (
     SELECT path, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM files WHERE text IS NOT NULL)
 ), entries AS (SELECT path, place, kind, least, len(ws) AS size, unnest(ws) AS w FROM units
+), weighed AS (SELECT * FROM entries JOIN weights USING (w) WHERE made = 'notice' OR kind = 'file'
 ), known AS (
-  SELECT path, place, kind, least, size, count(*) AS inside, sum(weight) AS weight FROM entries JOIN weights USING (w) GROUP BY ALL
+  SELECT path, place, kind, least, size, made, count(*) AS inside, sum(weight) AS weight FROM weighed GROUP BY ALL
 ), dots AS (
-  SELECT path, place, kind, name, sum(weight) AS dot FROM entries JOIN weights USING (w) JOIN tw USING (w) GROUP BY ALL
+  SELECT path, place, kind, made, name, sum(weight) AS dot FROM weighed JOIN tw USING (made, w) GROUP BY ALL
 ), scored AS (
-  SELECT path, kind, name, least, round(dot / sqrt((k.weight + (size - inside) * power(ln(n.n + 1), 2)) * norm), 6) AS similarity
-  FROM dots JOIN known k USING (path, place, kind) JOIN norms USING (name), n
+  SELECT path, kind, name, least, round(dot / sqrt((k.weight + (size - inside) * n.other) * norm), 6) AS similarity
+  FROM dots JOIN known k USING (path, place, kind, made) JOIN norms USING (made, name), n
 ), own AS (
   SELECT path, kind, name AS licence, similarity FROM scored WHERE similarity >= least
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY kind, similarity DESC, name) = 1

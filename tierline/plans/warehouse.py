@@ -394,6 +394,10 @@ class Warehouse:
         """The next load of the marts builds them from scratch: sales of facts deleted since are not in them any more."""
         self.store.forget(*MARTS, "newest.sales", "applied.marts")
 
+    def remove_replaced(self) -> int:
+        """Deletes files of replaced versions, see TableStore.remove_replaced(); between loads only."""
+        return self.store.remove_replaced()
+
     def _dds_state(self) -> int:
         """Grows with every version of a DDS table, so the marts know whether they have seen the latest."""
         return sum(self.store.version(f"dds.{t}") for t in DDS_KEYS)

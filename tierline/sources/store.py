@@ -275,6 +275,51 @@ class TableStore:
             return reader.parquet(f"{base}/batch_id={batch_id}")
         return reader.parquet(base).where(F.col("batch_id").isin(self.batches(journal)))
 
+    # --- Retention --------------------------------------------------------------------------------------------------
+
+    def remove_replaced(self) -> int:
+        """Deletes the folders that no published version needs; returns how many.
+
+        These are versions that were replaced or forgotten, replaced buckets of versions that are still needed, and rows staged for one step.
+        Journals, logs, and versions that are written but not yet published stay, so a load that stopped half-way can be carried on.
+        To be called between loads: frames that were read before a table was replaced find their files no more.
+        """
+        removed = 0
+        for table in self._published.keys() | self._forgotten.keys():
+            w = self._published.get(table)
+            if w is not None and (not w.path or table.startswith("journal.")):
+                continue
+            live = self._live.get(table, {}) if w is not None else {}
+            needed = {w.version, *live.values()} if w is not None else set()
+            base = f"{self.root}/{table.replace('.', '/')}"
+            for version in self._numbers(base, "v="):
+                if version > self._last_version(table):
+                    continue
+                if version not in needed:
+                    removed += self._delete(f"{base}/v={version}")
+                    continue
+                for part in self._numbers(f"{base}/v={version}", f"{BUCKET}=") if w.buckets else ():
+                    if live.get(part) != version:
+                        removed += self._delete(f"{base}/v={version}/{BUCKET}={part}")
+        return removed + self._delete(f"{self.root}/_staged")
+
+    def _last_version(self, table: str) -> int:
+        return self.version(table) or self._forgotten.get(table, 0)
+
+    def _place(self, folder: str):
+        """A folder and the file system it is on, which may be any that Spark writes to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        path, files = self._place(folder)
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+    def _delete(self, folder: str) -> int:
+        path, files = self._place(folder)
+        return int(files.exists(path) and files.delete(path, True))
+
     # --- Batch log --------------------------------------------------------------------------------------------------
 
     def log_event(self, batch_id: int, process_name: str, status: str, at, error_message: str | None = None) -> None:

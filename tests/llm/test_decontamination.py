@@ -34,6 +34,22 @@ def test_multi_index_finds_all_pairs_within_the_radius():
         assert list(zip(a.tolist(), b.tolist())) == [tuple(x) for x in want.tolist()]
 
 
+def test_multi_index_prunes_and_bounds_what_it_compares(monkeypatch):
+    monkeypatch.setattr(D, "PAIRS", 500)
+    rng = np.random.default_rng(2)
+    prints, windows = (rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n, np.uint64) for n in (300, 2_000))
+    index, compared = D.MultiIndex(prints, D.RADIUS), 0
+    for low, _, values, _ in index.blocks:
+        own = (windows >> low).astype(np.uint16)
+        compared += int((np.searchsorted(values, own, "right") - np.searchsorted(values, own, "left")).sum())
+    assert compared < len(prints) * len(windows) / 5
+    assert all(len(a) <= 500 + len(prints) for a, _ in index.near_in_parts(windows))
+    a, b = index.near(windows)
+    want = np.argwhere(np.bitwise_count(windows[:, None] ^ prints[None, :]) <= D.RADIUS)
+    assert list(zip(a.tolist(), b.tolist())) == [tuple(x) for x in want.tolist()]
+    assert all(len(x) == 0 for x in index.near(windows[:0]))
+
+
 def cases():
     rng = random.Random(2)
     words = [f"w{k}" for k in range(500)]

@@ -5,13 +5,14 @@ THRESHOLD to the item: shingles of five words, weighted by how often they occur;
 Words are what white space separates, in lower case.
 
 Method: a window can only be similar if it shares a shingle with the item, so positions of benchmark shingles pick the windows. Their SimHash
-is looked up in a multi-index: 64 bits in RADIUS + 1 blocks, so that any item fingerprint within RADIUS bits agrees in one block at least.
+is looked up in a multi-index of four blocks of 16 bits: any item fingerprint within RADIUS bits is within 4 bits of it in one of the first
+three blocks or within 3 in the last, and stands in the block's table under all such values.
 Candidates within the radius are verified by the exact similarity of their shingles. What is beyond the radius is not reported: at
 similarity 0.8 fingerprints differ by 10 bits on average (deviation 3), so a radius of 18 leaves out less than one such window in a hundred,
 and near-identical ones never.
 
 Plan: one pass over the documents per block of items; a block is bounded by BLOCK_ITEMS and BLOCK_BYTES and is all that tasks hold besides
-their rows. Nothing is shuffled. A long document is worked through in parts that overlap by the longest item.
+their rows: the tables of a full block take about 200 MB in a Python process. Nothing is shuffled. A long document is worked through in parts that overlap by the longest item.
 
 Null or blank texts hold nothing; null or blank items are found nowhere. Texts shorter than an item are one window; sequences shorter than five words
 are one shingle. Repeated rows give repeated results, also with a null id. An empty table on either side gives no rows. Other columns are not read.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WIDTH, THRESHOLD, RADIUS = 5, 0.8, 18
-BLOCK_ITEMS, BLOCK_BYTES, PART = 20_000, 1 << 24, 1 << 15
+BLOCK_ITEMS, BLOCK_BYTES, PART, PAIRS = 4_000, 1 << 24, 1 << 15, 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -69,31 +70,50 @@ def packed(ones: np.ndarray, of: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """Fingerprints in radius + 1 blocks of bits; `near` finds all pairs within the radius."""
+    """Fingerprints in four blocks of 16 bits; `near` finds all pairs within the radius.
+
+    Block k reaches `reach[k]` bits, and the reaches and their number add up to the radius and one: a pair that is further apart in every
+    block is beyond the radius. Each fingerprint stands in a block's table under all values within the reach, so a window looks up its own
+    value only. At a radius of 18 the reaches are 4, 4, 4 and 3: of random pairs one in eight is compared, and a fingerprint has 8,248 entries.
+    """
+
+    BLOCKS, BITS = 4, 16
 
     def __init__(self, prints: np.ndarray, radius: int):
         self.prints, self.radius, self.blocks = prints, radius, []
-        edges = np.linspace(0, 64, radius + 2).astype(int)
-        for low, high in zip(edges[:-1], edges[1:]):
-            low, mask = np.uint64(low), np.uint64((1 << int(high - low)) - 1)
-            values = (prints >> low) & mask
+        for k in range(self.BLOCKS):
+            low, reach = np.uint64(k * self.BITS), (radius + 1) // self.BLOCKS - 1 + (k < (radius + 1) % self.BLOCKS)
+            masks = np.arange(1 << self.BITS, dtype=np.uint16)
+            masks = masks[np.bitwise_count(masks) <= reach] if reach >= 0 else masks[:0]
+            values = ((prints >> low).astype(np.uint16)[:, None] ^ masks).ravel()
             order = np.argsort(values, kind="stable")
-            self.blocks.append((low, mask, values[order], order))
+            self.blocks.append((low, reach, values[order], (order // max(1, len(masks))).astype(np.int32)))
 
-    def near(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, fingerprint) positions of all pairs within the radius, each once."""
-        found = []
-        for low, mask, values, order in self.blocks:
-            own = (windows >> low) & mask
+    def near_in_parts(self, windows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, fingerprint) positions of all pairs within the radius, each once; about PAIRS of them are compared at a time."""
+        for k, (low, _, values, prints) in enumerate(self.blocks):
+            own = (windows >> low).astype(np.uint16)
             first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            count = last - first
-            window = np.repeat(np.arange(len(windows)), count)
-            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-            item = order[at]
-            close = np.bitwise_count(windows[window] ^ self.prints[item]) <= self.radius
-            found.append(window[close] * len(self.prints) + item[close])
-        pairs = np.unique(np.concatenate(found))
-        return pairs // len(self.prints), pairs % len(self.prints)
+            until, start = np.cumsum(last - first), 0
+            while start < len(windows):
+                before = until[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(until, before + PAIRS, "right")))
+                count = (last - first)[start:end]
+                window = np.repeat(np.arange(start, end), count)
+                at = np.arange(len(window)) - np.repeat(until[start:end] - count - before, count) + np.repeat(first[start:end], count)
+                item = prints[at]
+                apart = windows[window] ^ self.prints[item]
+                new = np.bitwise_count(apart) <= self.radius
+                for other, reach, _, _ in self.blocks[:k]:  # what an earlier block has found
+                    new &= np.bitwise_count((apart >> other).astype(np.uint16)) > reach if reach >= 0 else True
+                yield window[new], item[new]
+                start = end
+
+    def near(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same pairs at once, sorted."""
+        window, item = (np.concatenate(x) for x in zip((np.zeros(0, int), np.zeros(0, int)), *self.near_in_parts(windows)))
+        order = np.lexsort((item, window))
+        return window[order], item[order]
 
 
 class Finder:
@@ -172,10 +192,10 @@ class Finder:
             if not len(starts):
                 continue
             prints = packed(ones[starts + count] - ones[starts], count)
-            window, item = self.index[size].near(prints)
-            which = np.array(self.by_size[size])[item]
-            for start, i in zip((starts[window] + low).tolist(), which.tolist()):
-                self._verify(words, start, used, (i,), best)
+            of_size_items = np.array(self.by_size[size])
+            for window, item in self.index[size].near_in_parts(prints):
+                for start, i in zip((starts[window] + low).tolist(), of_size_items[item].tolist()):
+                    self._verify(words, start, used, (i,), best)
 
     def _verify(self, words: list[str], start: int, size: int, which, best: dict) -> None:
         own = Counter(shingles_of(words[start : start + size], self.width)) if which else None

@@ -1,5 +1,6 @@
 """Each of the fifteen checks, once passing and once failing, and the report."""
 
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -79,6 +80,26 @@ def test_each_check_can_fail(spark, check_id, changes, want):
     assert run(check_id, build(spark, **changes)) == want
 
 
+def test_all_checks_read_each_table_once(spark, tmp_path):
+    tables = {}
+    for name, df in build(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    plan = checks.all_checks(tables, 1, NOW)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(tables) == 12
+    assert plan.count("rangepartitioning(") == 1  # overlaps and gaps come out of the same chunks
+    assert "Join" not in plan
+
+
+def test_history_of_many_versions(spark):
+    """One airplane with most versions, copies, overlaps and gaps: the measures of the three history checks in one pass."""
+    rows = [("hot", datetime(2024, 1, 1) + timedelta(hours=h), datetime(2024, 1, 1) + timedelta(hours=h + 1), False) for h in range(300)]
+    rows += [("hot", DATES[3], END, True), ("hot", DATES[3], END, True), (None, DATES[0], END, True)]
+    rows += [("a", DATES[0], DATES[2], False), ("a", DATES[1], END, True)]
+    found = checks.history_measures(spark.createDataFrame(rows, "k string, valid_from timestamp, valid_to timestamp, is_current boolean").repartition(5), "k")
+    assert found.first().asDict() == {"keys": 2, "twice": 1, "overlaps": 2, "gaps": 1}
+
+
 def test_empty_amounts_reconcile(spark):
     tables = build(spark, ods={"bookings": [("X", Decimal(5), True)]}, dds={"fact_bookings": [("X", Decimal(5), True)]})
     assert run("AGG-01", tables) == (0, 0, 0, "PASS")

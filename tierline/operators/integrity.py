@@ -47,32 +47,45 @@ def broken_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 
 def neighbours(df: DataFrame, key: str, start: str, end: str, broken: str, chunks: int | None = None) -> DataFrame:
-    """One row with the number of adjacent periods per key for which `broken` holds.
+    """One row with the number of adjacent periods per key for which `broken` (OVERLAPS or GAPS) holds."""
+    found = per_key_periods(df, key, start, end, {"violations": broken}, chunks=chunks)
+    return found.agg(F.expr("cast(coalesce(sum(violations), 0) as bigint) as violations"))
 
-    `broken` is OVERLAPS or GAPS; a period comes after another of its key in (start, end) order. One key may own a third
-    of all periods, and a third of all rows may be copies of one period. So copies are folded and counted first, and
-    the rest is range-partitioned by (key, start, end): a hot key spreads over many chunks. Pairs inside a chunk are
-    counted there; each chunk hands on only its first start and last end per key, and the seams between chunks are
-    counted over those.
+
+def per_key_periods(
+    df: DataFrame, key: str, start: str, end: str, broken: dict[str, str], counted: dict[str, str] | None = None, chunks: int | None = None
+) -> DataFrame:
+    """(key, one column per name): how many adjacent periods of the key break a condition, and how many of its rows meet one of `counted`.
+
+    Conditions of `broken` are OVERLAPS or GAPS; a period comes after another of its key in (start, end) order. All measures come
+    out of one range partitioning. One key may own a third of all periods, and a third of all rows may be copies of one period. So
+    copies are folded and counted first, and the rest is range-partitioned by (key, start, end): a hot key spreads over many
+    chunks. Pairs inside a chunk are counted there; each chunk hands on only its first start and last end per key, and the seams
+    between chunks are counted over those.
     """
-    periods = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end").groupBy("key", "start", "end")
-    ranged = periods.agg(F.expr("count(*) - 1 as copies")).repartitionByRange(
+    counted = counted or {}
+    rows = df.selectExpr(f"{key} as key", f"{start} as start", f"{end} as end", *[f"{c} as `{n}`" for n, c in counted.items()])
+    met = [F.expr(f"count_if(`{n}`) as `{n}`") for n in counted]
+    ranged = rows.groupBy("key", "start", "end").agg(F.expr("count(*) - 1 as copies"), *met).repartitionByRange(
         *([chunks] if chunks else []), "key", "start", "end"
     )
-    after_previous = f"if({broken.format(before='prev_end')}, 1, 0)"
-    after_copy = f"copies * if({broken.format(before='end')}, 1, 0)"
+    after_previous = {n: f"if({c.format(before='prev_end')}, 1, 0)" for n, c in broken.items()}
+    after_copy = {n: f"copies * if({c.format(before='end')}, 1, 0)" for n, c in broken.items()}
     per_chunk = (
         ranged.selectExpr("*", "spark_partition_id() as chunk")
         .selectExpr("*", "lag(end) over (partition by chunk, key order by start, end) as prev_end")
         .groupBy("chunk", "key")
         .agg(
-            F.expr(f"sum({after_previous} + {after_copy}) as pairs"),
+            *[F.expr(f"sum({after_previous[n]} + {after_copy[n]}) as `{n}`") for n in broken],
+            *[F.expr(f"sum(`{n}`) as `{n}`") for n in counted],
             F.expr("min(start) as start"),
             F.expr("max(struct(start, end)).end as end"),
         )
     )
-    return per_chunk.selectExpr("*", "lag(end) over (partition by key order by chunk) as prev_end").agg(
-        F.expr(f"cast(coalesce(sum(pairs + {after_previous}), 0) as bigint) as violations")
+    return (
+        per_chunk.selectExpr("*", "lag(end) over (partition by key order by chunk) as prev_end")
+        .groupBy("key")
+        .agg(*[F.expr(f"sum(`{n}` + {after_previous[n]}) as `{n}`") for n in broken], *[F.expr(f"sum(`{n}`) as `{n}`") for n in counted])
     )
 
 

@@ -112,7 +112,9 @@ def own_licences(
 
     lines = F.transform(F.split("text", "\n"), lambda line: unit(words(line)).withField("least", F.lit(header)))
     whole = unit(words(F.col("text"))).withField("least", F.lit(file))
-    units = files.filter("text IS NOT NULL").select("path", F.posexplode(F.array_append(F.filter(lines, lambda u: F.size(u["known"]) > 0), whole)).alias("at", "unit"))
+    # no known word weighs more than `other`, so counts alone rule out most lines before any word is weighed
+    enough = lambda u: F.size(u["known"]) >= header**2 * (1 - 1e-9) * (F.size(u["known"]) + u["others"])
+    units = files.filter("text IS NOT NULL").select("path", F.posexplode(F.array_append(F.filter(lines, lambda u: (F.size(u["known"]) > 0) & enough(u)), whole)).alias("at", "unit"))
     units = units.select("path", "at", "unit.*").filter(F.size("known") > 0).withColumn("inside", weighed(F.col("known")))
     units = units.withColumn("all", F.col("inside") + F.col("others") * F.lit(other))
     units = units.filter(F.col("inside") >= F.col("least") * F.col("least") * F.col("all") * (1 - 1e-9))

@@ -88,16 +88,30 @@ class FirstLoad(_Stored):
             "fact_boarding_passes": lambda: facts.fact_boarding_passes(
                 None, ods("boarding_passes"), dds("fact_tickets"), dds("fact_flights"), at
             ),
+            "flight_sales_rows": self._sales_rows,
             "flight_sales_mart": lambda: marts.flight_sales(None, self.sales_rows()),
         }
         return plans[table]()
 
-    def sales_rows(self) -> DataFrame:
+    def _sales_rows(self) -> DataFrame:
         parents = ("fact_tickets", "dim_passenger", "fact_bookings", "fact_flights", "dim_routes", "dim_airports")
         return marts.sales_rows(
             self.stored("fact_segments"), *[self.stored(t) for t in parents], self.stored("dim_airplanes"), self.at
         )
 
+    def sales_rows(self) -> DataFrame:
+        """Sales as a mart load takes them: joined anew, or as `keep_sales_rows` has written them."""
+        return self._stored["flight_sales_rows"] if "flight_sales_rows" in self._stored else self._sales_rows()
+
+    def keep_sales_rows(self) -> None:
+        """For readers of two mart loads: the joins of all segments run once. The first mart is then cut from what is written, not written again."""
+        if "flight_sales_mart" not in self._stored:
+            self._stored["flight_sales_mart"] = marts.flight_sales(None, self.stored("flight_sales_rows"))
+
+    def keep_line_items(self) -> None:
+        """For readers of several tables that are aggregates of the line items: these are written once."""
+        self.sources.keep = self.keep
+
     def sales(self) -> DataFrame:
         """The sales mart."""
         return self.stored("flight_sales_mart")
